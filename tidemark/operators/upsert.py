@@ -71,11 +71,18 @@ def _target_keys(target: DataFrame, keys: str | Sequence[str]) -> list[str]:
 
 
 def matched_keys(target: DataFrame, stage: DataFrame, keys: str | Sequence[str], broadcast: bool = False) -> DataFrame:
-    """Distinct stage keys the target holds: never more rows than the stage."""
+    """Distinct stage keys the target holds: never more rows than the stage.
+
+    Without a broadcast the target's keys are made distinct before the join, so
+    that copies of a hot key are combined in the map tasks. After it, the
+    distinct would keep AQE from splitting the hot partition.
+    """
     keys = _target_keys(target, keys)
     wanted = _conformed(stage, target).filter(all_present(keys)).select(*keys)
     held = target.filter(all_present(keys)).select(*keys)
-    return held.join(bounded_broadcast(wanted, broadcast), keys, "left_semi").distinct()
+    if broadcast:
+        return held.join(F.broadcast(wanted), keys, "left_semi").distinct()
+    return held.distinct().join(wanted, keys, "left_semi")
 
 
 def _joined(target: DataFrame, stage: DataFrame, keys: Sequence[str], how: str, broadcast: bool) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.marks import mark_text
+
 LEDGER_SCHEMA = """
     process_name string, source_table string, target_table string, run_id bigint, batch_id string,
     mode string, incremental_column string, mark string, mark_type string, enddate timestamp_ntz,
@@ -28,9 +30,11 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
 
 def append_ledger(spark: SparkSession, path: str, row: dict) -> None:
     """Record a run. This one-file append is the commit of everything the run wrote."""
-    schema = StructType.fromDDL(LEDGER_SCHEMA)
-    full = [row.get(name) for name in schema.names]
-    spark.createDataFrame([full], schema).coalesce(1).write.mode("append").parquet(path)
+    values = [
+        F.lit(mark_text(row[f.name]) if row.get(f.name) is not None else None).cast(f.dataType).alias(f.name)
+        for f in StructType.fromDDL(LEDGER_SCHEMA).fields
+    ]
+    spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(path)
 
 
 def ledger_current(

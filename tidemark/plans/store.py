@@ -17,6 +17,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -114,7 +115,7 @@ class TargetStore:
         return [f"{version}/{path.rsplit('/', 1)[1]}" for path in written]
 
     def write_manifest(self, version: str, files: list[str]) -> None:
-        rows = self.spark.createDataFrame([(f,) for f in files], "file string")
+        rows = self.spark.createDataFrame(pa.table({"file": pa.array(files, pa.string())}))
         rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{version}")
 
     def adopt(self, existing: DataFrame) -> None:

@@ -136,10 +136,11 @@ def _merge(
     target = store.read_version(schema, list(live))
     held = store.with_file_id(target.filter(all_present(keys) & _within(keys[0], target, stage)))
     wanted = staged.filter(all_present(keys)).select(*keys)
+    # Written as it comes from the join: an aggregate here would keep AQE from splitting a hot key.
     found = held.select(*keys, "__file").join(bounded_broadcast(wanted, small), keys, "left_semi")
-    hits = stage_table(found.groupBy(*keys, "__file").agg(F.count("*").alias("__copies")), store.hits_path)
+    hits = stage_table(found, store.hits_path)
 
-    per_file = hits.groupBy("__file").agg(F.sum("__copies").alias("copies")).collect()
+    per_file = hits.groupBy("__file").agg(F.count("*").alias("copies")).collect()
     ids = {row["__file"] for row in per_file}
     updated = sum(row.copies for row in per_file)
     kept = [file for file, file_id in live.items() if file_id not in ids]

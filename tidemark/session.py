@@ -13,6 +13,7 @@ def local_session(app: str = "tidemark", cores: str = "8", memory: str = "8g") -
     """A small local session; on a cluster the caller brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
+        .config("spark.ui.showConsoleProgress", "false")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
