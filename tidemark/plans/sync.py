@@ -61,12 +61,18 @@ class _Stage:
 
 
 def _profile(stage: DataFrame, keys: list[str], mark: str | None) -> Row:
-    """Counts, size, largest mark and key range of the stage in one job."""
+    """Counts, size, largest mark and key range of the stage in one job.
+
+    `kept` is the row count once every key is down to one row.
+    """
     top = F.max(mark) if mark else F.lit(None).cast("string")
     size = F.sum(row_bytes(stage.schema))
     if not keys:
         one = stage.agg(F.count("*").alias("rows"), size.alias("bytes"), top.alias("mark"))
-        per_key = one.select("*", F.lit(0).alias("repeated"), F.lit(None).alias("lo"), F.lit(None).alias("hi"))
+        nothing = F.lit(None)
+        per_key = one.select(
+            "*", F.col("rows").alias("kept"), F.lit(0).alias("repeated"), nothing.alias("lo"), nothing.alias("hi")
+        )
     else:
         grouped = stage.groupBy(*keys).agg(F.count("*").alias("n"), size.alias("bytes"), top.alias("mark"))
         repeated = F.count_if((F.col("n") > 1) & all_present(keys))
@@ -74,12 +80,14 @@ def _profile(stage: DataFrame, keys: list[str], mark: str | None) -> Row:
             F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
             F.sum("bytes").alias("bytes"),
             F.max("mark").alias("mark"),
+            F.coalesce(F.sum(F.when(all_present(keys), 1).otherwise(F.col("n"))), F.lit(0)).alias("kept"),
             repeated.alias("repeated"),
             F.min(keys[0]).alias("lo"),
             F.max(keys[0]).alias("hi"),
         )
     return per_key.select(
         "rows",
+        "kept",
         F.coalesce("bytes", F.lit(0)).alias("bytes"),
         F.col("mark").cast("string").alias("mark"),
         as_enddate(F.col("mark"), per_key.schema["mark"].dataType).alias("enddate"),
@@ -102,8 +110,8 @@ def _stage(
         raise ValueError(f"{process.name}: {counts.repeated} keys of {keys} occur more than once in the stage")
     thinned = f"{version}-latest" if version else None
     path = store.data_path(thinned) if thinned else f"{store.stage_path}-latest"
-    rows = stage_table(dedupe_latest(rows, keys, mark), path)
-    return _Stage(rows, thinned, _profile(rows, keys, mark))
+    # Size only shrinks; mark and key range stay: the profile still holds.
+    return _Stage(stage_table(dedupe_latest(rows, keys, mark), path), thinned, counts)
 
 
 def _within(key: str, target: DataFrame, stage: _Stage) -> Column:
@@ -242,7 +250,7 @@ def sync(
         if direct:
             version = stage.version
             written = store.files_of(version, schema)
-            files, inserted = (written if mode == "full" else [*live, *written]), rows_read
+            files, inserted = (written if mode == "full" else [*live, *written]), stage.counts.kept
         else:
             files, updated, inserted = _merge(
                 store, live, schema, stage, _names(schema, keys), version, audit, broadcast_bytes
