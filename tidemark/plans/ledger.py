@@ -57,3 +57,10 @@ def ledger_metadata(ledger: DataFrame) -> DataFrame:
         F.col("source_table").alias("table"),
     )
     return ledger.select("process_name", F.to_json(state).alias("metadata"))
+
+
+def run_metrics(ledger: DataFrame) -> DataFrame:
+    """Rows and duration of each run."""
+    took = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("finished_at")) / F.lit(1e6)
+    counts = ("rows_read", "rows_updated", "rows_inserted")
+    return ledger.select("process_name", "run_id", *counts, took.alias("seconds"), "finished_at")

@@ -68,5 +68,9 @@ def run_rows(orders: DataFrame) -> DataFrame:
         F.col("o_orderkey").alias("run_id"),
         F.col("o_orderdate").cast("string").alias("mark"),
         F.col("o_orderdate").alias("enddate"),
+        F.expr("o_orderdate - make_dt_interval(0, 0, 0, o_custkey)").alias("started_at"),
         F.col("o_orderdate").alias("finished_at"),
+        (F.col("o_orderkey") * 3).alias("rows_read"),
+        F.col("o_orderkey").alias("rows_updated"),
+        (F.col("o_orderkey") * 2).alias("rows_inserted"),
     )

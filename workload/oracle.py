@@ -88,7 +88,7 @@ ORACLE: dict[str, str] = {
     "scan_table": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag, l_shipdate FROM lineitem",
     "scan_target": _T0,
     "scan_pushdown_ordered": f"{_S} ORDER BY o_orderdate, o_orderkey",
-    "preview_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
+    "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
     "incremental_ts": _S,
     "incremental_inclusive": "SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-06-01 00:00:00'",
     "incremental_events": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'",
@@ -98,21 +98,26 @@ SELECT c_name AS "PROCESS_NAME", 'Y' AS "ACTIVE_FLAG", c_mktsegment AS "SOURCE_S
        'DWH' AS "TARGET_SYSTEM", 'INCREMENTAL' AS "LOAD_TYPE"
 FROM customer
 WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING' AND c_nationkey % 2 = 0 AND c_custkey % 3 <> 0""",
-    "high_water_marks": """
+    "high_water_mark": """
 SELECT 'orders' AS table_name, max(o_orderdate) AS enddate FROM orders
 UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem
 UNION ALL SELECT 'events', max(ts) FROM events""",
-    "ledger_newest": """
+    "ledger_current": """
 SELECT 'P' || CAST(o_custkey AS VARCHAR) AS process_name, max(o_orderkey) AS run_id,
        arg_max(o_orderdate, o_orderkey) AS enddate
 FROM orders GROUP BY o_custkey""",
-    "ledger_json": """
+    "ledger_metadata": """
 SELECT 'P' || CAST(o_custkey AS VARCHAR) AS process_name,
        '{"last_run":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '","watermark":"'
        || strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '","job_name":"P' || CAST(o_custkey AS VARCHAR)
        || '","table":"' || o_orderpriority || '"}' AS metadata
 FROM orders""",
-    "batch_ids": "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS batch_id FROM events",
+    "run_metrics": """
+SELECT 'P' || CAST(o_custkey AS VARCHAR) AS process_name, o_orderkey AS run_id, o_orderkey * 3 AS rows_read,
+       o_orderkey AS rows_updated, o_orderkey * 2 AS rows_inserted, CAST(o_custkey AS DOUBLE) AS seconds,
+       o_orderdate AS finished_at
+FROM orders""",
+    "batch_id": "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS batch_id FROM events",
     "ledger_advance": """
 SELECT 'ORDERS' AS process_name, 'merge' AS mode, max(o_orderdate) AS enddate,
        '20250101000000' AS batch_id, count(*) AS rows_read FROM orders
@@ -126,8 +131,8 @@ SELECT l_orderkey, l_shipdate,
        '{"status":"' || l_linestatus || '","part":' || l_partkey || '}' AS state,
        l_shipdate AS shipped_at
 FROM lineitem""",
-    "row_fingerprints": "SELECT p_partkey, md5(concat_ws('|', p_partkey, p_name, p_brand, p_type, p_size)) AS md5 FROM part",
-    "schema_drift_report": " UNION ALL ".join(
+    "row_fingerprint": "SELECT p_partkey, md5(concat_ws('|', p_partkey, p_name, p_brand, p_type, p_size)) AS md5 FROM part",
+    "schema_drift": " UNION ALL ".join(
         [
             _drift("O_CUSTKEY", "type_mismatch", "bigint", "string", "o_custkey", "orders"),
             _drift("O_ORDERPRIORITY", "new", "string", None, "o_orderpriority", "orders"),
@@ -143,7 +148,7 @@ FROM lineitem""",
     "schema_evolve": _merged(
         f"SELECT * REPLACE (CAST(NULL AS VARCHAR) AS o_orderpriority) FROM ({_T0})", _S, ["o_orderkey"], _ORDERS
     )["all"],
-    "type_drift": " UNION ALL ".join(
+    "type_drift_profile": " UNION ALL ".join(
         [
             _lost("customer", "c_name", "c_name"),
             _lost("customer", "c_suffix", "substr(c_name, 10)"),
@@ -151,18 +156,25 @@ FROM lineitem""",
             _lost("part", "p_name", "p_name"),
         ]
     ),
-    "upsert_orders": _ORDERS_MERGE["all"],
+    "upsert": _ORDERS_MERGE["all"],
     "upsert_shuffled": _ORDERS_MERGE["all"],
     "upsert_full_outer": _ORDERS_MERGE["all"],
     "upsert_matched": _ORDERS_MERGE["matched"],
     "upsert_inserted": _ORDERS_MERGE["inserted"],
+    "upsert_repeated_target": f"""
+WITH t AS (SELECT * FROM lineitem WHERE l_orderkey % 3 <> 0),
+     s AS (SELECT o_orderkey AS l_orderkey, o_orderstatus AS l_linestatus FROM orders WHERE o_orderkey % 2 = 0)
+SELECT {", ".join(f"t.{c}" for c in _LINEITEM if c != "l_linestatus")},
+       CASE WHEN s.l_orderkey IS NOT NULL THEN s.l_linestatus ELSE t.l_linestatus END AS l_linestatus
+FROM t LEFT JOIN s ON t.l_orderkey = s.l_orderkey
+UNION ALL BY NAME SELECT l_orderkey, l_linestatus FROM s WHERE l_orderkey NOT IN (SELECT l_orderkey FROM t)""",
     "upsert_nulls": _merged(_T0, _S_NULLS, ["o_orderkey"], _ORDERS)["all"],
     "upsert_composite": _lines_merge("OLD", _OLD_LOAD),
     "upsert_dup_guard": """
 SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-    "dedupe_newest": _newest_lines("TRUE"),
-    "dq_profiles": " UNION ALL ".join(
+    "dedupe_latest": _newest_lines("TRUE"),
+    "dq_profile": " UNION ALL ".join(
         [
             _profile("orders", "o_orderkey", "orders"),
             _profile("lineitem", "l_orderkey, l_linenumber", "lineitem"),
@@ -176,6 +188,14 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "full_load": f"SELECT *, {_RUN} AS loaded_at, 'SRC' AS source_system FROM customer",
     "sync_orders": _ORDERS_MERGE["all"],
     "sync_idempotent": _ORDERS_MERGE["all"],
+    "sync_shuffled": _ORDERS_MERGE["all"],
+    "sync_cast": _ORDERS_MERGE["all"],
+    "sync_two_sources": f"""
+WITH c AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer),
+     s AS (SELECT s_suppkey * 2 AS id, s_name AS name, s_nationkey AS nation FROM supplier)
+SELECT coalesce(c.id, s.id) AS id, coalesce(s.name, c.name) AS name, c.balance, s.nation, {_RUN} AS loaded_at,
+       CASE WHEN c.id IS NOT NULL THEN 'CRM' ELSE 'ERP' END AS source_system
+FROM c FULL JOIN s ON c.id = s.id""",
     "sync_empty": _T0,
     "sync_metrics": f"""
 WITH t AS ({_T0}), s AS ({_S})

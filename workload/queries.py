@@ -27,7 +27,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.upsert import fits_broadcast
 from tidemark.plans.control import Process, select_processes
-from tidemark.plans.ledger import ledger_current, ledger_metadata, read_ledger
+from tidemark.plans.ledger import ledger_current, ledger_metadata, read_ledger, run_metrics
 from tidemark.plans.store import TargetStore, stage_table
 from tidemark.plans.sync import sync, sync_all
 from tidemark.session import fresh_dir
@@ -65,9 +65,12 @@ CONTROL_SCHEMA = """
 """
 
 
-def query(make: Query) -> Query:
-    QUERIES[make.__name__] = make
-    return make
+def query(name: str) -> Callable[[Query], Query]:
+    def register(make: Query) -> Query:
+        QUERIES[name] = make
+        return make
+
+    return register
 
 
 def _named(parts: dict[str, DataFrame]) -> DataFrame:
@@ -77,46 +80,46 @@ def _named(parts: dict[str, DataFrame]) -> DataFrame:
 # Scans
 
 
-@query
+@query("scan_table")
 def scan_table(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"
     )
 
 
-@query
+@query("scan_target")
 def scan_target(spark, sf_dir):
     store = TargetStore(spark, fresh_dir(spark, "scan"), "orders")
     store.adopt(old_target(table(spark, sf_dir, "orders")))
     return store.read()
 
 
-@query
+@query("scan_pushdown_ordered")
 def scan_pushdown_ordered(spark, sf_dir):
     return incremental_scan(table(spark, sf_dir, "orders"), "o_orderdate", MARK).orderBy("o_orderdate", "o_orderkey")
 
 
-@query
+@query("preview")
 def preview_rows(spark, sf_dir):
     return preview(table(spark, sf_dir, "customer"), 10, "c_custkey")
 
 
-@query
+@query("incremental_ts")
 def incremental_ts(spark, sf_dir):
     return incremental_scan(table(spark, sf_dir, "orders"), "o_orderdate", MARK)
 
 
-@query
+@query("incremental_inclusive")
 def incremental_inclusive(spark, sf_dir):
     return incremental_scan(table(spark, sf_dir, "lineitem"), "l_shipdate", "2001-06-01", inclusive=True)
 
 
-@query
+@query("incremental_events")
 def incremental_events(spark, sf_dir):
     return incremental_scan(table(spark, sf_dir, "events"), "ts", "2024-01-15")
 
 
-@query
+@query("incremental_id")
 def incremental_id(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return incremental_scan(documents, "doc_id", 100).select("doc_id", "lang", "source", "n_chars")
@@ -125,7 +128,7 @@ def incremental_id(spark, sf_dir):
 # Control table and ledger
 
 
-@query
+@query("control_select")
 def control_select(spark, sf_dir):
     control = control_rows(table(spark, sf_dir, "customer"))
     return select_processes(
@@ -133,29 +136,34 @@ def control_select(spark, sf_dir):
     )
 
 
-@query
+@query("high_water_mark")
 def high_water_marks(spark, sf_dir):
     columns = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
     return _named({n: high_water_mark(table(spark, sf_dir, n), c).select("enddate") for n, c in columns.items()})
 
 
-@query
+@query("ledger_current")
 def ledger_newest(spark, sf_dir):
     runs = run_rows(table(spark, sf_dir, "orders"))
     return ledger_current(runs, "process_name", "run_id", "enddate")
 
 
-@query
+@query("ledger_metadata")
 def ledger_json(spark, sf_dir):
     return ledger_metadata(run_rows(table(spark, sf_dir, "orders")))
 
 
-@query
+@query("run_metrics")
+def run_metrics_of_runs(spark, sf_dir):
+    return run_metrics(run_rows(table(spark, sf_dir, "orders")))
+
+
+@query("batch_id")
 def batch_ids(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", batch_id(F.col("ts")).alias("batch_id"))
 
 
-@query
+@query("ledger_advance")
 def ledger_advance(spark, sf_dir):
     """Three processes from a control table, then the newest ledger row of each."""
     rows = [
@@ -175,7 +183,7 @@ def ledger_advance(spark, sf_dir):
 # Projections
 
 
-@query
+@query("append_audit")
 def append_audit(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     root = fresh_dir(spark, "append")
@@ -183,7 +191,7 @@ def append_audit(spark, sf_dir):
     return sync(spark, replace(ORDERS, keys=()), orders, root, run_ts=RUN).target
 
 
-@query
+@query("warehouse_layout")
 def warehouse_layout(spark, sf_dir):
     nested = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -196,7 +204,7 @@ def warehouse_layout(spark, sf_dir):
     return to_layout(nested, flat=True)
 
 
-@query
+@query("row_fingerprint")
 def row_fingerprints(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     return part.select("p_partkey", row_fingerprint("p_partkey", "p_name", "p_brand", "p_type", "p_size").alias("md5"))
@@ -214,19 +222,19 @@ def _drifted(orders: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query("schema_drift")
 def schema_drift_report(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     return schema_drift(orders, _drifted(orders))
 
 
-@query
+@query("schema_add_columns")
 def schema_add_columns(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     return add_columns(old_target(orders).drop("o_orderpriority"), orders.schema)
 
 
-@query
+@query("schema_evolve")
 def schema_evolve(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     root = fresh_dir(spark, "evolve")
@@ -234,7 +242,7 @@ def schema_evolve(spark, sf_dir):
     return sync(spark, ORDERS, orders, root, run_ts=RUN).target
 
 
-@query
+@query("type_drift_profile")
 def type_drift(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", F.expr("substr(c_name, 10)").alias("c_suffix"), "c_mktsegment"
@@ -261,44 +269,54 @@ def _merge_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return old_target(orders), require_unique_keys(stage, "o_orderkey")
 
 
-@query
+@query("upsert")
 def upsert_orders(spark, sf_dir):
     target, stage = _merge_inputs(spark, sf_dir)
     return upsert(target, stage, "o_orderkey", broadcast=fits_broadcast(stage))
 
 
-@query
+@query("upsert_shuffled")
 def upsert_shuffled(spark, sf_dir):
     target, stage = _merge_inputs(spark, sf_dir)
     return upsert(target, stage, "o_orderkey")
 
 
-@query
+@query("upsert_full_outer")
 def upsert_full_outer(spark, sf_dir):
     target, stage = _merge_inputs(spark, sf_dir)
     return upsert(require_unique_keys(target, "o_orderkey"), stage, "o_orderkey", unique_target=True)
 
 
-@query
+@query("upsert_matched")
 def upsert_matched(spark, sf_dir):
     target, stage = _merge_inputs(spark, sf_dir)
     return matched_rows(target, stage, "o_orderkey", broadcast=fits_broadcast(stage))
 
 
-@query
+@query("upsert_inserted")
 def upsert_inserted(spark, sf_dir):
     target, stage = _merge_inputs(spark, sf_dir)
     return inserted_rows(target, stage, "o_orderkey", broadcast=fits_broadcast(stage))
 
 
-@query
+@query("upsert_repeated_target")
+def upsert_repeated_target(spark, sf_dir):
+    """Orders merged into their lines by the order key, which the lines repeat."""
+    orders = table(spark, sf_dir, "orders")
+    status = orders.filter("o_orderkey % 2 = 0").selectExpr("o_orderkey AS l_orderkey", "o_orderstatus AS l_linestatus")
+    target = table(spark, sf_dir, "lineitem").filter("l_orderkey % 3 <> 0")
+    stage = stage_table(status, fresh_dir(spark, "stage"))
+    return upsert(target, require_unique_keys(stage, "l_orderkey"), "l_orderkey")
+
+
+@query("upsert_nulls")
 def upsert_nulls(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     stage = stage_table(audited(delta_with_nulls(orders)), fresh_dir(spark, "stage"))
     return upsert(old_target(orders), require_unique_keys(stage, "o_orderkey"), "o_orderkey")
 
 
-@query
+@query("upsert_composite")
 def upsert_composite(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber"]
     lineitem = table(spark, sf_dir, "lineitem")
@@ -311,12 +329,12 @@ def upsert_composite(spark, sf_dir):
     return upsert(target, stage, keys, broadcast=fits_broadcast(stage))
 
 
-@query
+@query("upsert_dup_guard")
 def upsert_dup_guard(spark, sf_dir):
     return repeated_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query
+@query("dedupe_latest")
 def dedupe_newest(spark, sf_dir):
     return dedupe_latest(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], "l_shipdate")
 
@@ -324,7 +342,7 @@ def dedupe_newest(spark, sf_dir):
 # Quality
 
 
-@query
+@query("dq_profile")
 def dq_profiles(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     keys = {"orders": "o_orderkey", "lineitem": ["l_orderkey", "l_linenumber"]}
@@ -338,7 +356,7 @@ def dq_profiles(spark, sf_dir):
 # Loads
 
 
-@query
+@query("stage_roundtrip")
 def stage_roundtrip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     path = fresh_dir(spark, "stage")
@@ -346,13 +364,13 @@ def stage_roundtrip(spark, sf_dir):
     return stage_table(delta(orders), path)
 
 
-@query
+@query("first_load")
 def first_load(spark, sf_dir):
     process = replace(ORDERS, enddate=None)
     return sync(spark, process, table(spark, sf_dir, "orders"), fresh_dir(spark, "first"), run_ts=RUN).target
 
 
-@query
+@query("full_load")
 def full_load(spark, sf_dir):
     """A full load over an older version: nothing of it is left."""
     customer = table(spark, sf_dir, "customer")
@@ -362,34 +380,64 @@ def full_load(spark, sf_dir):
     return sync(spark, process, customer, root, run_ts=RUN).target
 
 
-def _synced(spark: SparkSession, sf_dir: str, runs: int = 1, process: Process = ORDERS) -> tuple[str, DataFrame]:
+def _synced(
+    spark: SparkSession, sf_dir: str, runs: int = 1, process: Process = ORDERS, **options
+) -> tuple[str, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     root = fresh_dir(spark, "sync")
     TargetStore(spark, root, "orders").adopt(old_target(orders))
-    results = [sync(spark, process, orders, root, run_ts=RUN, inclusive=i > 0) for i in range(runs)]
+    results = [sync(spark, process, orders, root, run_ts=RUN, inclusive=i > 0, **options) for i in range(runs)]
     return root, results[-1].target
 
 
-@query
+@query("sync_orders")
 def sync_orders(spark, sf_dir):
     """Flagship: read past the mark, merge into the old target, commit, read the new version."""
     return _synced(spark, sf_dir)[1]
 
 
-@query
+@query("sync_shuffled")
+def sync_shuffled(spark, sf_dir):
+    """The same run with a stage that counts as too large to broadcast."""
+    return _synced(spark, sf_dir, broadcast_bytes=-1)[1]
+
+
+@query("sync_cast")
+def sync_cast(spark, sf_dir):
+    """The source's key and customer arrive as text; the target keeps its types."""
+    orders = table(spark, sf_dir, "orders")
+    root = fresh_dir(spark, "cast")
+    TargetStore(spark, root, "orders").adopt(old_target(orders))
+    text = orders.withColumns({c: F.col(c).cast("string") for c in ("o_orderkey", "o_custkey")})
+    return sync(spark, ORDERS, text, root, run_ts=RUN).target
+
+
+@query("sync_two_sources")
+def sync_two_sources(spark, sf_dir):
+    """Two processes feed one target; each goes on from its own mark."""
+    customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
+    root = fresh_dir(spark, "two")
+    people = customer.selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal AS balance")
+    firms = supplier.selectExpr("s_suppkey * 2 AS id", "s_name AS name", "s_nationkey AS nation")
+    shared = {"target_table": "party", "incremental_column": "id", "keys": ("id",)}
+    sync(spark, Process("CUSTOMERS", "customer", source_system="CRM", **shared), people, root, run_ts=RUN)
+    return sync(spark, Process("SUPPLIERS", "supplier", source_system="ERP", **shared), firms, root, run_ts=RUN).target
+
+
+@query("sync_idempotent")
 def sync_idempotent(spark, sf_dir):
     """Two more runs, reading the mark's own rows again, change nothing."""
     return _synced(spark, sf_dir, runs=3)[1]
 
 
-@query
+@query("sync_empty")
 def sync_empty(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     latest = high_water_mark(orders, "o_orderdate").first().mark
     return _synced(spark, sf_dir, process=replace(ORDERS, enddate=latest))[1]
 
 
-@query
+@query("sync_metrics")
 def sync_metrics(spark, sf_dir):
     root, _ = _synced(spark, sf_dir)
     newest = ledger_current(read_ledger(spark, f"{root}/*/ledger"), "target_table")
@@ -398,7 +446,7 @@ def sync_metrics(spark, sf_dir):
     )
 
 
-@query
+@query("sync_latest")
 def sync_latest(spark, sf_dir):
     """Repeated stage keys, newest kept, merged into a target made the same way."""
     keys = ("l_orderkey", "l_linenumber")
