@@ -11,6 +11,16 @@ from __spark_entry__ import entry, oracle_sql, queries
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
+# DuckDB's name for each Spark type the results use (fixed values).
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
@@ -35,6 +45,7 @@ def test_query(spark, db, name):
     found = db.execute(oracle_sql()[name])
     theirs = canonical([d[0] for d in found.description], found.fetchall())
     assert ours[0] == theirs[0]
+    assert {n: TYPES[t] for n, t in result.dtypes} == {d[0]: str(d[1]) for d in found.description}
     assert len(ours[1]) == len(theirs[1])
     assert ours[1] == theirs[1]
     assert ours[1], "an empty result checks nothing"
