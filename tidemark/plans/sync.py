@@ -56,22 +56,26 @@ class _Stage:
     version: str | None
     counts: Row
 
-    def fits(self, limit: int) -> bool:
-        return self.counts.bytes <= limit
 
+def _profile(stage: DataFrame, keys: list[str], mark: str | None, measure: bool) -> Row:
+    """Counts, largest mark and key range of the stage in one job, and its size if asked for.
 
-def _profile(stage: DataFrame, keys: list[str], mark: str | None) -> Row:
-    """Counts, size, largest mark and key range of the stage in one job.
-
-    `kept` is the row count once every key is down to one row.
+    `kept` is the row count once every key is down to one row. Without a size only
+    the key and mark columns are read.
     """
     top = F.max(mark) if mark else F.lit(None).cast("string")
-    size = F.sum(row_bytes(stage.schema))
+    width = row_bytes(stage.schema) if measure else F.lit(0).cast("long")
+    size = F.sum(width)
     if not keys:
         one = stage.agg(F.count("*").alias("rows"), size.alias("bytes"), top.alias("mark"))
         nothing = F.lit(None)
         per_key = one.select(
-            "*", F.col("rows").alias("kept"), F.lit(0).alias("repeated"), nothing.alias("lo"), nothing.alias("hi")
+            "*",
+            F.col("rows").alias("kept"),
+            F.lit(0).alias("key_bytes"),
+            F.lit(0).alias("repeated"),
+            nothing.alias("lo"),
+            nothing.alias("hi"),
         )
     else:
         grouped = stage.groupBy(*keys).agg(F.count("*").alias("n"), size.alias("bytes"), top.alias("mark"))
@@ -79,6 +83,7 @@ def _profile(stage: DataFrame, keys: list[str], mark: str | None) -> Row:
         per_key = grouped.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
             F.sum("bytes").alias("bytes"),
+            F.sum(row_bytes(stage.select(*keys).schema)).alias("key_bytes"),
             F.max("mark").alias("mark"),
             F.coalesce(F.sum(F.when(all_present(keys), 1).otherwise(F.col("n"))), F.lit(0)).alias("kept"),
             repeated.alias("repeated"),
@@ -89,6 +94,7 @@ def _profile(stage: DataFrame, keys: list[str], mark: str | None) -> Row:
         "rows",
         "kept",
         F.coalesce("bytes", F.lit(0)).alias("bytes"),
+        F.coalesce("key_bytes", F.lit(0)).alias("key_bytes"),
         F.col("mark").cast("string").alias("mark"),
         as_enddate(F.col("mark"), per_key.schema["mark"].dataType).alias("enddate"),
         "repeated",
@@ -103,7 +109,7 @@ def _stage(
     """Write the delta once and profile it; with `latest`, thin out repeated keys if there are any."""
     mark = process.incremental_column
     rows = stage_table(delta, store.data_path(version) if version else store.stage_path)
-    counts = _profile(rows, keys, mark)
+    counts = _profile(rows, keys, mark, measure=version is None)
     if not counts.repeated:
         return _Stage(rows, version, counts)
     if duplicates != "latest" or not mark:
@@ -139,13 +145,14 @@ def _merge(
     First only the key column of the target is read, to learn which files hold
     a match. Only those files are read whole and replaced.
     """
-    small = stage.fits(broadcast_bytes)
+    small = stage.counts.bytes <= broadcast_bytes
+    few = stage.counts.key_bytes <= broadcast_bytes
     staged = conform(stage.rows, schema, fill=False)
     target = store.read_version(schema, list(live))
     held = store.with_file_id(target.filter(all_present(keys) & _within(keys[0], target, stage)))
     wanted = staged.filter(all_present(keys)).select(*keys)
     # Written as it comes from the join: an aggregate here would keep AQE from splitting a hot key.
-    found = held.select(*keys, "__file").join(bounded_broadcast(wanted, small), keys, "left_semi")
+    found = held.select(*keys, "__file").join(bounded_broadcast(wanted, few), keys, "left_semi")
     hits = stage_table(found, store.hits_path)
 
     per_file = hits.groupBy("__file").agg(F.count("*").alias("copies")).collect()

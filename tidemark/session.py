@@ -41,3 +41,22 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; nothing is created or removed."""
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def size_shuffles(spark: SparkSession, data_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Set partition sizes for the table at hand.
+
+    AQE merges small shuffle partitions and splits skewed ones, but cannot raise
+    their number: it must start from enough of them for the largest input.
+    """
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-data_bytes // partition_bytes))
+    settings = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    return settings
