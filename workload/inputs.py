@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.audit import with_audit
 
 MARK = "2000-01-01 00:00:00"
+OLD_MARK = "2000-12-31 00:00:00"
 RUN = dt.datetime(2025, 1, 1)
 SOURCE = "SRC"
 
@@ -22,9 +23,9 @@ def ntz(text: str):
 
 
 def old_target(orders: DataFrame) -> DataFrame:
-    """T0: nine tenths of the orders as an earlier load left them, at older prices."""
+    """T0: the orders as an earlier load left them: up to a later day than the mark, at older prices."""
     return (
-        orders.filter(F.col("o_orderkey") % 10 != 0)
+        orders.filter(F.col("o_orderdate") <= ntz(OLD_MARK))
         .withColumn("o_totalprice", F.floor("o_totalprice").cast("double"))
         .withColumn("source_system", F.lit("OLD"))
         .withColumn("loaded_at", ntz("2024-01-01 00:00:00"))
@@ -37,11 +38,11 @@ def delta(orders: DataFrame) -> DataFrame:
 
 
 def delta_with_nulls(orders: DataFrame) -> DataFrame:
-    """S with NULL prices on every seventh key, plus a copy with NULL keys of every eleventh."""
+    """S with NULL prices on urgent orders, plus a copy of pending ones with NULL keys."""
     priced = delta(orders).withColumn(
-        "o_totalprice", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))
+        "o_totalprice", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice"))
     )
-    keyless = priced.filter(F.col("o_orderkey") % 11 == 0).withColumn("o_orderkey", F.lit(None).cast("long"))
+    keyless = priced.filter(F.col("o_orderstatus") == "P").withColumn("o_orderkey", F.lit(None).cast("long"))
     return priced.unionByName(keyless)
 
 
@@ -53,10 +54,10 @@ def control_rows(customer: DataFrame) -> DataFrame:
     """A control table with one process per customer."""
     return customer.select(
         F.col("c_name").alias("PROCESS_NAME"),
-        F.when(F.col("c_acctbal") >= 0, "Y").when(F.col("c_custkey") % 5 != 0, "N").alias("ACTIVE_FLAG"),
+        F.when(F.col("c_acctbal") >= 0, "Y").when(F.col("c_acctbal") >= -500, "N").alias("ACTIVE_FLAG"),
         F.col("c_mktsegment").alias("SOURCE_SYSTEM"),
-        F.when(F.col("c_nationkey") % 2 == 0, "DWH").otherwise("LAKE").alias("TARGET_SYSTEM"),
-        F.when(F.col("c_custkey") % 3 == 0, "FULL").otherwise("INCREMENTAL").alias("LOAD_TYPE"),
+        F.when(F.col("c_nationkey") < 12, "DWH").otherwise("LAKE").alias("TARGET_SYSTEM"),
+        F.when(F.col("c_acctbal") > 5000, "FULL").otherwise("INCREMENTAL").alias("LOAD_TYPE"),
     )
 
 

@@ -5,23 +5,24 @@ from __future__ import annotations
 _ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 _MARK = "TIMESTAMP '2000-01-01 00:00:00'"
 _RUN = "TIMESTAMP '2025-01-01 00:00:00'"
+_OLD = "o_orderdate <= TIMESTAMP '2000-12-31 00:00:00'"
 _OLD_LOAD = "TIMESTAMP '2024-01-01 00:00:00'"
 
 _T0 = f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, CAST(floor(o_totalprice) AS DOUBLE) AS o_totalprice,
        o_orderdate, o_orderpriority, 'OLD' AS source_system, {_OLD_LOAD} AS loaded_at
-FROM orders WHERE o_orderkey % 10 <> 0"""
+FROM orders WHERE {_OLD}"""
 
 _S = f"SELECT * FROM orders WHERE o_orderdate > {_MARK}"
 
 _S_NULLS = f"""
 SELECT o_orderkey, o_custkey, o_orderstatus,
-       CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
+       CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice END AS o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderdate > {_MARK}
 UNION ALL
 SELECT CAST(NULL AS BIGINT), o_custkey, o_orderstatus,
-       CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END, o_orderdate, o_orderpriority
-FROM orders WHERE o_orderdate > {_MARK} AND o_orderkey % 11 = 0"""
+       CASE WHEN o_orderpriority <> '1-URGENT' THEN o_totalprice END, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderdate > {_MARK} AND o_orderstatus = 'P'"""
 
 
 def _merged(target: str, stage: str, keys: list[str], columns: list[str]) -> dict[str, str]:
@@ -97,7 +98,7 @@ ORACLE: dict[str, str] = {
 SELECT c_name AS "PROCESS_NAME", 'Y' AS "ACTIVE_FLAG", c_mktsegment AS "SOURCE_SYSTEM",
        'DWH' AS "TARGET_SYSTEM", 'INCREMENTAL' AS "LOAD_TYPE"
 FROM customer
-WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING' AND c_nationkey % 2 = 0 AND c_custkey % 3 <> 0""",
+WHERE c_acctbal >= 0 AND c_mktsegment = 'BUILDING' AND c_nationkey < 12 AND c_acctbal <= 5000""",
     "high_water_mark": """
 SELECT 'orders' AS table_name, max(o_orderdate) AS enddate FROM orders
 UNION ALL SELECT 'lineitem', max(l_shipdate) FROM lineitem
@@ -136,11 +137,11 @@ FROM lineitem""",
         [
             _drift("O_CUSTKEY", "type_mismatch", "bigint", "string", "o_custkey", "orders"),
             _drift("O_ORDERPRIORITY", "new", "string", None, "o_orderpriority", "orders"),
-            _drift("SOURCE_SYSTEM", "target_only", None, "string", "*", "orders WHERE o_orderkey % 10 <> 0"),
-            _drift("LOADED_AT", "target_only", None, "timestamp_ntz", "*", "orders WHERE o_orderkey % 10 <> 0"),
+            _drift("SOURCE_SYSTEM", "target_only", None, "string", "*", f"orders WHERE {_OLD}"),
+            _drift("LOADED_AT", "target_only", None, "timestamp_ntz", "*", f"orders WHERE {_OLD}"),
             _drift(
                 "LEGACY_NOTE", "target_only", None, "string",
-                "CASE WHEN o_orderkey % 4 = 0 THEN 1 END", "orders WHERE o_orderkey % 10 <> 0",
+                "CASE WHEN o_orderstatus = 'F' THEN 1 END", f"orders WHERE {_OLD}",
             ),
         ]
     ),
@@ -151,7 +152,7 @@ FROM lineitem""",
     "type_drift_profile": " UNION ALL ".join(
         [
             _lost("customer", "c_name", "c_name"),
-            _lost("customer", "c_suffix", "substr(c_name, 10)"),
+            _lost("customer", "c_digits", "regexp_replace(c_name, '[^0-9]', '', 'g')"),
             _lost("customer", "c_mktsegment", "c_mktsegment"),
             _lost("part", "p_name", "p_name"),
         ]
@@ -162,8 +163,8 @@ FROM lineitem""",
     "upsert_matched": _ORDERS_MERGE["matched"],
     "upsert_inserted": _ORDERS_MERGE["inserted"],
     "upsert_repeated_target": f"""
-WITH t AS (SELECT * FROM lineitem WHERE l_orderkey % 3 <> 0),
-     s AS (SELECT o_orderkey AS l_orderkey, o_orderstatus AS l_linestatus FROM orders WHERE o_orderkey % 2 = 0)
+WITH t AS (SELECT * FROM lineitem),
+     s AS (SELECT o_orderkey AS l_orderkey, o_orderstatus AS l_linestatus FROM orders WHERE o_orderdate > {_MARK})
 SELECT {", ".join(f"t.{c}" for c in _LINEITEM if c != "l_linestatus")},
        CASE WHEN s.l_orderkey IS NOT NULL THEN s.l_linestatus ELSE t.l_linestatus END AS l_linestatus
 FROM t LEFT JOIN s ON t.l_orderkey = s.l_orderkey
@@ -179,7 +180,7 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
             _profile("orders", "o_orderkey", "orders"),
             _profile("lineitem", "l_orderkey, l_linenumber", "lineitem"),
             _profile(
-                "events", "user_id", "(SELECT CASE WHEN event_id % 7 <> 0 THEN user_id END AS user_id FROM events)"
+                "events", "user_id", "(SELECT CASE WHEN event_type <> 'error' THEN user_id END AS user_id FROM events)"
             ),
         ]
     ),

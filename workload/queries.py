@@ -218,7 +218,7 @@ def _drifted(orders: DataFrame) -> DataFrame:
         old_target(orders)
         .drop("o_orderpriority")
         .withColumn("o_custkey", F.col("o_custkey").cast("string"))
-        .withColumn("legacy_note", F.when(F.col("o_orderkey") % 4 == 0, "kept"))
+        .withColumn("legacy_note", F.when(F.col("o_orderstatus") == "F", "kept"))
     )
 
 
@@ -245,7 +245,7 @@ def schema_evolve(spark, sf_dir):
 @query("type_drift_profile")
 def type_drift(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", F.expr("substr(c_name, 10)").alias("c_suffix"), "c_mktsegment"
+        "c_custkey", "c_name", F.regexp_replace("c_name", "[^0-9]", "").alias("c_digits"), "c_mktsegment"
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
 
@@ -301,10 +301,10 @@ def upsert_inserted(spark, sf_dir):
 
 @query("upsert_repeated_target")
 def upsert_repeated_target(spark, sf_dir):
-    """Orders merged into their lines by the order key, which the lines repeat."""
+    """Late orders merged into the lines by the order key, which the lines repeat."""
     orders = table(spark, sf_dir, "orders")
-    status = orders.filter("o_orderkey % 2 = 0").selectExpr("o_orderkey AS l_orderkey", "o_orderstatus AS l_linestatus")
-    target = table(spark, sf_dir, "lineitem").filter("l_orderkey % 3 <> 0")
+    status = delta(orders).selectExpr("o_orderkey AS l_orderkey", "o_orderstatus AS l_linestatus")
+    target = table(spark, sf_dir, "lineitem")
     stage = stage_table(status, fresh_dir(spark, "stage"))
     return upsert(target, require_unique_keys(stage, "l_orderkey"), "l_orderkey")
 
@@ -348,7 +348,7 @@ def dq_profiles(spark, sf_dir):
     keys = {"orders": "o_orderkey", "lineitem": ["l_orderkey", "l_linenumber"]}
     profiles = {name: dq_profile(table(spark, sf_dir, name), k) for name, k in keys.items()}
     profiles["events"] = dq_profile(
-        events.select(F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id")), "user_id"
+        events.select(F.when(F.col("event_type") != "error", F.col("user_id")).alias("user_id")), "user_id"
     )
     return _named(profiles)
 
@@ -376,7 +376,7 @@ def full_load(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     process = Process("FULL_CUSTOMER", "customer", "customer", SOURCE, load_type="FULL")
     root = fresh_dir(spark, "full")
-    TargetStore(spark, root, "customer").adopt(audited(customer.filter("c_custkey % 2 = 0")))
+    TargetStore(spark, root, "customer").adopt(audited(customer.filter("c_acctbal < 0")))
     return sync(spark, process, customer, root, run_ts=RUN).target
 
 
