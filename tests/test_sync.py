@@ -1,5 +1,5 @@
 import datetime as dt
-import os
+import importlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 import tidemark.plans.store as store_module
 from tidemark import Process, TargetStore, sync
 
+sync_module = importlib.import_module("tidemark.plans.sync")
+
 RUN = dt.datetime(2025, 1, 1)
 LATER = dt.datetime(2025, 2, 1)
 P = Process("P", "src", "tgt", "SRC", incremental_column="t", keys=("k",))
@@ -196,6 +198,21 @@ def test_a_crash_before_the_commit_leaves_the_old_state(fx, monkeypatch, point):
     )
 
 
+def test_a_run_overtaken_by_another_gives_up(fx, monkeypatch):
+    fx.run([(1, 1, "a")])
+    stage_table = sync_module.stage_table
+
+    def overtaken(df, path):
+        monkeypatch.setattr(sync_module, "stage_table", stage_table)
+        fx.run([(2, 2, "b")])
+        return stage_table(df, path)
+
+    monkeypatch.setattr(sync_module, "stage_table", overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        fx.run([(3, 3, "c")])
+    assert rows(fx.store.read()) == [(1, 1, "a"), (2, 2, "b")]
+
+
 def test_older_versions_stay_readable(fx):
     first = fx.run([(1, 1, "a")]).target
     fx.run([(1, 2, "b")])
@@ -226,12 +243,14 @@ def test_many_random_batches_equal_one_dictionary(fx):
         assert rows(result.target) == sorted([*truth.values(), *keyless], key=repr)
 
 
-def test_incremental_stage_is_gathered_into_few_files(fx):
+def test_incremental_stage_is_gathered_into_few_files(fx, monkeypatch):
     """Each of many scan tasks leaves a few rows past the mark."""
     fx.run([(0, 0, "a")])
+    paths, stage_table = [], sync_module.stage_table
+    monkeypatch.setattr(sync_module, "stage_table", lambda df, path: paths.append(path) or stage_table(df, path))
     wide = fx.spark.range(1, 4000, 1, 200).selectExpr("CAST(id AS int) AS k", "CAST(id % 50 AS int) AS t", "'v' AS v")
     fx.run(wide)
-    assert len([f for f in os.listdir(fx.store.stage_path) if f.endswith(".parquet")]) <= 8
+    assert len(fx.spark.read.parquet(paths[0]).inputFiles()) <= 8
 
 
 def test_hot_key_and_keyless_third_of_a_delta(fx):

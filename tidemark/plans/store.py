@@ -3,12 +3,14 @@
     <root>/<target>/data/<run>/part-*      rows, never changed once written
     <root>/<target>/manifest/<run>/part-*  names of the files that make up a version
     <root>/<target>/ledger/part-*          one row per run; naming a manifest commits it
-    <root>/<target>/stage, hits            scratch of the run in progress
+
+The stage of a run lies in the cluster's shared scratch folder, not here.
 
 A run writes new files next to the old ones and commits by its ledger row. Files
 without a row to replace are carried over by name, so a run costs what it changes.
 New columns live in the recorded schema only: old files read them as NULL.
-One writer per target is assumed.
+One writer per target at a time: a run that finds another one committed since it
+began gives up, but two commits in the same instant are not told apart.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def _file_id(name: Column) -> Column:
 
 
 def stage_table(df: DataFrame, path: str) -> DataFrame:
-    """Write `df` over whatever an earlier run left at `path`, and read it back."""
+    """Write `df` over whatever an earlier attempt left at `path`, and read it back."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -50,8 +52,6 @@ class TargetStore:
         self.spark = spark
         self.path = f"{root.rstrip('/')}/{target}"
         self.ledger_path = f"{self.path}/ledger"
-        self.stage_path = f"{self.path}/stage"
-        self.hits_path = f"{self.path}/hits"
 
     def ledger(self) -> DataFrame | None:
         return read_ledger(self.spark, self.ledger_path)
@@ -131,4 +131,8 @@ class TargetStore:
         )
 
     def commit(self, row: dict) -> None:
+        """Append the run's ledger row, unless another run was committed since this one began."""
+        newest = self.state().run_id
+        if newest >= row["run_id"]:
+            raise RuntimeError(f"{self.path}: run {newest} was committed by another writer; run again")
         append_ledger(self.spark, self.ledger_path, row)

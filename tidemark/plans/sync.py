@@ -29,6 +29,7 @@ from tidemark.operators.schema import ColumnDrift, conform, diff_schemas, evolve
 from tidemark.operators.upsert import bounded_broadcast, dedupe_latest, upsert
 from tidemark.plans.control import INCREMENTAL, Process
 from tidemark.plans.store import TargetState, TargetStore, stage_table
+from tidemark.session import fresh_dir
 from tidemark.sources.incremental import incremental_scan
 
 # Types whose smallest and largest stage key may bound the search for target files.
@@ -108,14 +109,14 @@ def _stage(
 ) -> _Stage:
     """Write the delta once and profile it; with `latest`, thin out repeated keys if there are any."""
     mark = process.incremental_column
-    rows = stage_table(delta, store.data_path(version) if version else store.stage_path)
+    rows = stage_table(delta, store.data_path(version) if version else fresh_dir(store.spark, "stage"))
     counts = _profile(rows, keys, mark, measure=version is None)
     if not counts.repeated:
         return _Stage(rows, version, counts)
     if duplicates != "latest" or not mark:
         raise ValueError(f"{process.name}: {counts.repeated} keys of {keys} occur more than once in the stage")
     thinned = f"{version}-latest" if version else None
-    path = store.data_path(thinned) if thinned else f"{store.stage_path}-latest"
+    path = store.data_path(thinned) if thinned else fresh_dir(store.spark, "latest")
     # Size only shrinks; mark and key range stay: the profile still holds.
     return _Stage(stage_table(dedupe_latest(rows, keys, mark), path), thinned, counts)
 
@@ -153,7 +154,7 @@ def _merge(
     wanted = staged.filter(all_present(keys)).select(*keys)
     # Written as it comes from the join: an aggregate here would keep AQE from splitting a hot key.
     found = held.select(*keys, "__file").join(bounded_broadcast(wanted, few), keys, "left_semi")
-    hits = stage_table(found, store.hits_path)
+    hits = stage_table(found, fresh_dir(store.spark, "hits"))
 
     per_file = hits.groupBy("__file").agg(F.count("*").alias("copies")).collect()
     ids = {row["__file"] for row in per_file}
