@@ -48,7 +48,7 @@ def test_sync_all_runs_every_process_and_keeps_separate_ledgers(spark, tmp_path)
     sizes = {"src_A": 3, "src_B": 4, "src_C": 5}
     read = lambda p: spark.range(sizes[p.source_table]).selectExpr("id", "id * 2 AS v")
     results = sync_all(spark, table, read, str(tmp_path), run_ts=dt.datetime(2025, 1, 1))
-    assert {n: r.target.count() for n, r in results.items()} == {"A": 3, "B": 4, "C": 5}
+    assert {r.process.name: r.target.count() for r in results} == {"A": 3, "B": 4, "C": 5}
     newest = ledger_current(read_ledger(spark, f"{tmp_path}/*/ledger"), "process_name").collect()
     assert {r.process_name: (r["mode"], r.mark, r.batch_id) for r in newest} == {
         "A": ("merge", "2", "20250101000000"),
@@ -70,5 +70,5 @@ def test_zoned_enddate_of_the_control_table_is_read_in_utc(spark, tmp_path):
         "*", "timestamp'2024-01-01 12:00:00 UTC' AS ENDDATE"
     ).drop("_CONDITION").selectExpr("*", "'t' AS _CONDITION")
     source = spark.sql("SELECT 1 AS id, timestamp_ntz'2024-01-01 12:00:00' AS t UNION ALL SELECT 2, timestamp_ntz'2024-01-01 12:00:01'")
-    result = sync_all(spark, table, lambda p: source, str(tmp_path))["A"]
+    result = sync_all(spark, table, lambda p: source, str(tmp_path))[0]
     assert [r.id for r in result.target.collect()] == [2]

@@ -151,6 +151,20 @@ def test_text_key_range_does_not_hide_matches_of_another_type(fx):
     assert rows(out.target) == [("10", 1, "b"), ("100", 2, "z"), ("9", 2, "x")]
 
 
+def test_keys_that_become_equal_in_the_target_type_are_repeated_keys(fx):
+    fx.run([(1, 1, "a")])
+    text = [("2", 2, "b"), ("02", 3, "c")]
+    with pytest.raises(ValueError, match="more than once"):
+        fx.run(text, columns="k string, t int, v string")
+    out = fx.run(text, columns="k string, t int, v string", duplicates="latest")
+    assert rows(out.target) == [(1, 1, "a"), (2, 3, "c")]
+
+
+def test_mark_of_a_retyped_column_is_the_target_maximum(fx):
+    fx.run([(1, "5", "a")], columns="k int, t string, v string")
+    assert fx.run([(2, 10, "b")], columns="k int, t int, v string").mark == "5", "as text '5' > '10'"
+
+
 def test_append_without_a_key_and_full_load(fx):
     append = Process("P", "src", "tgt", "SRC", incremental_column="t")
     fx.run([(1, 1, "a")], append)

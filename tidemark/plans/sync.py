@@ -25,7 +25,7 @@ from tidemark.functions.marks import as_enddate
 from tidemark.functions.names import by_upper_name
 from tidemark.functions.size import BROADCAST_BYTES, row_bytes
 from tidemark.operators.quality import all_present, high_water_mark
-from tidemark.operators.schema import ColumnDrift, conform, diff_schemas, evolve_schema
+from tidemark.operators.schema import MISMATCH, ColumnDrift, conform, diff_schemas, evolve_schema
 from tidemark.operators.upsert import bounded_broadcast, dedupe_latest, upsert
 from tidemark.plans.control import INCREMENTAL, Process
 from tidemark.plans.store import TargetState, TargetStore, stage_table
@@ -40,7 +40,8 @@ _BOUNDED = (ByteType, ShortType, IntegerType, LongType, DateType, TimestampNTZTy
 class SyncResult:
     """What a run did. `target` reads the committed version."""
 
-    target: DataFrame | None
+    process: Process
+    target: DataFrame
     run_id: int
     rows_read: int
     rows_updated: int
@@ -121,11 +122,10 @@ def _stage(
     return _Stage(stage_table(dedupe_latest(rows, keys, mark), path), thinned, counts)
 
 
-def _within(key: str, target: DataFrame, stage: _Stage) -> Column:
+def _within(key: str, stage: _Stage) -> Column:
     """The stage's key range, which parquet row-group statistics can use."""
-    dtype = target.select(key).schema[0].dataType
-    comparable = dtype == stage.rows.select(key).schema[0].dataType and isinstance(dtype, _BOUNDED)
-    if not comparable or stage.counts.lo is None:
+    dtype = stage.rows.schema[key].dataType
+    if not isinstance(dtype, _BOUNDED) or stage.counts.lo is None:
         return F.col(key).isNotNull()
     lo, hi = (F.lit(str(v)).cast(dtype) for v in (stage.counts.lo, stage.counts.hi))
     return F.col(key).between(lo, hi)
@@ -148,10 +148,9 @@ def _merge(
     """
     small = stage.counts.bytes <= broadcast_bytes
     few = stage.counts.key_bytes <= broadcast_bytes
-    staged = conform(stage.rows, schema, fill=False)
     target = store.read_version(schema, list(live))
-    held = store.with_file_id(target.filter(all_present(keys) & _within(keys[0], target, stage)))
-    wanted = staged.filter(all_present(keys)).select(*keys)
+    held = store.with_file_id(target.filter(all_present(keys) & _within(keys[0], stage)))
+    wanted = stage.rows.filter(all_present(keys)).select(*keys)
     # Written as it comes from the join: an aggregate here would keep AQE from splitting a hot key.
     found = held.select(*keys, "__file").join(bounded_broadcast(wanted, few), keys, "left_semi")
     hits = stage_table(found, fresh_dir(store.spark, "hits"))
@@ -164,9 +163,9 @@ def _merge(
     old = store.read_version(schema, [file for file, file_id in live.items() if file_id in ids])
     if ids:
         matched = hits.select(*keys).distinct()
-        merged = upsert(old, staged, keys, audit, broadcast=small, matched=matched)
+        merged = upsert(old, stage.rows, keys, audit, broadcast=small, matched=matched)
     else:
-        merged = conform(staged, schema)
+        merged = conform(stage.rows, schema)
     stage_table(merged, store.data_path(version))
     written = store.files_of(version, schema)
     inserted = store.read_version(schema, written).count() - old.count()
@@ -174,13 +173,19 @@ def _merge(
 
 
 def _next_mark(
-    process: Process, state: TargetState, stage: _Stage, target: Callable[[], DataFrame], replaced: bool
+    process: Process,
+    state: TargetState,
+    stage: _Stage,
+    target: Callable[[], DataFrame],
+    replaced: bool,
+    drift: list[ColumnDrift],
 ) -> dict:
     """The largest value in the target after the load, or the old mark if there is none.
 
     If this process made the last run on the target, its mark is the target's
     largest value, and every row read since is past it: the stage's largest value
-    is then the target's, without reading the target.
+    is then the target's, without reading the target. Unless source and target
+    disagree on the column's type, and so perhaps on its order.
     """
     column = process.incremental_column
     if not column:
@@ -192,7 +197,8 @@ def _next_mark(
         column,
     )
     past_mark = same and last["mark"] is not None and process.load_type.upper() == INCREMENTAL
-    if replaced or past_mark:
+    retyped = any(d.status == MISMATCH and d.column == column.upper() for d in drift)
+    if replaced or (past_mark and not retyped):
         top = stage.counts
     else:
         top = high_water_mark(target(), column).select(F.col("mark").cast("string"), "enddate").first()
@@ -231,24 +237,14 @@ def sync(
     live = store.manifest(state)
     mode = process.mode
 
-    delta = source
-    if process.load_type.upper() == INCREMENTAL:
-        start = state.own_mark.get("mark")
-        start = process.enddate if start is None else start
-        delta = incremental_scan(source, process.incremental_column, start, inclusive, zone)
-        if delta is not source:
-            # A filtered scan leaves a little in each of many partitions; gather it into few files.
-            delta = delta.hint("rebalance", *process.keys)
-    delta = with_audit(to_layout(delta, flat, zone), stamp, process.source_system, audit)
-    fields = by_upper_name(delta.schema)
-    keys = [fields[k.upper()].name for k in process.keys] if mode == "merge" else []
-
-    # Without rows to look up, the stage is the new data itself.
+    delta = with_audit(_read(process, state, source, inclusive, flat, zone), stamp, process.source_system, audit)
     schema = evolve_schema(state.schema or _created(source, delta), delta.schema)
     drift = diff_schemas(delta.schema, state.schema) if state.schema else []
+    # Without rows to look up, the stage is the new data itself.
     direct = mode != "merge" or not live
-    if direct and state.schema:
-        delta = conform(delta, schema)
+    delta = conform(delta, schema, fill=direct)
+    fields = by_upper_name(schema)
+    keys = [fields[k.upper()].name for k in process.keys] if mode == "merge" else []
     stage = _stage(store, delta, version if direct else None, process, keys, duplicates)
 
     rows_read, updated, inserted = stage.counts.rows, 0, 0
@@ -260,15 +256,12 @@ def sync(
             written = store.files_of(version, schema)
             files, inserted = (written if mode == "full" else [*live, *written]), stage.counts.kept
         else:
-            files, updated, inserted = _merge(
-                store, live, schema, stage, _names(schema, keys), version, audit, broadcast_bytes
-            )
+            files, updated, inserted = _merge(store, live, schema, stage, keys, version, audit, broadcast_bytes)
         manifest = version
         store.write_manifest(version, files)
 
-    mark = _next_mark(
-        process, state, stage, lambda: store.read_version(schema, files), replaced=mode == "full" or not live
-    )
+    replaced = mode == "full" or not live
+    mark = _next_mark(process, state, stage, lambda: store.read_version(schema, files), replaced, drift)
     store.commit(
         {
             "process_name": process.name,
@@ -288,7 +281,8 @@ def sync(
             "finished_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
         }
     )
-    return SyncResult(store.read_version(schema, files), run_id, rows_read, updated, inserted, mark["mark"], drift)
+    target = store.read_version(schema, files)
+    return SyncResult(process, target, run_id, rows_read, updated, inserted, mark["mark"], drift)
 
 
 def _created(source: DataFrame, delta: DataFrame) -> StructType:
@@ -297,9 +291,19 @@ def _created(source: DataFrame, delta: DataFrame) -> StructType:
     return StructType([StructField(f.name, f.dataType, f.name not in required) for f in delta.schema.fields])
 
 
-def _names(schema: StructType, keys: list[str]) -> list[str]:
-    fields = by_upper_name(schema)
-    return [fields[k.upper()].name for k in keys]
+def _read(
+    process: Process, state: TargetState, source: DataFrame, inclusive: bool, flat: bool, zone: str
+) -> DataFrame:
+    """The source's rows past the mark, in the target's physical types."""
+    delta = source
+    if process.load_type.upper() == INCREMENTAL:
+        start = state.own_mark.get("mark")
+        start = process.enddate if start is None else start
+        delta = incremental_scan(source, process.incremental_column, start, inclusive, zone)
+    if delta is not source:
+        # A filtered scan leaves a little in each of many partitions; gather it into few files.
+        delta = delta.hint("rebalance", *process.keys)
+    return to_layout(delta, flat, zone)
 
 
 def sync_all(
@@ -308,7 +312,7 @@ def sync_all(
     read: Callable[[Process], DataFrame],
     root: str,
     **options,
-) -> dict[str, SyncResult]:
+) -> list[SyncResult]:
     """Run every chosen process, one after the other; none chosen is an error.
 
     `read` opens the source of a process. The rows are definitions, one per
@@ -318,4 +322,4 @@ def sync_all(
     chosen = [Process.from_row(row) for row in to_layout(processes, zone=zone).collect()]
     if not chosen:
         raise ValueError("no active process")
-    return {p.name: sync(spark, p, read(p), root, **options) for p in chosen}
+    return [sync(spark, p, read(p), root, **options) for p in chosen]
