@@ -10,7 +10,7 @@ from tidemark.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tidemark-tests")
+    session = local_session("tidemark-tests", cores="4")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

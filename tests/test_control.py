@@ -72,3 +72,19 @@ def test_zoned_enddate_of_the_control_table_is_read_in_utc(spark, tmp_path):
     source = spark.sql("SELECT 1 AS id, timestamp_ntz'2024-01-01 12:00:00' AS t UNION ALL SELECT 2, timestamp_ntz'2024-01-01 12:00:01'")
     result = sync_all(spark, table, lambda p: source, str(tmp_path))[0]
     assert [r.id for r in result.target.collect()] == [2]
+
+
+def test_control_names_in_any_case_and_targets_of_equal_name_kept_apart(spark, tmp_path):
+    base = control(spark, row("A")).selectExpr("* EXCEPT (TARGET_TABLE_NAME)", "'tgt' AS target_table_name")
+    table = base.selectExpr("*", "'dw' AS TARGET_DATABASE", "'x' AS TARGET_SCHEMA").unionByName(
+        base.selectExpr("*", "'dw' AS TARGET_DATABASE", "'y' AS TARGET_SCHEMA")
+    )
+    results = sync_all(spark, table, lambda p: spark.range(3), str(tmp_path))
+    assert [r.process.target_name for r in results] == ["dw.x.tgt", "dw.y.tgt"]
+    assert [r.run_id for r in results] == [1, 1]
+    assert TargetStore(spark, str(tmp_path), "dw.y.tgt").read().count() == 3
+
+
+def test_keys_given_as_text_are_refused():
+    with pytest.raises(TypeError, match="tuple"):
+        Process("P", "s", "t", "SRC", keys="id")

@@ -242,6 +242,22 @@ def test_composite_key_with_a_null_part_matches_nothing(fx):
     )
 
 
+def test_nested_columns_stay_nested_or_become_text(fx):
+    def source(t):
+        return fx.spark.sql(
+            f"""SELECT 1 AS k, {t} AS t, array({t}, 2) AS a, map('x', {t}) AS m, named_struct('y', {t}) AS s,
+            timestamp'2024-01-01 00:00:00 UTC' AS at"""
+        )
+
+    fx.run(source(1))
+    kept = fx.run(source(2)).target.first()
+    assert (kept.a, kept.m, kept.s.y, kept["at"]) == ([2, 2], {"x": 2}, 2, dt.datetime(2024, 1, 1))
+    flat = Process("F", "src", "flat", "SRC", incremental_column="t", keys=("k",))
+    fx.run(source(1), flat, flat=True)
+    text = fx.run(source(2), flat, flat=True)
+    assert tuple(text.target.select("a", "m", "s").first()) == ("[2,2]", '{"x":2}', '{"y":2}') and text.drift == []
+
+
 def test_many_random_batches_equal_one_dictionary(fx):
     import random
 

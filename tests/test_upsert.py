@@ -154,3 +154,6 @@ def test_size_is_measured_not_guessed(spark):
     wide = spark.range(1000).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
     assert fits_broadcast(wide, 1_100_000) and not fits_broadcast(wide, 1_000_000)
     assert fits_broadcast(wide.filter("false"), 0)
+    hollow = ", ".join(f"'f{i}', CAST(NULL AS BIGINT)" for i in range(50))
+    structs = spark.range(100).selectExpr(f"named_struct({hollow}) AS s")
+    assert not fits_broadcast(structs, 100 * 50 * 8), "NULL fields take their word too"

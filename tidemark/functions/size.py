@@ -22,8 +22,9 @@ def row_bytes(schema: StructType) -> Column:
         if isinstance(field.dataType, (StringType, BinaryType)):
             varying.append(F.octet_length(column))
         elif isinstance(field.dataType, NESTED):
-            # Nested values take up to a word per element; their JSON text has two bytes or more each.
-            varying.append(F.octet_length(F.to_json(column)) * 4)
+            # Nested values take up to a word per element; their JSON text, with NULL
+            # fields spelled out, has two bytes or more each.
+            varying.append(F.octet_length(F.to_json(column, {"ignoreNullFields": "false"})) * 4)
         elif isinstance(field.dataType, DecimalType):
             varying.append(F.lit(2 * _WORD))
     fixed = F.lit(_WORD * (len(schema.fields) + 2)).cast("long")

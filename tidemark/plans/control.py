@@ -41,6 +41,16 @@ class Process:
     target_database: str | None = None
     target_schema: str | None = None
 
+    def __post_init__(self) -> None:
+        if isinstance(self.keys, str):
+            raise TypeError(f"{self.name}: keys are a tuple of column names")
+
+    @property
+    def target_name(self) -> str:
+        """The target with its database and schema, where given."""
+        parts = (self.target_database, self.target_schema, self.target_table)
+        return ".".join(part for part in parts if part)
+
     @property
     def mode(self) -> str:
         """merge for an incremental load with a key, full for a full load, else append."""
@@ -51,14 +61,14 @@ class Process:
     @staticmethod
     def from_row(row: Row) -> Process:
         """Read a control row. PRIMARY_KEY may name several columns, separated by commas."""
-        values = row.asDict()
+        values = {name.upper(): value for name, value in row.asDict().items()}
         keys = tuple(k.strip() for k in (values.get(PRIMARY_KEY) or "").split(",") if k.strip())
         return Process(
             name=values[PROCESS_NAME],
             source_table=values[SOURCE_TABLE_NAME],
             target_table=values[TARGET_TABLE_NAME],
             source_system=values[SOURCE_SYSTEM],
-            load_type=values[LOAD_TYPE],
+            load_type=values.get(LOAD_TYPE) or "",
             incremental_column=values.get(INCREMENTAL_COLUMN) or None,
             keys=keys,
             enddate=values.get(ENDDATE),

@@ -230,7 +230,7 @@ def sync(
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_ts = run_ts or started
     stamp = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
-    store = TargetStore(spark, root, process.target_table)
+    store = TargetStore(spark, root, process.target_name)
     state = store.state(process.name, process.source_table)
     run_id = state.run_id + 1
     version = store.new_version(run_id)
