@@ -1,3 +1,4 @@
+import os
 import pathlib
 import sys
 
@@ -12,5 +13,7 @@ from tidemark.session import local_session
 def spark():
     session = local_session("tidemark-tests", cores="4")
     session.sparkContext.setLogLevel("ERROR")
+    for setting in os.environ.get("TEST_CONF", "").split():
+        session.conf.set(*setting.split("=", 1))
     yield session
     session.stop()

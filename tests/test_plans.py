@@ -102,7 +102,7 @@ def test_null_keys_do_not_meet_in_one_partition(spark, no_auto_broadcast, tmp_pa
     source.write.parquet(str(tmp_path / "t"))
     target = spark.read.parquet(str(tmp_path / "t"))
     out = upsert(target, target.filter("k % 2 = 0 OR k IS NULL"), "k")
-    with settings(spark, adaptive__coalescePartitions__enabled="false"):
+    with settings(spark, adaptive__coalescePartitions__enabled="false", shuffle__partitions="8"):
         sizes = _partition_sizes(out)
     assert sum(sizes) == 40_000
     assert max(sizes) < 5_000

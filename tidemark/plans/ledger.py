@@ -61,6 +61,9 @@ def ledger_metadata(ledger: DataFrame) -> DataFrame:
 
 def run_metrics(ledger: DataFrame) -> DataFrame:
     """Rows and duration of each run."""
-    took = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("finished_at")) / F.lit(1e6)
+    took = F.expr(
+        """CAST(extract(DAY FROM finished_at - started_at) * 86400 + extract(HOUR FROM finished_at - started_at) * 3600
+        + extract(MINUTE FROM finished_at - started_at) * 60 + extract(SECOND FROM finished_at - started_at) AS DOUBLE)"""
+    )
     counts = ("rows_read", "rows_updated", "rows_inserted")
     return ledger.select("process_name", "run_id", *counts, took.alias("seconds"), "finished_at")

@@ -199,7 +199,7 @@ def warehouse_layout(spark, sf_dir):
         F.array("l_partkey", "l_suppkey", F.col("l_linenumber").cast("long")).alias("ids"),
         F.create_map(F.col("l_returnflag"), F.col("l_linenumber")).alias("flag_line"),
         F.struct(F.col("l_linestatus").alias("status"), F.col("l_partkey").alias("part")).alias("state"),
-        F.col("l_shipdate").cast("timestamp").alias("shipped_at"),
+        F.concat(F.col("l_shipdate").cast("string"), F.lit("Z")).cast("timestamp").alias("shipped_at"),
     )
     return to_layout(nested, flat=True)
 
