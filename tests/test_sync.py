@@ -30,7 +30,7 @@ class Fixture:
         return sync(self.spark, process, df, self.root, run_ts=run_ts, **options)
 
     def files(self):
-        return set(self.store.manifest(self.store.state()))
+        return set(self.store.files(self.store.manifest(self.store.state().manifest)))
 
 
 @pytest.fixture(params=[64 << 20, -1], ids=["broadcast", "shuffle"])

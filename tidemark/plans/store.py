@@ -1,13 +1,14 @@
 """Versions of a target as parquet files, for places without a table format.
 
     <root>/<target>/data/<run>/part-*      rows, never changed once written
-    <root>/<target>/manifest/<run>/part-*  names of the files that make up a version
+    <root>/<target>/manifest/<run>/part-*  the files that make up a version, with their key range
     <root>/<target>/ledger/part-*          one row per run; naming a manifest commits it
 
 The stage of a run lies in the cluster's shared scratch folder, not here.
 
 A run writes new files next to the old ones and commits by its ledger row. Files
-without a row to replace are carried over by name, so a run costs what it changes.
+without a row to replace are carried over by name, and files whose key range lies
+apart from the stage's are not even opened, so a run costs what it changes.
 New columns live in the recorded schema only: old files read them as NULL.
 One writer per target at a time: a run that finds another one committed since it
 began gives up, but two commits in the same instant are not told apart.
@@ -17,12 +18,23 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
-
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DateType,
+    IntegerType,
+    LongType,
+    ShortType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+)
+
+from tidemark.functions.marks import mark_text
 from tidemark.plans.ledger import append_ledger, read_ledger
 
 
@@ -37,6 +49,12 @@ class TargetState:
     own_mark: dict = field(default_factory=dict)
 
 
+MANIFEST_SCHEMA = "file string, rows bigint, key string, lo string, hi string"
+
+# Key types whose text keeps every value, so that a file's key range can be kept as text.
+RANGED = (ByteType, ShortType, IntegerType, LongType, DateType, TimestampNTZType, StringType)
+
+
 def _file_id(name: Column) -> Column:
     return F.xxhash64(name)
 
@@ -47,6 +65,17 @@ def stage_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def overlapping(manifest: DataFrame, key: str, dtype: DataType, lo: object | None, hi: object | None) -> DataFrame:
+    """Files that may hold a key from `lo` to `hi`: those of another or unknown key range stay."""
+    if not isinstance(dtype, RANGED):
+        return manifest
+    unknown = F.coalesce(F.col("key") != F.lit(key), F.lit(True))
+    if lo is None:
+        return manifest.filter(unknown)
+    low, high = (F.lit(mark_text(v)).cast(dtype) for v in (lo, hi))
+    return manifest.filter(unknown | ((F.col("lo").try_cast(dtype) <= high) & (F.col("hi").try_cast(dtype) >= low)))
+
+
 class TargetStore:
     def __init__(self, spark: SparkSession, root: str, target: str):
         self.spark = spark
@@ -75,15 +104,18 @@ class TargetStore:
     def exists(self) -> bool:
         return self.state().schema is not None
 
-    def manifest(self, state: TargetState) -> dict[str, int]:
-        """Live files and their ids: metadata only, as Spark's own file listing."""
-        if state.manifest is None:
-            return {}
-        listed = self.spark.read.schema("file string").parquet(f"{self.path}/manifest/{state.manifest}")
-        named = listed.select("file", _file_id(F.substring_index("file", "/", -1)).alias("id"))
+    def manifest(self, version: str | None) -> DataFrame:
+        """The files of a version: rows, and the range of the key they were loaded by, if known."""
+        if version is None:
+            return self.spark.createDataFrame([], MANIFEST_SCHEMA)
+        return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.path}/manifest/{version}")
+
+    def files(self, manifest: DataFrame) -> dict[str, int]:
+        """File names and ids: metadata only, as Spark's own file listing."""
+        named = manifest.select("file", _file_id(F.substring_index("file", "/", -1)).alias("id"))
         return {row.file: row.id for row in named.collect()}
 
-    def read_version(self, schema: StructType, files: list[str]) -> DataFrame:
+    def read_files(self, schema: StructType, files: Iterable[str]) -> DataFrame:
         if not files:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/data/{f}" for f in files])
@@ -93,10 +125,10 @@ class TargetStore:
         state = self.state()
         if state.schema is None:
             raise ValueError(f"no committed target at {self.path}")
-        return self.read_version(state.schema, list(self.manifest(state)))
+        return self.read_files(state.schema, self.files(self.manifest(state.manifest)))
 
     def with_file_id(self, version: DataFrame) -> DataFrame:
-        """Rows of `read_version` with the id of the file that holds them.
+        """Rows of `read_files` with the id of the file that holds them.
 
         The id is a hash: narrow in a shuffle, and two files with one id would
         only be rewritten together.
@@ -110,24 +142,45 @@ class TargetStore:
     def data_path(self, version: str) -> str:
         return f"{self.path}/data/{version}"
 
-    def files_of(self, version: str, schema: StructType) -> list[str]:
-        written = self.spark.read.schema(schema).parquet(self.data_path(version)).inputFiles()
-        return [f"{version}/{path.rsplit('/', 1)[1]}" for path in written]
+    def describe(self, version: str, schema: StructType, key: str | None) -> DataFrame:
+        """Manifest rows of newly written files. Only the key column is read, or only footers."""
+        known = key is not None and isinstance(schema[key].dataType, RANGED)
+        name = F.col("_metadata.file_name").alias("name")
+        value = F.col(key if known else "name")
+        rows = self.spark.read.schema(schema).parquet(self.data_path(version))
+        per_file = rows.select(*([key] if known else []), name).groupBy("name")
+        described = per_file.agg(
+            F.count("*").alias("rows"), F.min(value).cast("string").alias("lo"), F.max(value).cast("string").alias("hi")
+        )
+        return described.select(
+            F.concat(F.lit(f"{version}/"), "name").alias("file"),
+            "rows",
+            F.lit(key if known else None).cast("string").alias("key"),
+            *[(F.col(c) if known else F.lit(None).cast("string")).alias(c) for c in ("lo", "hi")],
+        )
 
-    def write_manifest(self, version: str, files: list[str]) -> None:
-        rows = self.spark.createDataFrame(pa.table({"file": pa.array(files, pa.string())}))
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/{version}")
+    def write_manifest(self, version: str, carried: DataFrame, written: DataFrame) -> Row:
+        """Record the files of a version; returns how many files and rows it has."""
+        listed = carried.unionByName(written).coalesce(1)
+        saved = stage_table(listed, f"{self.path}/manifest/{version}")
+        return saved.agg(F.count("*").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
 
-    def adopt(self, existing: DataFrame) -> None:
+    def adopt(self, existing: DataFrame, key: str | None = None) -> None:
         """Take over a table kept elsewhere as the first version. It has no mark yet."""
         if self.state().run_id:
             raise ValueError(f"{self.path} already has a committed version")
         version = self.new_version(1)
         stage_table(existing, self.data_path(version))
-        self.write_manifest(version, self.files_of(version, existing.schema))
-        target = self.path.rsplit("/", 1)[1]
+        total = self.write_manifest(version, self.manifest(None), self.describe(version, existing.schema, key))
         self.commit(
-            {"run_id": 1, "target_table": target, "manifest": version, "table_schema": existing.schema.json()}
+            {
+                "run_id": 1,
+                "target_table": self.path.rsplit("/", 1)[1],
+                "manifest": version,
+                "table_schema": existing.schema.json(),
+                "target_files": total.files,
+                "target_rows": total.rows,
+            }
         )
 
     def commit(self, row: dict) -> None:

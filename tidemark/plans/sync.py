@@ -6,48 +6,40 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.types import (
-    ByteType,
-    DateType,
-    IntegerType,
-    LongType,
-    ShortType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampNTZType,
-)
+from pyspark.sql.types import StructField, StructType
 
 from tidemark.functions.audit import AUDIT, AuditColumns, with_audit
 from tidemark.functions.layout import to_layout
-from tidemark.functions.marks import as_enddate
+from tidemark.functions.marks import as_enddate, mark_text
 from tidemark.functions.names import by_upper_name
 from tidemark.functions.size import BROADCAST_BYTES, row_bytes
 from tidemark.operators.quality import all_present, high_water_mark
 from tidemark.operators.schema import MISMATCH, ColumnDrift, conform, diff_schemas, evolve_schema
 from tidemark.operators.upsert import bounded_broadcast, dedupe_latest, upsert
 from tidemark.plans.control import INCREMENTAL, Process
-from tidemark.plans.store import TargetState, TargetStore, stage_table
+from tidemark.plans.store import RANGED, TargetState, TargetStore, overlapping, stage_table
 from tidemark.session import fresh_dir
 from tidemark.sources.incremental import incremental_scan
 
-# Types whose smallest and largest stage key may bound the search for target files.
-_BOUNDED = (ByteType, ShortType, IntegerType, LongType, DateType, TimestampNTZType, StringType)
-
-
 @dataclass(frozen=True)
 class SyncResult:
-    """What a run did. `target` reads the committed version."""
+    """What a run did."""
 
     process: Process
-    target: DataFrame
     run_id: int
     rows_read: int
     rows_updated: int
     rows_inserted: int
     mark: str | None
     drift: list[ColumnDrift]
+    _read: Callable[[], DataFrame]
+
+    @property
+    def target(self) -> DataFrame:
+        """The version this run committed."""
+        return self._read()
 
 
 @dataclass(frozen=True)
@@ -62,8 +54,7 @@ class _Stage:
 def _profile(stage: DataFrame, keys: list[str], mark: str | None, measure: bool) -> Row:
     """Counts, largest mark and key range of the stage in one job, and its size if asked for.
 
-    `kept` is the row count once every key is down to one row. Without a size only
-    the key and mark columns are read.
+    Without a size only the key and mark columns are read.
     """
     top = F.max(mark) if mark else F.lit(None).cast("string")
     width = row_bytes(stage.schema) if measure else F.lit(0).cast("long")
@@ -73,7 +64,6 @@ def _profile(stage: DataFrame, keys: list[str], mark: str | None, measure: bool)
         nothing = F.lit(None)
         per_key = one.select(
             "*",
-            F.col("rows").alias("kept"),
             F.lit(0).alias("key_bytes"),
             F.lit(0).alias("repeated"),
             nothing.alias("lo"),
@@ -87,14 +77,12 @@ def _profile(stage: DataFrame, keys: list[str], mark: str | None, measure: bool)
             F.sum("bytes").alias("bytes"),
             F.sum(row_bytes(stage.select(*keys).schema)).alias("key_bytes"),
             F.max("mark").alias("mark"),
-            F.coalesce(F.sum(F.when(all_present(keys), 1).otherwise(F.col("n"))), F.lit(0)).alias("kept"),
             repeated.alias("repeated"),
             F.min(keys[0]).alias("lo"),
             F.max(keys[0]).alias("hi"),
         )
     return per_key.select(
         "rows",
-        "kept",
         F.coalesce("bytes", F.lit(0)).alias("bytes"),
         F.coalesce("key_bytes", F.lit(0)).alias("key_bytes"),
         F.col("mark").cast("string").alias("mark"),
@@ -125,51 +113,53 @@ def _stage(
 def _within(key: str, stage: _Stage) -> Column:
     """The stage's key range, which parquet row-group statistics can use."""
     dtype = stage.rows.schema[key].dataType
-    if not isinstance(dtype, _BOUNDED) or stage.counts.lo is None:
+    if not isinstance(dtype, RANGED) or stage.counts.lo is None:
         return F.col(key).isNotNull()
-    lo, hi = (F.lit(str(v)).cast(dtype) for v in (stage.counts.lo, stage.counts.hi))
+    lo, hi = (F.lit(mark_text(v)).cast(dtype) for v in (stage.counts.lo, stage.counts.hi))
     return F.col(key).between(lo, hi)
 
 
 def _merge(
     store: TargetStore,
-    live: dict[str, int],
+    manifest: DataFrame,
     schema: StructType,
     stage: _Stage,
     keys: list[str],
     version: str,
     audit: AuditColumns,
     broadcast_bytes: int,
-) -> tuple[list[str], int, int]:
-    """Rewrite the files that hold a stage key; return the new file list and the row counts.
+) -> tuple[DataFrame, int]:
+    """Rewrite the files that hold a stage key; return the files carried over and the rows updated.
 
-    First only the key column of the target is read, to learn which files hold
-    a match. Only those files are read whole and replaced.
+    Files are found in three steps, each on what the one before left: by the key
+    range in the manifest, by the key column, and only then are rows read whole.
     """
     small = stage.counts.bytes <= broadcast_bytes
     few = stage.counts.key_bytes <= broadcast_bytes
-    target = store.read_version(schema, list(live))
-    held = store.with_file_id(target.filter(all_present(keys) & _within(keys[0], stage)))
-    wanted = stage.rows.filter(all_present(keys)).select(*keys)
-    # Written as it comes from the join: an aggregate here would keep AQE from splitting a hot key.
-    found = held.select(*keys, "__file").join(bounded_broadcast(wanted, few), keys, "left_semi")
-    hits = stage_table(found, fresh_dir(store.spark, "hits"))
-
-    per_file = hits.groupBy("__file").agg(F.count("*").alias("copies")).collect()
+    dtype = stage.rows.schema[keys[0]].dataType
+    near = store.files(overlapping(manifest, keys[0], dtype, stage.counts.lo, stage.counts.hi))
+
+    per_file, hits = [], None
+    if near:
+        held = store.with_file_id(store.read_files(schema, near))
+        held = held.filter(all_present(keys) & _within(keys[0], stage)).select(*keys, "__file")
+        wanted = stage.rows.filter(all_present(keys)).select(*keys)
+        # Written as it comes from the join: an aggregate here would keep AQE from splitting a hot key.
+        found = held.join(bounded_broadcast(wanted, few), keys, "left_semi")
+        hits = stage_table(found, fresh_dir(store.spark, "hits"))
+        per_file = hits.groupBy("__file").agg(F.count("*").alias("copies")).collect()
     ids = {row["__file"] for row in per_file}
-    updated = sum(row.copies for row in per_file)
-    kept = [file for file, file_id in live.items() if file_id not in ids]
-
-    old = store.read_version(schema, [file for file, file_id in live.items() if file_id in ids])
-    if ids:
-        matched = hits.select(*keys).distinct()
-        merged = upsert(old, stage.rows, keys, audit, broadcast=small, matched=matched)
-    else:
-        merged = conform(stage.rows, schema)
+    touched = [file for file, file_id in near.items() if file_id in ids]
+
+    if not touched:
+        stage_table(conform(stage.rows, schema), store.data_path(version))
+        return manifest, 0
+    old = store.read_files(schema, touched)
+    matched = hits.select(*keys).distinct()
+    merged = upsert(old, stage.rows, keys, audit, broadcast=small, matched=matched)
     stage_table(merged, store.data_path(version))
-    written = store.files_of(version, schema)
-    inserted = store.read_version(schema, written).count() - old.count()
-    return kept + written, updated, inserted
+    replaced = store.spark.createDataFrame(pa.table({"file": touched}))
+    return manifest.join(replaced, "file", "left_anti"), sum(row.copies for row in per_file)
 
 
 def _next_mark(
@@ -234,34 +224,39 @@ def sync(
     state = store.state(process.name, process.source_table)
     run_id = state.run_id + 1
     version = store.new_version(run_id)
-    live = store.manifest(state)
+    live = store.manifest(state.manifest)
     mode = process.mode
+    filled = bool(state.last.get("target_files"))
 
     delta = with_audit(_read(process, state, source, inclusive, flat, zone), stamp, process.source_system, audit)
     schema = evolve_schema(state.schema or _created(source, delta), delta.schema)
     drift = diff_schemas(delta.schema, state.schema) if state.schema else []
     # Without rows to look up, the stage is the new data itself.
-    direct = mode != "merge" or not live
+    direct = mode != "merge" or not filled
     delta = conform(delta, schema, fill=direct)
     fields = by_upper_name(schema)
     keys = [fields[k.upper()].name for k in process.keys] if mode == "merge" else []
     stage = _stage(store, delta, version if direct else None, process, keys, duplicates)
 
-    rows_read, updated, inserted = stage.counts.rows, 0, 0
+    rows_read, updated = stage.counts.rows, 0
+    total = {"files": state.last.get("target_files") or 0, "rows": state.last.get("target_rows") or 0}
+    before = 0 if mode == "full" else total["rows"]
     if rows_read == 0 and mode != "full" and state.schema is not None:
-        files, schema, manifest = list(live), state.schema, state.manifest
+        schema, manifest = state.schema, state.manifest
     else:
+        manifest = stage.version or version
         if direct:
-            version = stage.version
-            written = store.files_of(version, schema)
-            files, inserted = (written if mode == "full" else [*live, *written]), stage.counts.kept
+            carried = store.manifest(None) if mode == "full" else live
         else:
-            files, updated, inserted = _merge(store, live, schema, stage, keys, version, audit, broadcast_bytes)
-        manifest = version
-        store.write_manifest(version, files)
+            carried, updated = _merge(store, live, schema, stage, keys, manifest, audit, broadcast_bytes)
+        range_key = fields[process.keys[0].upper()].name if process.keys else None
+        total = store.write_manifest(manifest, carried, store.describe(manifest, schema, range_key)).asDict()
+    inserted = total["rows"] - before
+
+    def read() -> DataFrame:
+        return store.read_files(schema, store.files(store.manifest(manifest)))
 
-    replaced = mode == "full" or not live
-    mark = _next_mark(process, state, stage, lambda: store.read_version(schema, files), replaced, drift)
+    mark = _next_mark(process, state, stage, read, mode == "full" or not filled, drift)
     store.commit(
         {
             "process_name": process.name,
@@ -275,14 +270,15 @@ def sync(
             "rows_read": rows_read,
             "rows_updated": updated,
             "rows_inserted": inserted,
+            "target_files": total["files"],
+            "target_rows": total["rows"],
             "manifest": manifest,
             "table_schema": schema.json(),
             "started_at": started,
             "finished_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
         }
     )
-    target = store.read_version(schema, files)
-    return SyncResult(process, target, run_id, rows_read, updated, inserted, mark["mark"], drift)
+    return SyncResult(process, run_id, rows_read, updated, inserted, mark["mark"], drift, read)
 
 
 def _created(source: DataFrame, delta: DataFrame) -> StructType:
