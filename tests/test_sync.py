@@ -3,9 +3,11 @@ import importlib
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 import tidemark.plans.store as store_module
 from tidemark import Process, TargetStore, sync
+from tidemark.plans.store import overlapping
 
 sync_module = importlib.import_module("tidemark.plans.sync")
 
@@ -122,6 +124,71 @@ def test_only_files_with_a_match_are_replaced(fx):
     assert rows(fx.store.read()) == sorted(expected, key=repr)
 
 
+def near(fx, key, dtype, lo, hi):
+    manifest = fx.store.manifest(fx.store.state().manifest)
+    return len(fx.store.files(overlapping(manifest, key, dtype, lo, hi)))
+
+
+def ranged_target(fx, key):
+    """Five files of twenty keys each, and one whose keys are all NULL."""
+    keyed = fx.spark.range(100).selectExpr("CAST(id AS int) AS k", "CAST(id AS int) AS t", "'a' AS v")
+    none = keyed.limit(3).selectExpr("CAST(NULL AS int) AS k", "t", "v").coalesce(1)
+    rows = keyed.repartitionByRange(5, "k").union(none)
+    fx.store.adopt(rows.selectExpr("*", "timestamp_ntz'2024-01-01' AS loaded_at", "'O' AS source_system"), key)
+
+
+def test_files_apart_from_the_stage_are_not_opened(fx, monkeypatch):
+    ranged_target(fx, "k")
+    assert len(fx.files()) == 6
+    assert near(fx, "k", IntegerType(), 3, 4) == 1
+    assert near(fx, "k", IntegerType(), 0, 99) == 5, "the keyless file can hold no match"
+    assert near(fx, "k", IntegerType(), 1000, 2000) == near(fx, "k", IntegerType(), None, None) == 0
+    assert near(fx, "t", IntegerType(), 3, 4) == 6, "nothing is known about another key"
+    opened, read_files = [], fx.store.read_files.__func__
+
+    def counting(self, schema, files):
+        opened.append(len(files))
+        return read_files(self, schema, files)
+
+    monkeypatch.setattr(TargetStore, "read_files", counting)
+    out = fx.run([(3, 200, "z"), (100, 201, "new")])
+    assert opened[:2] == [5, 1], "searched by key, then read whole"
+    monkeypatch.undo()
+    assert (out.rows_updated, out.rows_inserted) == (1, 1)
+    last = fx.store.state().last
+    assert (last["target_files"], last["target_rows"]) == (len(fx.files()), out.target.count()) == (len(fx.files()), 104)
+
+
+def test_files_of_unknown_range_are_always_searched(fx):
+    ranged_target(fx, None)
+    assert near(fx, "k", IntegerType(), 3, 4) == 6
+    assert fx.run([(3, 200, "z")]).rows_updated == 1
+
+
+def test_every_match_is_found_whatever_key_the_files_were_loaded_by(fx):
+    by_k = Process("K", "src", "tgt", "SRC", incremental_column="t", keys=("k",))
+    by_v = Process("V", "other", "tgt", "SRC", incremental_column="t", keys=("v",))
+    fx.run([(1, 1, "a"), (2, 1, "b")], by_k)
+    fx.run([(9, 2, "b"), (8, 2, "c")], by_v)
+    fx.run([(1, 3, "x"), (9, 3, "y"), (8, 3, "z")], by_k)
+    assert rows(fx.store.read()) == [(1, 3, "x"), (8, 3, "z"), (9, 3, "y")]
+
+
+def test_key_ranges_are_compared_in_the_key_type(fx):
+    """9 and 10 lie on either side of each other as numbers and as text."""
+    for cast in ("int", "string", "date", "timestamp_ntz"):
+        process = Process("P", "src", f"tgt_{cast}", "SRC", incremental_column="t", keys=("k",))
+        text = {"date": "date_add(date'2024-01-01', n)", "timestamp_ntz": "timestamp_ntz'2024-01-01' + make_dt_interval(n)"}
+        key = text.get(cast, f"CAST(n AS {cast})")
+
+        def source(t, *keys):
+            return fx.spark.createDataFrame([(n,) for n in keys], "n int").selectExpr(f"{key} AS k", f"{t} AS t", "n AS v")
+
+        fx.run(source(1, 2, 9, 10, 100, -5), process)
+        out = fx.run(source(2, 9, 10, 11), process)
+        assert (out.rows_updated, out.rows_inserted) == (2, 1), cast
+
+
 def test_new_columns_are_added_without_rewriting_old_files(fx):
     fx.run([(1, 1, "a"), (2, 1, "b")])
     before = fx.files()

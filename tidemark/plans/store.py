@@ -185,7 +185,8 @@ class TargetStore:
 
     def commit(self, row: dict) -> None:
         """Append the run's ledger row, unless another run was committed since this one began."""
-        newest = self.state().run_id
-        if newest >= row["run_id"]:
+        ledger = self.ledger()
+        newest = ledger.agg(F.max("run_id").alias("run_id")).first().run_id if ledger is not None else None
+        if newest is not None and newest >= row["run_id"]:
             raise RuntimeError(f"{self.path}: run {newest} was committed by another writer; run again")
         append_ledger(self.spark, self.ledger_path, row)
