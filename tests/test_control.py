@@ -69,7 +69,7 @@ def test_zoned_enddate_of_the_control_table_is_read_in_utc(spark, tmp_path):
     table = control(spark, row("A")[:-1] + (None,)).drop("ENDDATE").selectExpr(
         "*", "timestamp'2024-01-01 12:00:00 UTC' AS ENDDATE"
     ).drop("_CONDITION").selectExpr("*", "'t' AS _CONDITION")
-    source = spark.sql("SELECT 1 AS id, timestamp_ntz'2024-01-01 12:00:00' AS t UNION ALL SELECT 2, timestamp_ntz'2024-01-01 12:00:01'")
+    source = spark.sql("SELECT id, timestamp_ntz'2024-01-01 12:00:00' + make_dt_interval(0, 0, 0, id - 1) AS t FROM range(1, 3)")
     result = sync_all(spark, table, lambda p: source, str(tmp_path))[0]
     assert [r.id for r in result.target.collect()] == [2]
 

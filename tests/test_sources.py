@@ -13,9 +13,8 @@ URL = "jdbc:somedb://host/db"
 
 
 def rows(spark, cast):
-    return spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03"), (4, None)], "id int, t string").select(
-        "id", F.col("t").cast(cast).alias("t")
-    )
+    days = [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03"), (4, None)]
+    return spark.createDataFrame(days, "id int, t string").select("id", F.col("t").cast(cast).alias("t"))
 
 
 def ids(df):
@@ -31,7 +30,8 @@ def test_mark_is_strict_and_null_is_never_past_it(spark, cast):
 
 
 def test_mark_keeps_its_time_of_day(spark):
-    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0, 0, 5)), (2, dt.datetime(2024, 1, 1, 10, 0, 0, 6))], "id int, t timestamp_ntz")
+    times = [(1, dt.datetime(2024, 1, 1, 10, 0, 0, 5)), (2, dt.datetime(2024, 1, 1, 10, 0, 0, 6))]
+    df = spark.createDataFrame(times, "id int, t timestamp_ntz")
     assert ids(incremental_scan(df, "t", dt.datetime(2024, 1, 1, 10, 0, 0, 5))) == [2]
     assert ids(incremental_scan(df, "t", "2024-01-01 10:00:00.000005")) == [2]
 

@@ -159,6 +159,16 @@ def test_files_apart_from_the_stage_are_not_opened(fx, monkeypatch):
     assert (last["target_files"], last["target_rows"]) == (len(fx.files()), out.target.count()) == (len(fx.files()), 104)
 
 
+def test_not_null_comes_from_the_source_not_from_an_adopted_plan(fx):
+    fx.store.adopt(fx.spark.sql("SELECT 1 AS k, 0 AS t, 'a' AS v, timestamp_ntz'2024-01-01' AS loaded_at, 'O' AS source_system"))
+    assert rows(fx.run([(None, 1, "n")]).target) == sorted([(1, 0, "a"), (None, 1, "n")], key=repr)
+    required = fx.spark.range(1).selectExpr("CAST(id AS int) AS k", "1 AS t", "'a' AS v")
+    declared = Process("D", "src", "declared", "SRC", incremental_column="t", keys=("k",))
+    fx.run(required, declared)
+    with pytest.raises(Exception, match="may not be NULL"):
+        fx.run([(None, 2, "n")], declared)
+
+
 def test_files_of_unknown_range_are_always_searched(fx):
     ranged_target(fx, None)
     assert near(fx, "k", IntegerType(), 3, 4) == 6

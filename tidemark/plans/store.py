@@ -30,6 +30,7 @@ from pyspark.sql.types import (
     LongType,
     ShortType,
     StringType,
+    StructField,
     StructType,
     TimestampNTZType,
 )
@@ -166,18 +167,22 @@ class TargetStore:
         return saved.agg(F.count("*").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
 
     def adopt(self, existing: DataFrame, key: str | None = None) -> None:
-        """Take over a table kept elsewhere as the first version. It has no mark yet."""
+        """Take over a table kept elsewhere as the first version. It has no mark yet.
+
+        Its columns are nullable: that a plan yields no NULL is no promise of the table.
+        """
         if self.state().run_id:
             raise ValueError(f"{self.path} already has a committed version")
         version = self.new_version(1)
         stage_table(existing, self.data_path(version))
-        total = self.write_manifest(version, self.manifest(None), self.describe(version, existing.schema, key))
+        schema = StructType([StructField(f.name, f.dataType, True) for f in existing.schema.fields])
+        total = self.write_manifest(version, self.manifest(None), self.describe(version, schema, key))
         self.commit(
             {
                 "run_id": 1,
                 "target_table": self.path.rsplit("/", 1)[1],
                 "manifest": version,
-                "table_schema": existing.schema.json(),
+                "table_schema": schema.json(),
                 "target_files": total.files,
                 "target_rows": total.rows,
             }
