@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, quality, secrets
+from tidemark.llm import decontaminate, mixing, neardup, quality, secrets
 from tidemark.llm.tables import stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,6 +24,11 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, threshold:
     return quality.score(docs.select(*COLUMNS), model).filter(F.col("score") >= threshold).select(*COLUMNS)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: that of the smallest doc_id."""
+    return neardup.without_copies(docs.select(*COLUMNS))
+
+
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated; the check is repeated on no other row."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -44,6 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", good_documents),
+    ("near duplicates", without_near_copies),
     ("benchmark decontamination", without_benchmark),
     ("secret scan", without_secrets),
     ("mixing", mixed),

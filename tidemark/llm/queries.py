@@ -11,9 +11,11 @@ from tidemark.llm.chat import perspectives
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.html import main_texts
 from tidemark.llm.mixing import mix
+from tidemark.llm.neardup import classes
 from tidemark.llm.quality import quality_scores
 from tidemark.llm.rules import judged
 from tidemark.llm.secrets import scan
+from tidemark.llm.substrings import spans
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +40,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near-duplicates."""
+    return classes(_table(spark, sf_dir, "documents"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return main_texts(_table(spark, sf_dir, "pages"))
@@ -54,6 +61,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every span of words that repeats, and whether it goes."""
+    return spans(_table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate with the forest's verdict; the value itself only as its digest."""
     found = scan(_table(spark, sf_dir, "documents"))
@@ -64,8 +76,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_perspectives": op1_chat_perspectives,
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
+    "op4_minhash_dedup": op4_minhash_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_mixing": op7_mixing,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_secret_scan": op10_secret_scan,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.session import fresh_dir
 
 #: Rows of ids up to which a list of ids goes to every task: about 16 bytes each.
-BROADCAST_IDS = 4_000_000
+BROADCAST_IDS = 500_000
 
 
 def stored(rows: DataFrame, label: str) -> DataFrame:
