@@ -1,12 +1,14 @@
 """Links between nodes that share buckets, and their components.
 
-No bucket's pairs are all made. In each round a bucket's smallest nodes that have not
-yet been anchors (1, then 4, then 16 ...) are compared with those of its nodes that are
-not yet in one class with them. Classes are joined after each round, and a bucket with
-one class left is done: a group of thousands of copies takes one comparison per copy.
-A bucket whose nodes stay apart goes on until all have been anchors, so no link between
-different classes is lost. Every step is a join or an aggregate, each round's tables
-are written, and the driver sees only counts.
+No bucket's pairs are all made. First every bucket's nodes are compared with one of
+them, the one whose buckets hold most nodes: of a large group of copies that is the
+text most like the rest, so one comparison a node joins the group. Buckets whose other
+nodes are then of one class are done. The nodes of the rest get new, sharper buckets
+from `refine`: by a prefix filter, two alike nodes surely share one. In these the
+smallest 4, 16, 64 ... nodes that have not yet met all others are compared with those
+of other classes, until every bucket has one class left or all its nodes have met, so
+no link between different classes is lost. Every step is a join or an aggregate, each
+round's tables are written, and the driver sees only counts.
 """
 
 from __future__ import annotations
@@ -34,35 +36,54 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _pairs(known: DataFrame, chosen: DataFrame) -> DataFrame:
+    met = known.join(chosen, "bucket").filter("label <> anchor_label")
+    return met.select(F.greatest("node", "anchor").alias("node"), F.least("node", "anchor").alias("anchor")).distinct()
+
+
+def _edges(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("node").alias("a"), F.col("anchor").alias("b"))
+
+
+def _apart(known: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several classes."""
+    several = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+    return known.join(several, "bucket", "left_semi")
+
+
+def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, label) of every node that has a link.
 
     `members` is a written table (bucket, node) without repeats, of buckets with two
     nodes or more. `verify` takes pairs (node, anchor) and returns those that are
-    alike, as (node, anchor).
+    alike. `refine` takes nodes and returns (bucket, node) without repeats, such that
+    any two alike nodes share a bucket.
     """
-    labels: DataFrame | None = None
-    rest, anchors = members, 1
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    weight = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("weight"))
+    best = F.max_by("node", F.struct("weight", "node"))
+    hubs = stored(members.join(weight, "node").groupBy("bucket").agg(best.alias("anchor")).withColumn("anchor_label", F.col("anchor")), "anchors")
+    pairs = _pairs(members.withColumn("label", F.col("node")), hubs)
+    labels = components(stored(_edges(verify(pairs)), "links"))
+    others = members.join(hubs.select("bucket", F.col("anchor").alias("node")), ["bucket", "node"], "left_anti")
+    unsettled = stored(_apart(_named(others, labels)).select("node").distinct(), "unsettled")
+    if unsettled.isEmpty():
+        return labels
+    rest, anchors = stored(refine(unsettled), "refined"), 4
     while True:
-        if labels is None:
-            known = rest.withColumn("label", F.col("node"))
-            chosen = known.groupBy("bucket").agg(F.min("node").alias("anchor")).withColumn("anchor_label", F.col("anchor"))
-        else:
-            known = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            # Only buckets that hold several classes among those that have not met all others.
-            apart = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-            known = stored(known.join(apart, "bucket", "left_semi"), "members")
-            order = Window.partitionBy("bucket").orderBy("node")
-            chosen = known.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= anchors)
-            chosen = chosen.select("bucket", F.col("node").alias("anchor"), F.col("label").alias("anchor_label"))
-        chosen = stored(chosen, "anchors")
-        if chosen.isEmpty():
-            return labels if labels is not None else members.select("node", F.col("node").alias("label")).limit(0)
-        met = known.join(chosen, "bucket").filter("label <> anchor_label")
-        pairs = met.select(F.greatest("node", "anchor").alias("node"), F.least("node", "anchor").alias("anchor")).distinct()
-        edges = verify(pairs).select(F.col("node").alias("a"), F.col("anchor").alias("b"))
-        if labels is not None:  # of what earlier rounds joined, one edge a node is enough
-            edges = edges.unionAll(labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = components(stored(edges, "links"))
+        known = stored(_apart(_named(rest, labels)), "members")
+        if known.isEmpty():
+            return labels
+        order = Window.partitionBy("bucket").orderBy("node")
+        chosen = known.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= anchors)
+        chosen = stored(chosen.select("bucket", F.col("node").alias("anchor"), F.col("label").alias("anchor_label")), "anchors")
+        found = _edges(verify(_pairs(known, chosen)))
+        # Of what earlier rounds joined, one edge a node is enough.
+        before = labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = components(stored(found.unionAll(before), "links"))
         rest = known.select("bucket", "node").join(chosen.select("bucket", F.col("anchor").alias("node")), ["bucket", "node"], "left_anti")
         anchors *= 4

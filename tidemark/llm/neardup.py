@@ -158,6 +158,32 @@ def _sketches(idf: np.ndarray, bands: int, rows: int):
     return run
 
 
+def _prefixes(idf: np.ndarray, least: float):
+    """For mapInArrow over (key, text): the features, rarest first, of just over 1 - least of the text's weight.
+
+    Two texts that are alike share one of them: all that the two share would else lie
+    behind the prefix of one, and weigh less than `least` of it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key")
+            for low, high, data, offsets in blocks(batch):
+                row, found, count = block_features(data, offsets)
+                rare = idf[(found % np.uint64(BUCKETS)).astype(np.int64)].astype(np.float64)
+                order = np.lexsort((found, -rare, row))
+                row, found, weight = row[order], found[order], (rare * count)[order]
+                total = np.concatenate(([0.0], np.cumsum(weight)))
+                bounds = np.searchsorted(row, np.arange(high - low + 1))
+                # Weight before each feature within its text, and what may go before.
+                before = total[:-1] - total[bounds[row]]
+                whole = total[bounds[1:]] - total[bounds[:-1]]
+                kept = np.flatnonzero(before <= (1 - least) * whole[row] * (1 + 1e-9) + 1e-9)
+                yield pa.RecordBatch.from_arrays([pa.array(found[kept].view(np.int64)), keys.take(pa.array(row[kept] + low))], names=["bucket", "node"])
+
+    return run
+
+
 def _similar(idf: np.ndarray, least: float):
     """For mapInArrow over (anchor, part, node, text) with the anchor's own row (node null) first in each part."""
 
@@ -220,7 +246,14 @@ def near_duplicates(documents: DataFrame, least: float = LEAST, bands: int = BAN
     needed = stored(members.select("node").distinct(), "needed")
     texts = of_ids(docs.select("node", "text"), needed, "node", BROADCAST_IDS // 2).groupBy("node").agg(F.first("text").alias("text"))
     texts = stored(texts.select(F.col("node").alias("key"), "text"), "texts")
-    labels = linked(members, _verifier(texts, idf, least))
+
+    def refine(unsettled: DataFrame) -> DataFrame:
+        held = texts.join(unsettled.withColumnRenamed("node", "key"), "key", "left_semi")
+        each = held.mapInArrow(_prefixes(idf, least), "bucket long, node binary")
+        shared = each.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+        return each.join(shared, "bucket", "left_semi")
+
+    labels = linked(members, _verifier(texts, idf, least), refine)
     labelled = sketched.select("doc_id", "node").join(labels, "node", "left")
     return stored(labelled.select("doc_id", "node", F.coalesce("label", "node").alias("label")), "classes")
 
