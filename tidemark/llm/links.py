@@ -1,13 +1,13 @@
 """Links between nodes that share buckets, and their components.
 
 No bucket's pairs are all made. First every bucket's nodes are compared with one of
-them, the one whose buckets hold most nodes: of a large group of copies that is the
-text most like the rest, so one comparison a node joins the group. Buckets whose other
-nodes are then of one class are done. The nodes of the rest get new, sharper buckets
-from `refine`: by a prefix filter, two alike nodes surely share one. In these the
-smallest 4, 16, 64 ... nodes that have not yet met all others are compared with those
-of other classes, until every bucket has one class left or all its nodes have met, so
-no link between different classes is lost. Every step is a join or an aggregate, each
+them, the one with most exact copies: of a large group that is most often what the
+others were made from, so one comparison a node joins the group. Buckets whose nodes
+are then of one class are done. The nodes of the rest get new, sharper buckets by a
+prefix filter: any two alike nodes share one. In these the smallest 4, 16, 64 ... nodes
+that have not yet met all others are compared with those of other classes, but for
+pairs that share too few features with anyone to be alike, until every bucket has one
+class left or all its nodes have met. So no link between different classes is lost. Every step is a join or an aggregate, each
 round's tables are written, and the driver sees only counts.
 """
 
@@ -36,54 +36,74 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _pairs(known: DataFrame, chosen: DataFrame) -> DataFrame:
-    met = known.join(chosen, "bucket").filter("label <> anchor_label")
-    return met.select(F.greatest("node", "anchor").alias("node"), F.least("node", "anchor").alias("anchor")).distinct()
-
-
 def _edges(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("node").alias("a"), F.col("anchor").alias("b"))
 
 
-def _apart(known: DataFrame) -> DataFrame:
-    """The rows of buckets that hold several classes."""
-    several = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    return known.join(several, "bucket", "left_semi")
+def _ordered(met: DataFrame) -> DataFrame:
+    return met.select(F.greatest("node", "anchor").alias("node"), F.least("node", "anchor").alias("anchor")).distinct()
 
 
 def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def prefix_buckets(features: DataFrame, least: float) -> DataFrame:
+    """(bucket, node, most, whole) from (node, feature, weight), where alike means weighted Jaccard of `least` or more.
+
+    A node's features are ranked by the number of nodes that hold them. What two alike
+    nodes share weighs at least `least` of each, so it can't all lie behind the first
+    1 - least of the weight of one: they share a feature there. `whole` is the node's
+    weight, `most` that of features that any other node has.
+    """
+    held = features.groupBy("feature").agg(F.count("*").alias("n"))
+    counted = features.join(held, "feature")
+    rarest = Window.partitionBy("node").orderBy("n", "feature")
+    whole = Window.partitionBy("node")
+    ranked = counted.select(
+        "node",
+        F.col("feature").alias("bucket"),
+        "n",
+        (F.sum("weight").over(rarest.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")).alias("before"),
+        F.sum("weight").over(whole).alias("whole"),
+        F.sum(F.when(F.col("n") > 1, F.col("weight"))).over(whole).alias("most"),
+    )
+    first = ranked.filter((F.col("n") > 1) & (F.col("before") <= (1 - least) * F.col("whole") * (1 + 1e-9)) & (F.col("most") >= least * F.col("whole") * (1 - 1e-9)))
+    return first.select("bucket", "node", "most", "whole")
+
+
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], features: Callable[[DataFrame], DataFrame], least: float) -> DataFrame:
     """(node, label) of every node that has a link.
 
-    `members` is a written table (bucket, node) without repeats, of buckets with two
-    nodes or more. `verify` takes pairs (node, anchor) and returns those that are
-    alike. `refine` takes nodes and returns (bucket, node) without repeats, such that
-    any two alike nodes share a bucket.
+    `members` is a written table (bucket, node, copies) without repeats, of buckets with
+    two nodes or more. `verify` takes pairs (node, anchor) and returns those whose
+    weighted Jaccard similarity is `least` or more. `features` takes a table of nodes
+    and returns (node, feature, weight) of each.
     """
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
-    weight = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("weight"))
-    best = F.max_by("node", F.struct("weight", "node"))
-    hubs = stored(members.join(weight, "node").groupBy("bucket").agg(best.alias("anchor")).withColumn("anchor_label", F.col("anchor")), "anchors")
-    pairs = _pairs(members.withColumn("label", F.col("node")), hubs)
-    labels = components(stored(_edges(verify(pairs)), "links"))
-    others = members.join(hubs.select("bucket", F.col("anchor").alias("node")), ["bucket", "node"], "left_anti")
-    unsettled = stored(_apart(_named(others, labels)).select("node").distinct(), "unsettled")
+    hubs = members.groupBy("bucket").agg(F.max_by("node", F.struct("copies", "node")).alias("anchor"), F.count("*").alias("size"))
+    met = stored(members.select("bucket", "node").join(hubs, "bucket").filter("node <> anchor"), "met")
+    labels = components(stored(_edges(verify(_ordered(met))), "links"))
+    # A bucket of two has met. Of the others those with a node outside the class of their hub are open.
+    larger = _named(met.filter("size > 2"), labels)
+    hub = labels.select(F.col("node").alias("anchor"), F.col("label").alias("hub_label"))
+    open_ = larger.join(hub, "anchor", "left").filter("label <> coalesce(hub_label, anchor)").select("bucket").distinct()
+    unsettled = stored(met.join(open_, "bucket", "left_semi").select("node").distinct(), "unsettled")
     if unsettled.isEmpty():
         return labels
-    rest, anchors = stored(refine(unsettled), "refined"), 4
+    rest, anchors = stored(prefix_buckets(features(unsettled), least), "refined"), 4
+    alike = f"least(most, anchor_most) >= {least / (1 + least) * (1 - 1e-9)} * (whole + anchor_whole)"
     while True:
-        known = stored(_apart(_named(rest, labels)), "members")
+        known = _named(rest, labels)
+        several = known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+        known = stored(known.join(several, "bucket", "left_semi"), "members")
         if known.isEmpty():
             return labels
         order = Window.partitionBy("bucket").orderBy("node")
         chosen = known.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= anchors)
-        chosen = stored(chosen.select("bucket", F.col("node").alias("anchor"), F.col("label").alias("anchor_label")), "anchors")
-        found = _edges(verify(_pairs(known, chosen)))
+        chosen = stored(chosen.select("bucket", F.col("node").alias("anchor"), F.col("label").alias("anchor_label"), F.col("most").alias("anchor_most"), F.col("whole").alias("anchor_whole")), "anchors")
+        pairs = _ordered(known.join(chosen, "bucket").filter("label <> anchor_label").filter(alike))
         # Of what earlier rounds joined, one edge a node is enough.
         before = labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
-        labels = components(stored(found.unionAll(before), "links"))
-        rest = known.select("bucket", "node").join(chosen.select("bucket", F.col("anchor").alias("node")), ["bucket", "node"], "left_anti")
+        labels = components(stored(_edges(verify(pairs)).unionAll(before), "links"))
+        rest = known.drop("label").join(chosen.select("bucket", F.col("anchor").alias("node")), ["bucket", "node"], "left_anti")
         anchors *= 4

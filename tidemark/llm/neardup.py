@@ -158,28 +158,16 @@ def _sketches(idf: np.ndarray, bands: int, rows: int):
     return run
 
 
-def _prefixes(idf: np.ndarray, least: float):
-    """For mapInArrow over (key, text): the features, rarest first, of just over 1 - least of the text's weight.
-
-    Two texts that are alike share one of them: all that the two share would else lie
-    behind the prefix of one, and weigh less than `least` of it.
-    """
+def _weighted(idf: np.ndarray):
+    """For mapInArrow over (key, text): (node, feature, weight) of every feature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key")
-            for low, high, data, offsets in blocks(batch):
+            for low, _, data, offsets in blocks(batch):
                 row, found, count = block_features(data, offsets)
-                rare = idf[(found % np.uint64(BUCKETS)).astype(np.int64)].astype(np.float64)
-                order = np.lexsort((found, -rare, row))
-                row, found, weight = row[order], found[order], (rare * count)[order]
-                total = np.concatenate(([0.0], np.cumsum(weight)))
-                bounds = np.searchsorted(row, np.arange(high - low + 1))
-                # Weight before each feature within its text, and what may go before.
-                before = total[:-1] - total[bounds[row]]
-                whole = total[bounds[1:]] - total[bounds[:-1]]
-                kept = np.flatnonzero(before <= (1 - least) * whole[row] * (1 + 1e-9) + 1e-9)
-                yield pa.RecordBatch.from_arrays([pa.array(found[kept].view(np.int64)), keys.take(pa.array(row[kept] + low))], names=["bucket", "node"])
+                weight = count * idf[(found % np.uint64(BUCKETS)).astype(np.int64)].astype(np.float64)
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(row + low)), pa.array(found.view(np.int64)), pa.array(weight)], names=["node", "feature", "weight"])
 
     return run
 
@@ -238,22 +226,20 @@ def near_duplicates(documents: DataFrame, least: float = LEAST, bands: int = BAN
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("node"), "text")
     idf = idf_table(docs)
     sketched = stored(docs.mapInArrow(_sketches(idf, bands, rows), "doc_id long, node binary, bands array<long>"), "sketches")
-    nodes = sketched.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    placed = nodes.select("node", F.explode("bands").alias("bucket"))
+    nodes = sketched.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.first("bands").alias("bands"))
+    placed = nodes.select("node", "copies", F.explode("bands").alias("bucket"))
     shared = placed.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("bucket")
-    members = stored(placed.join(shared, "bucket", "left_semi").select("bucket", "node").distinct(), "members")
+    members = stored(placed.join(shared, "bucket", "left_semi").select("bucket", "node", "copies").distinct(), "members")
     # The texts of all that may be compared, once each.
     needed = stored(members.select("node").distinct(), "needed")
     texts = of_ids(docs.select("node", "text"), needed, "node", BROADCAST_IDS // 2).groupBy("node").agg(F.first("text").alias("text"))
     texts = stored(texts.select(F.col("node").alias("key"), "text"), "texts")
 
-    def refine(unsettled: DataFrame) -> DataFrame:
+    def features(unsettled: DataFrame) -> DataFrame:
         held = texts.join(unsettled.withColumnRenamed("node", "key"), "key", "left_semi")
-        each = held.mapInArrow(_prefixes(idf, least), "bucket long, node binary")
-        shared = each.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-        return each.join(shared, "bucket", "left_semi")
+        return stored(held.mapInArrow(_weighted(idf), "node binary, feature long, weight double"), "features")
 
-    labels = linked(members, _verifier(texts, idf, least), refine)
+    labels = linked(members, _verifier(texts, idf, least), features, least)
     labelled = sketched.select("doc_id", "node").join(labels, "node", "left")
     return stored(labelled.select("doc_id", "node", F.coalesce("label", "node").alias("label")), "classes")
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.chat import perspectives
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.html import main_texts
+from tidemark.llm.katz import scores
 from tidemark.llm.mixing import mix
 from tidemark.llm.neardup import classes
-from tidemark.llm.quality import quality_scores
+from tidemark.llm.quality import held_out, quality_scores
 from tidemark.llm.rules import judged
 from tidemark.llm.secrets import scan
 from tidemark.llm.substrings import spans
@@ -45,6 +46,12 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(_table(spark, sf_dir, "documents"))
 
 
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Katz and the base score of every document, learned from four fifths of them."""
+    documents, fold = _table(spark, sf_dir, "documents"), held_out(5, 1)
+    return scores(documents, ~fold).withColumn("held_out", fold)
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return main_texts(_table(spark, sf_dir, "pages"))
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_decontamination": op3_decontamination,
     "op4_minhash_dedup": op4_minhash_dedup,
+    "op5_katz_scores": op5_katz_scores,
     "op6_html_extraction": op6_html_extraction,
     "op7_mixing": op7_mixing,
     "op8_quality_classifier": op8_quality_classifier,
