@@ -54,7 +54,8 @@ def prefix_buckets(features: DataFrame, least: float) -> DataFrame:
     A node's features are ranked by the number of nodes that hold them. What two alike
     nodes share weighs at least `least` of each, so it can't all lie behind the first
     1 - least of the weight of one: they share a feature there. `whole` is the node's
-    weight, `most` that of features that any other node has.
+    weight, `most` that of the features from this one on that any other node has. In the
+    bucket of the first feature that two nodes share, they share no more than `most`.
     """
     held = features.groupBy("feature").agg(F.count("*").alias("n"))
     counted = features.join(held, "feature")
@@ -66,7 +67,7 @@ def prefix_buckets(features: DataFrame, least: float) -> DataFrame:
         "n",
         (F.sum("weight").over(rarest.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")).alias("before"),
         F.sum("weight").over(whole).alias("whole"),
-        F.sum(F.when(F.col("n") > 1, F.col("weight"))).over(whole).alias("most"),
+        F.sum(F.when(F.col("n") > 1, F.col("weight"))).over(rarest.rowsBetween(0, Window.unboundedFollowing)).alias("most"),
     )
     first = ranked.filter((F.col("n") > 1) & (F.col("before") <= (1 - least) * F.col("whole") * (1 + 1e-9)) & (F.col("most") >= least * F.col("whole") * (1 - 1e-9)))
     return first.select("bucket", "node", "most", "whole")
