@@ -134,8 +134,11 @@ def fit(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, buc
     texts = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(most_rows)
     made = texts.mapInArrow(_features(buckets), "doc_id long, quality int, found array<int>, counts array<float>")
     rows = made.toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
-    found, counts = rows.column("found").to_pylist(), rows.column("counts").to_pylist()
-    learned = [(q, np.array(f, np.int64), np.array(c, np.float32)) for q, f, c in zip(rows.column("quality").to_pylist(), found, counts)]
+    if not rows.num_rows:
+        return train([], buckets)
+    found, counts = rows.column("found").combine_chunks(), rows.column("counts").combine_chunks()
+    edges, found, counts = found.offsets.to_numpy(), found.values.to_numpy().astype(np.int64), counts.values.to_numpy()
+    learned = [(q, found[a:b], counts[a:b]) for q, a, b in zip(rows.column("quality").to_pylist(), edges[:-1], edges[1:])]
     return train(learned, buckets)
 
 
