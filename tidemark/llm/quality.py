@@ -133,13 +133,19 @@ def fit(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, buc
     # A repeated doc_id could bring more rows than labels.
     texts = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(most_rows)
     made = texts.mapInArrow(_features(buckets), "doc_id long, quality int, found array<int>, counts array<float>")
-    rows = made.toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
+    rows = made.toArrow()
     if not rows.num_rows:
         return train([], buckets)
-    found, counts = rows.column("found").combine_chunks(), rows.column("counts").combine_chunks()
-    edges, found, counts = found.offsets.to_numpy(), found.values.to_numpy().astype(np.int64), counts.values.to_numpy()
-    learned = [(q, found[a:b], counts[a:b]) for q, a, b in zip(rows.column("quality").to_pylist(), edges[:-1], edges[1:])]
-    return train(learned, buckets)
+    order = np.lexsort((rows.column("quality").to_numpy(), rows.column("doc_id").to_numpy()))
+    labels_, lists = rows.column("quality").to_pylist(), rows.column("found").combine_chunks()
+    edges, found = lists.offsets.to_numpy(), lists.values.to_numpy()
+    counts = rows.column("counts").combine_chunks().values.to_numpy()
+    learned = [(labels_[i], found[edges[i] : edges[i + 1]], counts[edges[i] : edges[i + 1]]) for i in order]
+    del rows
+    model = train(learned, buckets)
+    del learned, lists, found, counts
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def _scores(model: Model):
