@@ -32,12 +32,17 @@ def test_no_active_process_is_an_error(spark, tmp_path):
 
 @pytest.mark.parametrize(
     ("load", "keys", "mode"),
-    [("INCREMENTAL", ("k",), "merge"), ("INCREMENTAL", (), "append"), ("FULL", ("k",), "full"), ("OTHER", ("k",), "append")],
+    [("INCREMENTAL", ("k",), "merge"), ("INCREMENTAL", (), "append"), ("FULL", ("k",), "full")],
 )
 def test_mode(load, keys, mode):
     assert Process("P", "s", "t", "SRC", load_type=load, keys=keys).mode == mode
 
 
+def test_an_unknown_load_type_is_an_error():
+    with pytest.raises(ValueError, match="INCREMENTL"):
+        Process("P", "s", "t", "SRC", load_type="INCREMENTL")
+
+
 def test_control_row_binds_composite_keys(spark):
     process = Process.from_row(control(spark, row(keys="a, b")).first())
     assert process.keys == ("a", "b") and process.incremental_column == "id"

@@ -252,14 +252,14 @@ def test_append_without_a_key_and_full_load(fx):
     assert fx.run([], full).target.count() == 0
 
 
-def test_mark_is_the_maximum_of_the_target_whoever_loaded_it(fx):
+def test_mark_is_what_the_process_has_read_whoever_loads_the_target(fx):
     fx.store.adopt(fx.spark.sql("SELECT 1 AS k, 50 AS t, 'a' AS v, timestamp_ntz'2024-01-01' AS loaded_at, 'O' AS source_system"))
-    assert fx.run([(2, 7, "b")]).mark == "50"
+    assert fx.run([(2, 7, "b")]).mark == "7"
     other = Process("Q", "src2", "tgt", "SRC2", incremental_column="t", keys=("k",))
     assert fx.run([(3, 60, "c")], other).mark == "60"
-    # The first process goes on from its own mark, and then records the target's largest value.
-    assert fx.run([(4, 51, "d"), (5, 50, "never read")]).mark == "60"
-    assert rows(fx.store.read(), "k") == [(1,), (2,), (3,), (4,)]
+    # The first process goes on from its own mark and reads what lies under the other's.
+    assert fx.run([(4, 51, "d"), (5, 50, "read"), (6, 7, "not past the mark")]).mark == "51"
+    assert rows(fx.store.read(), "k") == [(1,), (2,), (3,), (4,), (5,)]
 
 
 def test_update_that_lowers_nothing_keeps_the_mark_exact(fx):

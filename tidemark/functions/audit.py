@@ -38,7 +38,7 @@ def with_audit(df: DataFrame, run_ts: Column, source_system: str, audit: AuditCo
     )
 
 
-def row_fingerprint(*columns: str, separator: str = "|", null: str = "\\N") -> Column:
-    """md5 over the columns as text; NULL has its own text, so it cannot shift a value."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(null)) for c in columns]
-    return F.md5(F.concat_ws(separator, *parts))
+def row_fingerprint(*columns: str) -> Column:
+    """md5 over the columns as text, each behind its length; NULL is `-`. No value can pose as another split."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from tidemark.functions.names import by_upper_name
 
@@ -89,7 +89,7 @@ def type_drift_profile(source: DataFrame, target: StructType, strict: bool = Fal
         if d.status != MISMATCH:
             continue
         value = F.col(f"`{d.source.name}`")
-        lost = value.isNotNull() & value.try_cast(d.target.dataType).isNull()
+        lost = ~_fits(value, d.source, d.target.dataType)
         rows.append(
             {
                 "column": F.lit(d.column),
@@ -117,6 +117,14 @@ def add_columns(target: DataFrame, source: StructType) -> DataFrame:
     return conform(target, evolve_schema(target.schema, source))
 
 
+def _fits(value: Column, field: StructField, dtype: DataType) -> Column:
+    """Whether a value survives the cast: cast back, it is what it was. Text and nested values need only cast."""
+    there = value.try_cast(dtype)
+    if isinstance(field.dataType, (StringType, ArrayType, MapType, StructType)) or isinstance(dtype, StringType):
+        return value.isNull() | there.isNotNull()
+    return value.isNull() | F.coalesce(there.try_cast(field.dataType).eqNullSafe(value), F.lit(False))
+
+
 def _checked_cast(column: Column, field: StructField, dtype: DataType) -> Column:
     """Cast to the target's type; a value the type cannot hold stops the load, in any ANSI mode."""
     if field.dataType.simpleString() == dtype.simpleString():
@@ -125,7 +133,7 @@ def _checked_cast(column: Column, field: StructField, dtype: DataType) -> Column
     failure = F.concat(
         F.lit(f"column {field.name}: value does not fit {dtype.simpleString()}: "), column.cast("string")
     )
-    return F.when(column.isNotNull() & converted.isNull(), F.raise_error(failure).cast(dtype)).otherwise(converted)
+    return F.when(~_fits(column, field, dtype), F.raise_error(failure).cast(dtype)).otherwise(converted)
 
 
 def conform(df: DataFrame, schema: StructType, fill: bool = True) -> DataFrame:

@@ -44,6 +44,8 @@ class Process:
     def __post_init__(self) -> None:
         if isinstance(self.keys, str):
             raise TypeError(f"{self.name}: keys are a tuple of column names")
+        if self.load_type.upper() not in (FULL, INCREMENTAL):
+            raise ValueError(f"{self.name}: unknown load type {self.load_type!r}")
 
     @property
     def target_name(self) -> str:
@@ -53,10 +55,8 @@ class Process:
 
     @property
     def mode(self) -> str:
-        """merge for an incremental load with a key, full for a full load, else append."""
-        if self.load_type.upper() == FULL:
-            return "full"
-        return "merge" if self.load_type.upper() == INCREMENTAL and self.keys else "append"
+        """full for a full load; for an incremental one merge with a key, append without."""
+        return "full" if self.load_type.upper() == FULL else "merge" if self.keys else "append"
 
     @staticmethod
     def from_row(row: Row) -> Process:

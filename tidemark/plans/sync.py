@@ -162,39 +162,24 @@ def _merge(
     return manifest.join(replaced, "file", "left_anti"), sum(row.copies for row in per_file)
 
 
-def _next_mark(
-    process: Process,
-    state: TargetState,
-    stage: _Stage,
-    target: Callable[[], DataFrame],
-    replaced: bool,
-    drift: list[ColumnDrift],
-) -> dict:
-    """The largest value in the target after the load, or the old mark if there is none.
-
-    If this process made the last run on the target, its mark is the target's
-    largest value, and every row read since is past it: the stage's largest value
-    is then the target's, without reading the target. Unless source and target
-    disagree on the column's type, and so perhaps on its order.
+def _next_mark(process: Process, state: TargetState, stage: _Stage, drift: list[ColumnDrift]) -> dict:
+    """The largest value this process has read, whoever else loads the target: no unread row falls behind it.
+
+    Rows of an incremental run lie past the old mark, so the stage's largest value is
+    the larger one, unless the target's type orders values in another way.
     """
     column = process.incremental_column
     if not column:
         return {"mark": None, "mark_type": None, "enddate": None}
-    last = state.last
-    same = (last.get("process_name"), last.get("source_table"), last.get("incremental_column")) == (
-        process.name,
-        process.source_table,
-        column,
-    )
-    past_mark = same and last["mark"] is not None and process.load_type.upper() == INCREMENTAL
-    retyped = any(d.status == MISMATCH and d.column == column.upper() for d in drift)
-    if replaced or (past_mark and not retyped):
-        top = stage.counts
-    else:
-        top = high_water_mark(target(), column).select(F.col("mark").cast("string"), "enddate").first()
+    top, old = stage.counts, state.own_mark
     if top.mark is None:
-        return {"mark": None, "mark_type": None, "enddate": None} | state.own_mark
+        return {"mark": None, "mark_type": None, "enddate": None} | old
     dtype = stage.rows.select(column).schema[0].dataType
+    retyped = any(d.status == MISMATCH and d.column == column.upper() for d in drift)
+    if retyped and process.load_type.upper() == INCREMENTAL and old.get("mark") is not None:
+        marks = [F.lit(m).try_cast(dtype) for m in (old["mark"], top.mark)]
+        if stage.rows.sparkSession.range(1).select(marks[0] > marks[1]).first()[0]:
+            return {"mark": None, "mark_type": None, "enddate": None} | old
     return {"mark": top.mark, "mark_type": dtype.simpleString(), "enddate": top.enddate}
 
 
@@ -219,6 +204,8 @@ def sync(
     """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_ts = run_ts or started
+    if run_ts.tzinfo is not None:
+        run_ts = run_ts.astimezone(dt.timezone.utc).replace(tzinfo=None)
     stamp = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
     store = TargetStore(spark, root, process.target_name)
     state = store.state(process.name, process.source_table)
@@ -256,7 +243,7 @@ def sync(
     def read() -> DataFrame:
         return store.read_files(schema, store.files(store.manifest(manifest)))
 
-    mark = _next_mark(process, state, stage, read, mode == "full" or not filled, drift)
+    mark = _next_mark(process, state, stage, drift)
     store.commit(
         {
             "process_name": process.name,
@@ -312,10 +299,20 @@ def sync_all(
     """Run every chosen process, one after the other; none chosen is an error.
 
     `read` opens the source of a process. The rows are definitions, one per
-    synced table, not data.
+    synced table, not data. A process that fails does not keep the others from
+    running; the failures are raised together at the end.
     """
     zone = options.get("zone", "UTC")
     chosen = [Process.from_row(row) for row in to_layout(processes, zone=zone).collect()]
     if not chosen:
         raise ValueError("no active process")
-    return [sync(spark, p, read(p), root, **options) for p in chosen]
+    done, failed = [], []
+    for process in chosen:
+        try:
+            done.append(sync(spark, process, read(process), root, **options))
+        except Exception as failure:
+            failure.add_note(f"process {process.name}")
+            failed.append(failure)
+    if failed:
+        raise ExceptionGroup(f"{len(failed)} of {len(chosen)} processes failed", failed)
+    return done

@@ -86,7 +86,7 @@ def _drift(column: str, status: str, source: str | None, target: str | None, val
 
 
 ORACLE: dict[str, str] = {
-    "scan_table": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag, l_shipdate FROM lineitem",
+    "scan_table": "SELECT * FROM lineitem",
     "scan_target": _T0,
     "scan_pushdown_ordered": f"{_S} ORDER BY o_orderdate, o_orderkey",
     "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
@@ -132,7 +132,7 @@ SELECT l_orderkey, l_shipdate,
        '{"status":"' || l_linestatus || '","part":' || l_partkey || '}' AS state,
        l_shipdate AS shipped_at
 FROM lineitem""",
-    "row_fingerprint": "SELECT p_partkey, md5(concat_ws('|', p_partkey, p_name, p_brand, p_type, p_size)) AS md5 FROM part",
+    "row_fingerprint": "SELECT p_partkey, md5(coalesce(length(cast(p_partkey as varchar)) || ':' || cast(p_partkey as varchar), '-') || coalesce(length(cast(p_name as varchar)) || ':' || cast(p_name as varchar), '-') || coalesce(length(cast(p_brand as varchar)) || ':' || cast(p_brand as varchar), '-') || coalesce(length(cast(p_type as varchar)) || ':' || cast(p_type as varchar), '-') || coalesce(length(cast(p_size as varchar)) || ':' || cast(p_size as varchar), '-')) AS md5 FROM part",
     "schema_drift": " UNION ALL ".join(
         [
             _drift("O_CUSTKEY", "type_mismatch", "bigint", "string", "o_custkey", "orders"),

@@ -31,7 +31,7 @@ from tidemark.plans.ledger import ledger_current, ledger_metadata, read_ledger,
 from tidemark.plans.store import TargetStore, stage_table
 from tidemark.plans.sync import sync, sync_all
 from tidemark.session import fresh_dir
-from tidemark.sources import incremental_scan, preview
+from tidemark.sources import incremental_scan, preview, read_files
 from workload.inputs import (
     MARK,
     RUN,
@@ -82,9 +82,7 @@ def _named(parts: dict[str, DataFrame]) -> DataFrame:
 
 @query("scan_table")
 def scan_table(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"
-    )
+    return read_files(spark, f"{sf_dir}/lineitem.parquet")
 
 
 @query("scan_target")
