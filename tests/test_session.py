@@ -1,6 +1,6 @@
 import pytest
 
-from tidemark.session import fresh_dir, shared_dir, size_shuffles
+from tidemark.session import fresh_dir, shared_dir, size_shuffles, sized_shuffles
 
 
 class FakeSession:
@@ -31,3 +31,13 @@ def test_shuffles_start_from_enough_partitions(spark):
     few = size_shuffles(other, 10)["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
     assert few == spark.conf.get("spark.sql.shuffle.partitions")
     assert other.conf.get("spark.sql.files.maxPartitionBytes") == str(gib // 4)
+
+
+def test_a_run_gives_the_settings_back(spark):
+    other, name = spark.newSession(), "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = other.conf.get(name, None)
+    with sized_shuffles(other, 100 * 1024**4):
+        assert other.conf.get(name) == str(4 * 100 * 1024)
+    assert other.conf.get(name, None) == before
+    with sized_shuffles(other, 10):
+        assert other.conf.get(name, None) == before

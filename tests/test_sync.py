@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import importlib
 
@@ -372,3 +373,33 @@ def test_hot_key_and_keyless_third_of_a_delta(fx):
     assert out.filter("k IS NULL").count() == 3000
     assert rows(out.filter("k = 7")) == [(7, 8998, "v")], "8997 is the largest multiple of three"
     assert out.count() == 3000 + 1 + 3000
+
+
+def test_a_spread_update_leaves_files_in_key_order(fx):
+    """A third of the rows share key 0; they do not make one large file either."""
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int").alias("k")
+    held = fx.spark.range(6000).select(key, F.lit(1).alias("t"), F.col("id").cast("string").alias("v"))
+    fx.store.adopt(held.repartition(8), "k")
+    fx.run([(k, 2, "s") for k in range(1, 6000, 100) if k % 3], file_bytes=40_000)
+    files = fx.files()
+    assert len(files) >= 8
+    assert fx.store.manifest(fx.store.state().manifest).agg(F.max("rows")).first()[0] <= 1500
+    fx.run([(k, 3, "n") for k in range(3001, 3101) if k % 3], file_bytes=40_000)
+    assert 1 <= len(files - fx.files()) <= 3
+    assert fx.store.read().count() == 6000
+    assert fx.store.read().filter("v = 'n'").count() == len([k for k in range(3001, 3101) if k % 3])
+
+
+def test_a_run_can_go_back(fx):
+    fx.run([(1, 1, "a"), (2, 5, "b")])
+    again = fx.run([(1, 1, "A"), (2, 5, "b")], from_mark=0)
+    assert (again.rows_read, again.mark, rows(again.target)) == (2, "5", [(1, 1, "A"), (2, 5, "b")])
+    assert fx.run([(1, 1, "Z")], from_mark=0).mark == "5", "the mark does not go back"
+    moved = dataclasses.replace(P, enddate=0)
+    assert fx.run([(1, 1, "c"), (2, 5, "b")], moved).rows_read == 2
+    assert fx.run([(1, 1, "c"), (2, 5, "b")], moved).rows_read == 0, "the same ENDDATE asks once"
+
+
+def test_repeated_keys_leave_nothing_in_the_target(fx):
+    fx.run([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], duplicates="latest")
+    assert rows(fx.spark.read.parquet(f"{fx.store.path}/data/*")) == [(1, 2, "b"), (2, 1, "c")]

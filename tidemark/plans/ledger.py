@@ -14,7 +14,8 @@ LEDGER_SCHEMA = """
     process_name string, source_table string, target_table string, run_id bigint, batch_id string,
     mode string, incremental_column string, mark string, mark_type string, enddate timestamp_ntz,
     rows_read bigint, rows_updated bigint, rows_inserted bigint, target_files bigint, target_rows bigint,
-    manifest string, table_schema string, started_at timestamp_ntz, finished_at timestamp_ntz
+    manifest string, table_schema string, started_at timestamp_ntz, finished_at timestamp_ntz,
+    control_enddate string
 """
 
 

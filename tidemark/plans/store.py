@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
@@ -66,6 +66,22 @@ def stage_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _hashable(dtype: DataType) -> bool:
+    return not any(kind in dtype.simpleString() for kind in ("map<", "variant"))
+
+
+def stage_ordered(df: DataFrame, keys: Sequence[str], path: str, data_bytes: int, file_bytes: int) -> None:
+    """Write `df` in key order: each file holds neighbouring keys, so that a later run passes over the others.
+
+    The row's hash splits a key with too many rows for one file. Keys without an order
+    of their own (random ids) gain nothing: their updates touch all files anyway.
+    """
+    parts = max(1, -(-int(data_bytes) // file_bytes))
+    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f.dataType)])
+    by = [F.col(f"`{k}`") for k in keys]
+    df.repartitionByRange(parts, *by, row).sortWithinPartitions(*by).write.mode("overwrite").parquet(path)
+
+
 def overlapping(manifest: DataFrame, key: str, dtype: DataType, lo: object | None, hi: object | None) -> DataFrame:
     """Files that may hold a key from `lo` to `hi`: those of another or unknown key range stay."""
     if not isinstance(dtype, RANGED):
@@ -94,7 +110,7 @@ class TargetStore:
         own = (F.col("process_name") == F.lit(process_name)) & (F.col("source_table") == F.lit(source_table))
         found = ledger.agg(
             F.max_by(F.struct("*"), "run_id").alias("last"),
-            F.max_by(F.struct("mark", "mark_type", "enddate"), F.when(own, F.col("run_id"))).alias("own"),
+            F.max_by(F.struct("mark", "mark_type", "enddate", "control_enddate"), F.when(own, F.col("run_id"))).alias("own"),
         ).first()
         if found.last is None:
             return TargetState()
@@ -111,10 +127,10 @@ class TargetStore:
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
         return self.spark.read.schema(MANIFEST_SCHEMA).parquet(f"{self.path}/manifest/{version}")
 
-    def files(self, manifest: DataFrame) -> dict[str, int]:
-        """File names and ids: metadata only, as Spark's own file listing."""
-        named = manifest.select("file", _file_id(F.substring_index("file", "/", -1)).alias("id"))
-        return {row.file: row.id for row in named.collect()}
+    def files(self, manifest: DataFrame) -> dict[str, Row]:
+        """File names with their id and rows: metadata only, as Spark's own file listing."""
+        named = manifest.select("file", _file_id(F.substring_index("file", "/", -1)).alias("id"), "rows")
+        return {row.file: row for row in named.collect()}
 
     def read_files(self, schema: StructType, files: Iterable[str]) -> DataFrame:
         if not files:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -19,10 +19,14 @@ from tidemark.operators.quality import all_present, high_water_mark
 from tidemark.operators.schema import MISMATCH, ColumnDrift, conform, diff_schemas, evolve_schema
 from tidemark.operators.upsert import bounded_broadcast, dedupe_latest, upsert
 from tidemark.plans.control import INCREMENTAL, Process
-from tidemark.plans.store import RANGED, TargetState, TargetStore, overlapping, stage_table
-from tidemark.session import fresh_dir
+from tidemark.plans.store import RANGED, TargetState, TargetStore, overlapping, stage_ordered, stage_table
+from tidemark.session import fresh_dir, sized_shuffles
 from tidemark.sources.incremental import incremental_scan
 
+#: In-memory bytes of the rows that go into one file of a target kept in key order.
+FILE_BYTES = 512 * 1024 * 1024
+
+
 @dataclass(frozen=True)
 class SyncResult:
     """What a run did."""
@@ -47,7 +51,6 @@ class _Stage:
     """The written delta and everything one pass over it tells."""
 
     rows: DataFrame
-    version: str | None
     counts: Row
 
 
@@ -94,20 +97,23 @@ def _profile(stage: DataFrame, keys: list[str], mark: str | None, measure: bool)
 
 
 def _stage(
-    store: TargetStore, delta: DataFrame, version: str | None, process: Process, keys: list[str], duplicates: str
+    store: TargetStore, delta: DataFrame, version: str | None, process: Process, keys: list[str], duplicates: str, once: bool
 ) -> _Stage:
-    """Write the delta once and profile it; with `latest`, thin out repeated keys if there are any."""
+    """Write the delta and profile it; with `latest`, thin out repeated keys if there are any.
+
+    A delta without an order goes straight into the files of `version`. A stage that
+    is read `once` is thinned out on that reading.
+    """
     mark = process.incremental_column
     rows = stage_table(delta, store.data_path(version) if version else fresh_dir(store.spark, "stage"))
     counts = _profile(rows, keys, mark, measure=version is None)
     if not counts.repeated:
-        return _Stage(rows, version, counts)
+        return _Stage(rows, counts)
     if duplicates != "latest" or not mark:
         raise ValueError(f"{process.name}: {counts.repeated} keys of {keys} occur more than once in the stage")
-    thinned = f"{version}-latest" if version else None
-    path = store.data_path(thinned) if thinned else fresh_dir(store.spark, "latest")
     # Size only shrinks; mark and key range stay: the profile still holds.
-    return _Stage(stage_table(dedupe_latest(rows, keys, mark), path), thinned, counts)
+    newest = dedupe_latest(rows, keys, mark)
+    return _Stage(newest if once else stage_table(newest, fresh_dir(store.spark, "latest")), counts)
 
 
 def _within(key: str, stage: _Stage) -> Column:
@@ -128,6 +134,7 @@ def _merge(
     version: str,
     audit: AuditColumns,
     broadcast_bytes: int,
+    file_bytes: int,
 ) -> tuple[DataFrame, int]:
     """Rewrite the files that hold a stage key; return the files carried over and the rows updated.
 
@@ -138,6 +145,11 @@ def _merge(
     few = stage.counts.key_bytes <= broadcast_bytes
     dtype = stage.rows.schema[keys[0]].dataType
     near = store.files(overlapping(manifest, keys[0], dtype, stage.counts.lo, stage.counts.hi))
+    width = stage.counts.bytes / max(stage.counts.rows, 1)
+
+    def size(files: Iterable[Row]) -> int:
+        """About the bytes of the files' rows and the stage's."""
+        return stage.counts.bytes + int(width * sum(f.rows for f in files))
 
     per_file, hits = [], None
     if near:
@@ -146,27 +158,29 @@ def _merge(
         wanted = stage.rows.filter(all_present(keys)).select(*keys)
         # Written as it comes from the join: an aggregate here would keep AQE from splitting a hot key.
         found = held.join(bounded_broadcast(wanted, few), keys, "left_semi")
-        hits = stage_table(found, fresh_dir(store.spark, "hits"))
+        with sized_shuffles(store.spark, size(near.values())):
+            hits = stage_table(found, fresh_dir(store.spark, "hits"))
         per_file = hits.groupBy("__file").agg(F.count("*").alias("copies")).collect()
     ids = {row["__file"] for row in per_file}
-    touched = [file for file, file_id in near.items() if file_id in ids]
+    touched = {name: file for name, file in near.items() if file.id in ids}
 
     if not touched:
-        stage_table(conform(stage.rows, schema), store.data_path(version))
+        stage_ordered(conform(stage.rows, schema), keys, store.data_path(version), stage.counts.bytes, file_bytes)
         return manifest, 0
     old = store.read_files(schema, touched)
     matched = hits.select(*keys).distinct()
     merged = upsert(old, stage.rows, keys, audit, broadcast=small, matched=matched)
-    stage_table(merged, store.data_path(version))
-    replaced = store.spark.createDataFrame(pa.table({"file": touched}))
+    with sized_shuffles(store.spark, size(touched.values())):
+        stage_ordered(merged, keys, store.data_path(version), size(touched.values()), file_bytes)
+    replaced = store.spark.createDataFrame(pa.table({"file": list(touched)}))
     return manifest.join(replaced, "file", "left_anti"), sum(row.copies for row in per_file)
 
 
-def _next_mark(process: Process, state: TargetState, stage: _Stage, drift: list[ColumnDrift]) -> dict:
+def _next_mark(process: Process, state: TargetState, stage: _Stage, drift: list[ColumnDrift], rewound: bool) -> dict:
     """The largest value this process has read, whoever else loads the target: no unread row falls behind it.
 
     Rows of an incremental run lie past the old mark, so the stage's largest value is
-    the larger one, unless the target's type orders values in another way.
+    the larger one, unless the target's type orders values in another way or the run went back.
     """
     column = process.incremental_column
     if not column:
@@ -176,7 +190,7 @@ def _next_mark(process: Process, state: TargetState, stage: _Stage, drift: list[
         return {"mark": None, "mark_type": None, "enddate": None} | old
     dtype = stage.rows.select(column).schema[0].dataType
     retyped = any(d.status == MISMATCH and d.column == column.upper() for d in drift)
-    if retyped and process.load_type.upper() == INCREMENTAL and old.get("mark") is not None:
+    if (retyped or rewound) and process.load_type.upper() == INCREMENTAL and old.get("mark") is not None:
         marks = [F.lit(m).try_cast(dtype) for m in (old["mark"], top.mark)]
         if stage.rows.sparkSession.range(1).select(marks[0] > marks[1]).first()[0]:
             return {"mark": None, "mark_type": None, "enddate": None} | old
@@ -195,12 +209,17 @@ def sync(
     zone: str = "UTC",
     audit: AuditColumns = AUDIT,
     broadcast_bytes: int = BROADCAST_BYTES,
+    file_bytes: int = FILE_BYTES,
+    from_mark: object | None = None,
 ) -> SyncResult:
     """Run one process against its target below `root`.
 
     `duplicates` says what several stage rows for one key mean: an error, or
     "latest" to keep the one with the largest incremental value. A failed run
     leaves the committed target and its mark as they were; run it again.
+
+    `from_mark` reads again from an earlier mark on; so does a control row whose
+    ENDDATE is not the one that the process's last run saw. The mark does not go back.
     """
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_ts = run_ts or started
@@ -215,15 +234,17 @@ def sync(
     mode = process.mode
     filled = bool(state.last.get("target_files"))
 
-    delta = with_audit(_read(process, state, source, inclusive, flat, zone), stamp, process.source_system, audit)
+    start = _start(process, state, from_mark)
+    delta = with_audit(_read(process, start, source, inclusive, flat, zone), stamp, process.source_system, audit)
     schema = evolve_schema(state.schema or _created(source, delta), delta.schema)
     drift = diff_schemas(delta.schema, state.schema) if state.schema else []
     # Without rows to look up, the stage is the new data itself.
     direct = mode != "merge" or not filled
     delta = conform(delta, schema, fill=direct)
     fields = by_upper_name(schema)
-    keys = [fields[k.upper()].name for k in process.keys] if mode == "merge" else []
-    stage = _stage(store, delta, version if direct else None, process, keys, duplicates)
+    ordered = [fields[k.upper()].name for k in process.keys]
+    keys = ordered if mode == "merge" else []
+    stage = _stage(store, delta, version if direct and not ordered else None, process, keys, duplicates, once=direct)
 
     rows_read, updated = stage.counts.rows, 0
     total = {"files": state.last.get("target_files") or 0, "rows": state.last.get("target_rows") or 0}
@@ -231,19 +252,21 @@ def sync(
     if rows_read == 0 and mode != "full" and state.schema is not None:
         schema, manifest = state.schema, state.manifest
     else:
-        manifest = stage.version or version
+        manifest = version
         if direct:
             carried = store.manifest(None) if mode == "full" else live
+            if ordered:
+                stage_ordered(stage.rows, ordered, store.data_path(version), stage.counts.bytes, file_bytes)
         else:
-            carried, updated = _merge(store, live, schema, stage, keys, manifest, audit, broadcast_bytes)
-        range_key = fields[process.keys[0].upper()].name if process.keys else None
+            carried, updated = _merge(store, live, schema, stage, keys, manifest, audit, broadcast_bytes, file_bytes)
+        range_key = ordered[0] if ordered else None
         total = store.write_manifest(manifest, carried, store.describe(manifest, schema, range_key)).asDict()
     inserted = total["rows"] - before
 
     def read() -> DataFrame:
         return store.read_files(schema, store.files(store.manifest(manifest)))
 
-    mark = _next_mark(process, state, stage, drift)
+    mark = _next_mark(process, state, stage, drift, rewound=start != state.own_mark.get("mark"))
     store.commit(
         {
             "process_name": process.name,
@@ -263,6 +286,7 @@ def sync(
             "table_schema": schema.json(),
             "started_at": started,
             "finished_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+            "control_enddate": _enddate_text(process),
         }
     )
     return SyncResult(process, run_id, rows_read, updated, inserted, mark["mark"], drift, read)
@@ -274,18 +298,28 @@ def _created(source: DataFrame, delta: DataFrame) -> StructType:
     return StructType([StructField(f.name, f.dataType, f.name not in required) for f in delta.schema.fields])
 
 
-def _read(
-    process: Process, state: TargetState, source: DataFrame, inclusive: bool, flat: bool, zone: str
-) -> DataFrame:
+def _enddate_text(process: Process) -> str:
+    return "" if process.enddate is None else mark_text(process.enddate)
+
+
+def _start(process: Process, state: TargetState, from_mark: object | None) -> object | None:
+    """Where a run begins: the mark asked for, a control row's new ENDDATE, else the process's own mark."""
+    own, seen = state.own_mark.get("mark"), state.own_mark.get("control_enddate")
+    if from_mark is not None:
+        return from_mark
+    moved = seen is not None and process.enddate is not None and _enddate_text(process) != seen
+    return process.enddate if own is None or moved else own
+
+
+def _read(process: Process, start: object | None, source: DataFrame, inclusive: bool, flat: bool, zone: str) -> DataFrame:
     """The source's rows past the mark, in the target's physical types."""
     delta = source
     if process.load_type.upper() == INCREMENTAL:
-        start = state.own_mark.get("mark")
-        start = process.enddate if start is None else start
         delta = incremental_scan(source, process.incremental_column, start, inclusive, zone)
-    if delta is not source:
+    if delta is not source and not process.keys:
         # A filtered scan leaves a little in each of many partitions; gather it into few files.
-        delta = delta.hint("rebalance", *process.keys)
+        # A delta with keys is staged only, and put in their order on the way into the target.
+        delta = delta.hint("rebalance")
     return to_layout(delta, flat, zone)
 
 

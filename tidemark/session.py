@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -43,20 +45,42 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def size_shuffles(spark: SparkSession, data_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
-    """Set partition sizes for the table at hand.
-
-    AQE merges small shuffle partitions and splits skewed ones, but cannot raise
-    their number: it must start from enough of them for the largest input.
-    """
+def _shuffle_settings(spark: SparkSession, data_bytes: int, partition_bytes: int) -> dict[str, str]:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-data_bytes // partition_bytes))
-    settings = {
+    return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }
+
+
+def size_shuffles(spark: SparkSession, data_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Set partition sizes for the table at hand.
+
+    AQE merges small shuffle partitions and splits skewed ones, but cannot raise
+    their number: it must start from enough of them for the largest input.
+    """
+    settings = _shuffle_settings(spark, data_bytes, partition_bytes)
     for name, value in settings.items():
         spark.conf.set(name, value)
     return settings
+
+
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, data_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> Iterator[None]:
+    """`size_shuffles` for the actions inside, where the session's own partitions are too few; the old settings come back."""
+    if data_bytes <= int(spark.conf.get("spark.sql.shuffle.partitions")) * partition_bytes:
+        yield
+        return
+    before = {name: spark.conf.get(name, None) for name in _shuffle_settings(spark, data_bytes, partition_bytes)}
+    size_shuffles(spark, data_bytes, partition_bytes)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

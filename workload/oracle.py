@@ -206,4 +206,14 @@ SELECT 'SYNC_ORDERS' AS process_name, 'merge' AS mode, strftime(max(o_orderdate)
        count(*) FILTER (o_orderkey NOT IN (SELECT o_orderkey FROM t)) AS rows_inserted
 FROM s""",
     "sync_latest": _lines_merge("SRC", _RUN),
+    "sync_after_spread": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+       CASE WHEN o_orderkey <= 100 THEN o_totalprice + 2 WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1
+            ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey <= 100 THEN 3 WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS version,
+       {_RUN} AS loaded_at, 'SRC' AS source_system
+FROM orders""",
+    "sync_rewind": _merged(
+        _T0, "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1997-01-01 00:00:00'", ["o_orderkey"], _ORDERS
+    )["all"],
 }

@@ -455,3 +455,23 @@ def sync_latest(spark, sf_dir):
     root = fresh_dir(spark, "latest")
     sync(spark, process, lineitem.filter(F.col("l_shipdate") <= ntz(MARK)), root, run_ts=RUN, duplicates="latest")
     return sync(spark, process, lineitem, root, run_ts=RUN, duplicates="latest").target
+
+
+@query("sync_after_spread")
+def sync_after_spread(spark, sf_dir):
+    """A first load, an update spread over all keys with both sides shuffled, then one of neighbouring keys."""
+    orders = table(spark, sf_dir, "orders").withColumn("version", F.lit(1))
+    process = replace(ORDERS, incremental_column="version", enddate=None)
+    root = fresh_dir(spark, "spread")
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").selectExpr("* EXCEPT (version, o_totalprice)", "2 AS version", "o_totalprice + 1 AS o_totalprice")
+    near = orders.filter("o_orderkey <= 100").selectExpr("* EXCEPT (version, o_totalprice)", "3 AS version", "o_totalprice + 2 AS o_totalprice")
+    results = [sync(spark, process, rows, root, run_ts=RUN, broadcast_bytes=-1, file_bytes=1 << 18) for rows in (orders, urgent, near)]
+    return results[-1].target
+
+
+@query("sync_rewind")
+def sync_rewind(spark, sf_dir):
+    """A control row set back to an earlier day reads again from there."""
+    root, _ = _synced(spark, sf_dir)
+    back = replace(ORDERS, enddate="1997-01-01 00:00:00")
+    return sync(spark, back, table(spark, sf_dir, "orders"), root, run_ts=RUN).target
