@@ -163,6 +163,11 @@ def test_pasted_passage_is_found_wherever_it_is(spark):
     assert missed <= 1
 
 
+def test_bands_find_nearly_all_pairs_at_the_threshold():
+    assert 1 - (1 - substrings.LEAST**substrings.ROWS) ** substrings.BANDS >= 0.999
+    assert substrings.REACH <= 4
+
+
 def test_katz_probabilities_add_up(spark):
     rows = [(i, " ".join(random.Random(i).choices("abcde", k=30))) for i in range(30)]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.col("doc_id")).withColumn("train", F.lit(True))
