@@ -168,6 +168,18 @@ def test_bands_find_nearly_all_pairs_at_the_threshold():
     assert substrings.REACH <= 4
 
 
+def test_near_copies_far_apart_in_one_text_are_found(spark):
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choices("abcdefghij", k=6))
+    text = []
+    for _ in range(60):
+        passage = [word() for _ in range(26)]
+        for end in (word(), word()):
+            text += [word() for _ in range(40)] + passage[:25] + [end]
+    got = substrings.spans(spark.createDataFrame([(1, " ".join(text))], "doc_id long, text string")).collect()
+    assert {r["removed"] for r in got} == {False, True}
+
+
 def test_katz_probabilities_add_up(spark):
     rows = [(i, " ".join(random.Random(i).choices("abcde", k=30))) for i in range(30)]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.col("doc_id")).withColumn("train", F.lit(True))
