@@ -180,6 +180,17 @@ def test_near_copies_far_apart_in_one_text_are_found(spark):
     assert {r["removed"] for r in got} == {False, True}
 
 
+def test_paragraphs_of_a_text_do_not_depend_on_its_neighbours():
+    draw = np.random.default_rng(6)
+    texts = [draw.integers(1, 1 << 62, n).astype(np.uint64) for n in draw.integers(1, 60, 300)] + [np.full(70, 5, np.uint64)] * 3
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    begin = np.searchsorted(row, np.arange(len(texts)))
+    options = substrings.LENGTH, substrings.REACH
+    alone = [(i, int(a)) for i, t in enumerate(texts) for a in substrings.paragraphs(t, np.zeros(len(t), np.int64), *options)]
+    together = substrings.paragraphs(np.concatenate(texts), row, *options)
+    assert [(int(row[a]), int(a - begin[row[a]])) for a in together] == alone
+
+
 def test_katz_probabilities_add_up(spark):
     rows = [(i, " ".join(random.Random(i).choices("abcde", k=30))) for i in range(30)]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.col("doc_id")).withColumn("train", F.lit(True))
