@@ -191,6 +191,26 @@ def test_paragraphs_of_a_text_do_not_depend_on_its_neighbours():
     assert [(int(row[a]), int(a - begin[row[a]])) for a in together] == alone
 
 
+def test_short_passages_are_found_whole(spark):
+    draw = random.Random(12)
+    word = lambda: "".join(draw.choices("abcdefghij", k=6))
+    rows, want = [], {}
+    for n in range(40):
+        # Inside a line every passage of 34 words, as a line of its own also a short one.
+        size, ends = (34, " ") if n % 2 else (10, "\n")
+        passage = " ".join(word() for _ in range(size))
+        for i in (2 * n, 2 * n + 1):
+            at = draw.randrange(1, 60)
+            rows.append((i, ends.join([" ".join(word() for _ in range(at)), passage, " ".join(word() for _ in range(60))])))
+            want[i] = (at, at + size)
+    got = substrings.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["removed"]) for r in got} == {(i, i % 2 == 1) for i in want} and len(got) == len(want)
+    for r in got:
+        # A paragraph at 0.8 or above may hold up to two words of what stands around.
+        start, stop = want[r["doc_id"]]
+        assert start - 2 <= r["start"] <= start and stop <= r["start"] + r["n_words"] <= stop + 2
+
+
 def test_katz_probabilities_add_up(spark):
     rows = [(i, " ".join(random.Random(i).choices("abcde", k=30))) for i in range(30)]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.col("doc_id")).withColumn("train", F.lit(True))
