@@ -256,6 +256,18 @@ def test_main_text(page, text):
     assert html.extract(page) == text
 
 
+@pytest.mark.parametrize("open_", ["<div class='layout has-sidebar'>", "<div class='page-with-comments'>", "<div class=widget>", "<head><title>t</title>", "<head><meta charset=utf-8><title>t<body>", "<div>"])
+def test_all_sections_stay(open_):
+    more, less = "A long paragraph of many words. " * 14, "A shorter one of some words. " * 6
+    page = f"{open_}<div id=content><div><p>{more}</p></div><div><p>{less}</p><table><tr><td>cell</td></tr></table></div></div><div class=sidebar>links</div>"
+    assert html.extract(page) == f"{more.strip()}\n{less.strip()}\ncell"
+
+
+def test_all_articles_stay():
+    page = "<div><article><p>" + "one " * 70 + "</p></article><article><p>" + "two " * 30 + "</p></article></div><p>x</p>"
+    assert html.extract(page) == ("one " * 70).strip() + "\n" + ("two " * 30).strip()
+
+
 def test_secrets_are_redacted_and_others_stay(spark):
     rows = [
         (1, "set password=9855ae4fa49702326c now", "k"),

@@ -5,13 +5,16 @@ cut the page into lines; a line's ratio is its characters by the tags that it ho
 Lines in menus, headers, footers, sidebars, adverts, notices, forms, comments and in
 what is not shown have ratio 0, by element, role or the words of class and id. The
 ratios are smoothed by a Gaussian over neighbouring lines, and lines above the
-deviation of all lines are content. The region is the innermost container that holds
-most of the content (an article or main element is not entered further); all of its
-lines that share a container with content are returned, short ones too.
+deviation of all lines are content. The region is a main element that holds more than
+`most` of the content, or else all article elements if they do, or else the innermost
+container of all content; all of its shown lines are returned, short ones too. A word
+of class or id counts as what the element is (`sidebar`), not as what it has
+(`has-sidebar`), and never hides a box with most of the page's text, but for boxes
+beside an article or main element.
 
 Null and empty pages give an empty text. Unclosed and stray tags are closed by the
-elements around them; what the parser can't read as a tag is text or a comment. Ties
-between containers go to the inner one. Repeated pages are each extracted; other
+elements around them, a head by the page's content; what the parser can't read as a
+tag is text or a comment. Repeated pages are each extracted; other
 columns are not read.
 """
 
@@ -32,6 +35,7 @@ BLOCKS = frozenset(
 )
 CONTAINERS = frozenset("article aside body center dd details div fieldset footer form header main nav section td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 SILENT = frozenset("script style noscript template head title iframe object svg canvas select button textarea datalist audio video option".split())
 ASIDE = frozenset("nav header footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
@@ -42,6 +46,8 @@ NAMES = frozenset(
     "footer bottombar copyright comment comments commentlist reply replies respond disqus discussion share sharing social related "
     "recommended recommendations widget widgets toolbar login search form hidden".split()
 )
+#: A name after one of these tells what a box has, not what it is.
+HAVING = frozenset("has have with without no not".split())
 WHOLE = frozenset(("article", "main"))
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: A block may not be closed from inside these by the start of another.
@@ -56,8 +62,11 @@ class Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
-        self.whole: set[int] = set()
-        self._stack: list[tuple[str, bool, tuple[int, ...]]] = []  # element, shown, containers
+        self.whole: dict[int, str] = {}
+        # Element, shown, containers, boxes around that are put aside by their names.
+        self._stack: list[tuple[str, bool, tuple[int, ...], tuple[int, ...]]] = []
+        self._named: list[tuple[int, ...]] = []  # of each line
+        self._names = 0
         self._text: list[str] = []
         self._tags = 0
         self._made = 0
@@ -65,14 +74,15 @@ class Lines(HTMLParser):
     def parse_marked_section(self, i, report=1):
         return self.parse_bogus_comment(i)
 
-    def _state(self) -> tuple[bool, tuple[int, ...]]:
-        return self._stack[-1][1:] if self._stack else (True, ())
+    def _state(self) -> tuple[bool, tuple[int, ...], tuple[int, ...]]:
+        return self._stack[-1][1:] if self._stack else (True, (), ())
 
     def _cut(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            shown, where = self._state()
+            shown, where, named = self._state()
             self.lines.append((text, max(1, self._tags), where, shown))
+            self._named.append(named)
         self._text, self._tags = [], 0
 
     def _close(self, names: tuple[str, ...]) -> None:
@@ -86,7 +96,7 @@ class Lines(HTMLParser):
     def _hides(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in SILENT:
             return True
-        inside = any(name in WHOLE for name, _, _ in self._stack)
+        inside = any(x[0] in WHOLE for x in self._stack)
         if tag in ASIDE and not (tag == "header" and inside):
             return True
         if tag in ("html", "body") or tag in WHOLE:
@@ -97,11 +107,26 @@ class Lines(HTMLParser):
                 return True
             if key == "role" and value in ROLES or key == "style" and re.search(r"display\s*:\s*none", value):
                 return True
-            if key in ("class", "id") and not (tag == "header" and inside) and not NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-                return tag in BLOCKS or tag in ("span", "ins")
         return False
 
+    def _is_named(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """Whether a word of class or id puts the element aside; `has-sidebar` does not."""
+        if tag in ("html", "body") or tag in WHOLE or tag not in BLOCKS and tag not in ("span", "ins"):
+            return False
+        if tag == "header" and any(x[0] in WHOLE for x in self._stack):
+            return False
+        each = [re.split(r"[^a-z]+", name) for key, value in attrs if key in ("class", "id") for name in (value or "").lower().split()]
+        return any(not NAMES.isdisjoint(parts) and HAVING.isdisjoint(parts) for parts in each)
+
+    def _end_head(self) -> None:
+        """A head without an end tag ends where the page's content begins."""
+        names = [x[0] for x in self._stack]
+        if "head" in names and set(names[names.index("head") + 1 :]) <= {"title"}:
+            del self._stack[names.index("head") :]
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in BLOCKS:
             self._cut()
             if tag in ENDS_P:
@@ -113,17 +138,21 @@ class Lines(HTMLParser):
             self._text.append(" ")
         if tag in VOID:
             return
-        shown, where = self._state()
-        if shown and self._hides(tag, attrs):
-            if tag not in BLOCKS and tag not in SILENT:
-                self._cut()
-            shown = False
+        shown, where, named = self._state()
+        hides = shown and self._hides(tag, attrs)
+        puts = shown and not hides and self._is_named(tag, attrs)
+        if (hides or puts) and tag not in BLOCKS and tag not in SILENT:
+            self._cut()
+        shown = shown and not hides
+        if puts:
+            self._names += 1
+            named = (*named, self._names)
         if tag in CONTAINERS:
             self._made += 1
             where = (*where, self._made)
             if tag in WHOLE:
-                self.whole.add(self._made)
-        self._stack.append((tag, shown, where))
+                self.whole[self._made] = tag
+        self._stack.append((tag, shown, where, named))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # as browsers do: a slash closes nothing
@@ -134,19 +163,32 @@ class Lines(HTMLParser):
             self._cut()
         if at is None or tag in ("html", "body"):
             return
-        if tag not in BLOCKS and any(name in SCOPE for name, _, _ in self._stack[at + 1 :]):
+        if tag not in BLOCKS and any(x[0] in SCOPE for x in self._stack[at + 1 :]):
             return  # a stray inline end tag does not close a block
-        if tag not in BLOCKS and tag not in SILENT and not self._stack[at][1] and (at == 0 or self._stack[at - 1][1]):
+        if tag not in BLOCKS and tag not in SILENT and self._stack[at][1::2] != (self._stack[at - 1][1::2] if at else (True, ())):
             self._cut()
         del self._stack[at:]
 
     def handle_data(self, data: str) -> None:
-        if not self._stack or self._stack[-1][0] not in SILENT and not any(name in SILENT for name, _, _ in self._stack):
+        if self._stack and self._stack[-1][0] == "head" and data.strip():
+            self._end_head()
+        if not any(x[0] in SILENT for x in self._stack):
             self._text.append(data)
 
     def done(self) -> list[tuple[str, int, tuple[int, ...], bool]]:
         self.close()
         self._cut()
+        # A box holding most of the text is not put aside by its name, unless an article or main element is outside it.
+        size = [len(text) * shown for text, _, _, shown in self.lines]
+        mass: dict[int, int] = {}
+        for n, named in zip(size, self._named):
+            for box in named:
+                mass[box] = mass.get(box, 0) + n
+        lifted = {box for box, n in mass.items() if 2 * n > sum(size)}
+        for box in sorted(lifted):
+            if any(n and box not in named and not self.whole.keys().isdisjoint(line[2]) for n, line, named in zip(size, self.lines, self._named)):
+                lifted.discard(box)
+        self.lines = [(*line[:3], line[3] and lifted.issuperset(named)) for line, named in zip(self.lines, self._named)]
         return self.lines
 
 
@@ -159,7 +201,7 @@ def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
 
 
 def extract(html: str, sigma: float = 1.0, most: float = 0.6) -> str:
-    """The lines of the region that holds more than `most` of the content."""
+    """The shown lines of the region that holds the content: of main or article elements with more than `most` of it, else of all."""
     parser = Lines()
     for at in range(0, len(html), PIECE):
         parser.feed(html[at : at + PIECE])
@@ -172,25 +214,26 @@ def extract(html: str, sigma: float = 1.0, most: float = 0.6) -> str:
     content = shown & (smoothed > np.std(smoothed) * bool(np.ptp(smoothed)))
     if not content.any():
         content = shown
-    # What a container holds, and the path to the innermost that holds most.
-    mass: dict[int, float] = {}
-    for i in np.flatnonzero(content):
+    # A main element with most of the content, else all articles if they hold most of it, else all.
+    found = np.flatnonzero(content)
+    total = sum(len(lines[i][0]) for i in found)
+    mass: dict[int, int] = {}
+    for i in found:
         for box in lines[i][2]:
-            mass[box] = mass.get(box, 0.0) + len(lines[i][0])
-    total = sum(len(lines[i][0]) for i in np.flatnonzero(content))
-    region: tuple[int, ...] = ()
-    for i in np.flatnonzero(content):
-        for depth, box in enumerate(lines[i][2], 1):
-            if mass[box] <= most * total:
-                break
-            if depth > len(region):
-                region = lines[i][2][:depth]
-            if box in parser.whole:
-                break
-    whole = bool(region) and region[-1] in parser.whole
-    homes = {lines[i][2] for i in np.flatnonzero(content)}
-    kept = [text for text, _, where, seen in lines if seen and where[: len(region)] == region and (whole or where in homes)]
-    return "\n".join(kept)
+            mass[box] = mass.get(box, 0) + len(lines[i][0])
+    boxes = {box for box, tag in parser.whole.items() if tag == "main" and mass.get(box, 0) > most * total}
+    if not boxes:
+        boxes = set(parser.whole)
+        if sum(len(lines[i][0]) for i in found if not boxes.isdisjoint(lines[i][2])) <= most * total:
+            boxes = set()
+    if boxes:
+        return "\n".join(text for text, _, where, seen in lines if seen and not boxes.isdisjoint(where))
+    # The innermost container that holds all content.
+    region = lines[found[0]][2] if len(found) else ()
+    for i in found:
+        while lines[i][2][: len(region)] != region:
+            region = region[:-1]
+    return "\n".join(text for text, _, where, seen in lines if seen and where[: len(region)] == region)
 
 
 def _extracted(sigma: float, most: float):
