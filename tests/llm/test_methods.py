@@ -280,6 +280,22 @@ def test_secrets_are_redacted_and_others_stay(spark):
     assert out[2]["text"] == rows[1][1] and out[4]["text"] is None and out[1]["found"] == "k"
 
 
+def test_long_and_encrypted_keys_are_whole_and_letters_are_judged(spark):
+    lines = "\n".join("MIIEpAIBAAKCAQEA7bq9x2Z" * 2 for _ in range(600))
+    begin, end = "-----BEGIN {}-----", "-----END {}-----"
+    rows = []
+    for i, (name, head) in enumerate([("RSA PRIVATE KEY", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0A1B2C\n\n"), ("PGP PRIVATE KEY BLOCK", "Version: GnuPG v2\n\n"), ("PRIVATE KEY", "")]):
+        rows.append((i, f"see\n{begin.format(name)}\n{head}{lines}\n{end.format(name)}\nend", "k"))
+    # A block without an end takes nothing of the next one, and dashes cost no stack.
+    rows.append((3, begin.format("PRIVATE KEY") + " is how one begins. " + "- " * 100_000 + rows[2][1], "k"))
+    rows.append((4, "use kQxWvTzRyBnMpLsDfGhJ now, not kqxwvtzrybnmplsdfghj", "k"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found string")
+    out = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert [out[i] for i in range(3)] == ["see\n<SECRET>\nend"] * 3
+    assert out[3].endswith("see\n<SECRET>\nend") and "is how one begins. - - " in out[3]
+    assert out[4] == "use <SECRET> now, not kqxwvtzrybnmplsdfghj"
+
+
 def test_mix_meets_budget_and_limits(spark, documents):
     out = mixing.mix(documents, evenness=1.0, most_repeats=3.0)
     total = documents.select(F.sum(F.size(rules.word_list(F.col("text"))))).first()[0]

@@ -1,8 +1,8 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
 DataFrame functions only. One pattern marks candidates in the text: long runs of
-key-like characters with a digit, values assigned to a secret's name, and private key
-blocks. The text is cut there, so a candidate has its neighbours beside it. Features:
+key-like characters with a digit or of mixed case, values assigned to a secret's name,
+and private key blocks of any length, PGP and encrypted ones too. The text is cut there, so a candidate has its neighbours beside it. Features:
 length, shares of character kinds, transitions between kinds, variety, coverage by a
 dictionary, signs of a path or address, and words before and after. A forest learned
 from labelled findings becomes one SQL expression, so scan and redaction run in the
@@ -40,9 +40,10 @@ DICTIONARY = (
 ).split()
 
 # Each alternative fails at its first test nearly everywhere: inside a run, or away from a name's first letter.
-_RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{16})[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+"
+_RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{16})(?:[A-Za-z+/_=-]*+[0-9][A-Za-z0-9+/_=-]*+|(?=[a-z+/_=-]*+[A-Z])(?=[A-Z+/_=-]*+[a-z])[A-Za-z+/_=-]++)"
 _NAMED = r"(?<![A-Za-z0-9])(?=[" + "".join(sorted({c for n in SECRET_NAMES for c in (n[0], n[0].upper())})) + r"])(?i:" + "|".join(SECRET_NAMES) + r")[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?[^\s\"']{6,}"
-_BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^-]{0,20000}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+# Up to the block's own END; possessive, so that the body costs no stack. A BEGIN or END of anything ends it.
+_BLOCK = r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
 _KEY_ID = r"(?<![A-Za-z0-9])A(?:KIA|SIA|IDA|ROA|GPA)[A-Z0-9]{16}(?![A-Za-z0-9])"
 CANDIDATE = f"{_BLOCK}|{_NAMED}|{_RUN}|{_KEY_ID}"
 FEATURES = "length digits lowers uppers hexes others kinds vowels variety words slashes dotted named quoted assigned harmless numbers_near address".split()
@@ -118,6 +119,8 @@ def examples(spark: SparkSession, each: int = 60) -> DataFrame:
     mixed = F.regexp_replace(F.base64(F.unhex(more)), "[^A-Za-z0-9]", "")
     digits = F.regexp_replace(F.conv(F.substring(more, 1, 15), 16, 10), "[^0-9]", "")
     dashed = F.concat_ws("-", F.substring(more, 1, 8), F.substring(more, 9, 4), F.substring(more, 13, 4), F.substring(more, 17, 4), F.substring(more, 21, 12))
+    letters = F.translate(mixed, "0123456789", "QxRyTzUvWk")
+    word = lambda k: F.get(F.array(*map(F.lit, DICTIONARY)), (F.col("i").cast("int") * 7 + k) % len(DICTIONARY))
     rows = [
         (F.concat(F.lit("AKIA"), F.left(upper, F.lit(16))), "the key is ", " of the account", 1),
         (F.concat(F.lit("AKIA"), F.left(upper, F.lit(16))), "stth of thon ", " thand er", 1),
@@ -128,6 +131,13 @@ def examples(spark: SparkSession, each: int = 60) -> DataFrame:
         (F.concat(F.lit("xoxb-"), F.left(digits, F.lit(12)), F.lit("-"), F.left(mixed, F.lit(24))), "slack ", "\n", 1),
         (F.concat(F.lit("secret='"), F.left(mixed, F.lit(24))), "a ", "' b", 1),
         (F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), mixed, mixed, F.lit("\n-----END PRIVATE KEY-----")), "\n", "\n", 1),
+        (F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,"), F.upper(hexes), F.lit("\n\n"), mixed, mixed, F.lit("\n-----END RSA PRIVATE KEY-----")), "\n", "\n", 1),
+        (F.concat(F.lit("-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n"), mixed, mixed, F.lit("\n=xYz1\n-----END PGP PRIVATE KEY BLOCK-----")), "\n", "\n", 1),
+        (F.left(letters, F.lit(24)), "use ", " now", 1),
+        (F.left(letters, F.lit(32)), "onthre ", " Edthnd", 1),
+        (F.concat(word(0), F.initcap(word(31)), F.initcap(word(12)), F.initcap(word(47)), F.initcap(word(5))), "call ", " here", 0),
+        (F.concat(F.initcap(word(3)), F.lit("-"), word(17), F.lit("-"), word(40), F.lit("-"), word(26)), "the ", " one", 0),
+        (F.concat(word(9), F.lit("/"), F.initcap(word(22)), F.lit("/"), word(35), F.lit("_"), word(50)), "in /", ".txt", 0),
         (hexes, "commit ", " fixes it", 0),
         (hexes, "the checksum is ", ".", 0),
         (more, "sha256 ", " of the file", 0),
