@@ -42,6 +42,8 @@ def write_tables(spark, path, documents):
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     pages = [(1, "u", None), (2, None, ""), (None, "v", "<p>a<p>b</div><!")] if documents else []
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{path}/pages.parquet")
+    vectors = [(1, [0.5, None]), (2, None), (None, [0.5, 1.0]), (3, [float("nan"), 0.0]), (4, [-2.0, 3.0]), (4, [-2.0, 3.0])] if documents else []
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{path}/embeddings.parquet")
     turns = [(1, 0, "a", "x"), (1, 0, "a", "x"), (1, None, None, None), (None, 1, "b", "<|end|>"), (2, 1, "system", "s")] if documents else []
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
     return path
@@ -53,7 +55,7 @@ def test_odd_and_empty_tables(spark, tmp_path, name):
     empty = write_tables(spark, str(tmp_path / "empty"), [])
     rows = QUERIES[name](spark, odd).collect()
     assert QUERIES[name](spark, empty).collect() == []
-    if name.split("_")[0] in ("op2", "op3", "op4", "op5", "op8"):
+    if name.split("_")[0] in ("op2", "op3", "op4", "op5", "op8", "op12"):
         assert len(rows) == len(ODD)
     if name == "op6_html_extraction":
         assert sorted(r["text"] for r in rows) == ["", "", "a\nb\n<!"]

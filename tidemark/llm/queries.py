@@ -16,7 +16,9 @@ from tidemark.llm.neardup import classes
 from tidemark.llm.quality import held_out, quality_scores
 from tidemark.llm.rules import judged
 from tidemark.llm.secrets import scan
+from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.substrings import spans
+from tidemark.llm.whiten import whitened
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +81,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("length"), F.sha2("found", 256).alias("found_sha256"), "probability", "is_secret")
 
 
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its SimHash fingerprint and its component of links."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the first four components, whitened."""
+    return whitened(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_perspectives": op1_chat_perspectives,
     "op2_quality_rules": op2_quality_rules,
@@ -90,4 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op12_simhash_dedup": op12_simhash_dedup,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
