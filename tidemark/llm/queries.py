@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat import perspectives
+from tidemark.llm.collocations import collocations
 from tidemark.llm.decontaminate import contamination
 from tidemark.llm.html import main_texts
 from tidemark.llm.katz import scores
@@ -81,6 +82,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("length"), F.sha2("found", 256).alias("found_sha256"), "probability", "is_secret")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each lang by the score of their weakest cut."""
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its SimHash fingerprint and its component of links."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
@@ -102,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_collocations": op11_collocations,
     "op12_simhash_dedup": op12_simhash_dedup,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
