@@ -10,13 +10,16 @@ Since average and linear layer commute, a fitted model scores with one number pe
 bucket, the vector times the difference of the two classes' weights. That table has
 `buckets` floats whatever the corpus, and is all that tasks get.
 
-The fit takes at most `most_rows` labelled rows, those of the smallest hash of doc_id;
-features are made in tasks, and only counts by bucket of these rows reach the driver.
-Everything else runs over all rows and whole texts.
+The fit takes at most `most_rows` labelled rows with `most_bytes` of text together, those
+of the smallest hash of doc_id, each with its whole text. It runs in one task, which makes
+the features, takes all steps and returns the weights; the driver gets `buckets` floats. A
+task that is lost does the same again. Everything else runs over all rows and whole texts.
 
 Nulls: a null or empty text has no n-gram and gets the score of the bias. A null label is
 no label; a doc_id with both labels is learned from twice. Without any labelled row every
-score is 0.5. Repeated rows are each scored. Other columns are not read.
+score is 0.5. A score equal to the threshold counts as 1. A labelled text longer than
+`most_bytes` is not learned from, but scored whole like any other. Repeated rows are each
+scored. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,13 +29,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import PLAIN, blocks, mix, words
 
-#: A bounded sample: so many labelled rows at most are learned from.
-MOST_ROWS = 3000
+#: A bounded sample: so many labelled rows at most are learned from, and so many bytes of their texts.
+MOST_ROWS, MOST_BYTES = 3000, 16 << 20
 BUCKETS = 1 << 18
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SAME = np.uint64(0x5851F42D4C957F2D)
@@ -76,26 +79,24 @@ def ngrams(data: bytes, offsets: np.ndarray, buckets: int) -> tuple[np.ndarray,
     return np.concatenate(rows), np.concatenate(found).astype(np.int64)
 
 
-def _features(buckets: int):
-    """For mapInArrow: (quality, doc_id, buckets, counts) of each row."""
+def _fitted(buckets: int):
+    """For mapInArrow over the sample (doc_id, quality, text) in one task: (weights, bias)."""
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
         for batch in batches:
+            ids, labels = batch.column("doc_id").to_pylist(), batch.column("quality").to_pylist()
             for low, high, data, offsets in blocks(batch):
                 row, found = ngrams(data, offsets, buckets)
                 key, counts = np.unique(row * buckets + found, return_counts=True)
-                edges = np.searchsorted(key, np.arange(high - low + 1) * buckets).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(low, high - low),
-                        batch.column("quality").slice(low, high - low),
-                        pa.ListArray.from_arrays(edges, pa.array((key % buckets).astype(np.int32))),
-                        pa.ListArray.from_arrays(edges, pa.array(counts.astype(np.float32))),
-                    ],
-                    names=["doc_id", "quality", "found", "counts"],
-                )
+                edges = np.searchsorted(key, np.arange(high - low + 1) * buckets)
+                for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                    rows.append((ids[low + i], labels[low + i], (key[a:b] % buckets).astype(np.int32), counts[a:b].astype(np.float32)))
+        if rows:
+            model = train([r[1:] for r in sorted(rows, key=lambda r: r[:2])], buckets)
+            yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()]), pa.array([model.bias])], names=["weights", "bias"])
 
-    return make
+    return fit
 
 
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], buckets: int, dims: int = 8, epochs: int = 12, rate: float = 1.0) -> Model:
@@ -125,27 +126,20 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], buckets: int, dims: in
     return Model((vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, buckets: int = BUCKETS) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES, buckets: int = BUCKETS) -> Model:
     """Learn from labels (doc_id, quality). The caller leaves out what is held out."""
     named = labels.filter("doc_id is not null and quality in (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     chosen = named.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(most_rows)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
     # A repeated doc_id could bring more rows than labels.
-    texts = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(most_rows)
-    made = texts.mapInArrow(_features(buckets), "doc_id long, quality int, found array<int>, counts array<float>")
-    rows = made.toArrow()
-    if not rows.num_rows:
-        return train([], buckets)
-    order = np.lexsort((rows.column("quality").to_numpy(), rows.column("doc_id").to_numpy()))
-    labels_, lists = rows.column("quality").to_pylist(), rows.column("found").combine_chunks()
-    edges, found = lists.offsets.to_numpy(), lists.values.to_numpy()
-    counts = rows.column("counts").combine_chunks().values.to_numpy()
-    learned = [(labels_[i], found[edges[i] : edges[i + 1]], counts[edges[i] : edges[i + 1]]) for i in order]
-    del rows
-    model = train(learned, buckets)
-    del learned, lists, found, counts
-    pa.default_memory_pool().release_unused()
-    return model
+    order = [F.xxhash64("doc_id"), "doc_id", "quality", "text"]
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    texts = texts.filter(size <= most_bytes).orderBy(*order).limit(most_rows)
+    # So few rows may meet in one task.
+    so_far = F.sum(size).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    sample = texts.withColumn("so_far", so_far).filter(F.col("so_far") <= most_bytes).select("doc_id", "quality", "text")
+    found = sample.mapInArrow(_fitted(buckets), "weights binary, bias double").first()
+    return Model(np.frombuffer(found["weights"], np.float32), found["bias"]) if found else train([], buckets)
 
 
 def _scores(model: Model):
