@@ -78,23 +78,28 @@ def test_longer_phrases(spark, rows):
 
 def test_trie_bursts_and_spills_whole_subtrees():
     draw = np.random.default_rng(0)
-    trie, want = c.HatTrie(3, 21, burst=8), Counter()
-    for _ in range(30):
-        some = [(int(a), int(b), int(d)) for a, b, d in draw.integers(0, 12, (200, 3)) + [1, 0, 0]]
-        some = [(a, b, d if b else 0) for a, b, d in some]
-        want.update(some)
-        keys = np.array([(a << 42) + (b << 21) + d for a, b, d in some], np.int64)
-        trie.add(*np.unique(keys, return_counts=True))
-    assert trie.size == len(want) == sum(trie.sizes.values())
-    assert any(isinstance(child, c._Node) for child in trie.root.values())
-    largest = max(trie.sizes.values())
-    some = list(trie.take(trie.size - 1))
-    assert len(some) == largest and len({e[0] for e in some}) == 1
-    rest = [*some, *trie.take(0)]
-    got = Counter()
-    for *path, count in rest:
-        got[tuple([*path, 0, 0][:3])] += count
-    assert got == want and trie.size == 0 and not trie.root
+    for bits in (21, 15):
+        depth = 63 // bits
+        trie, want = c.HatTrie(depth, bits, burst=8), Counter()
+        for _ in range(30):
+            some = np.sort(draw.integers(0, 9, (200, depth)) * (np.arange(depth) == 0) + draw.integers(0, 9, (200, depth)), axis=0) + [1] + np.zeros((200, depth), int)
+            packed = [sum(int(x) << (bits * (depth - 1 - i)) for i, x in enumerate(r)) for r in some]
+            want.update(packed)
+            trie.add(*np.unique(np.array(packed, np.int64), return_counts=True))
+        assert trie.size == len(want) == sum(trie.sizes.values())
+        assert any(isinstance(child, c._Node) for child in trie.root.values())
+        largest, before = max(trie.sizes.values()), trie.size
+        keys, counts = trie.take(before - 1)
+        assert len(keys) == largest and len(set((keys >> (bits * (depth - 1))).tolist())) == 1
+        rest, more = trie.take(0)
+        assert dict(zip([*keys.tolist(), *rest.tolist()], [*counts.tolist(), *more.tolist()])) == want
+        assert trie.size == 0 and not trie.root and len(keys) + len(rest) == len(want)
+
+
+@pytest.mark.parametrize("size", [6, 12, 26])
+def test_a_full_filter_loses_nothing(spark, rows, size):
+    frame = spark.createDataFrame([(1, t, lang, 1, 1, "x") for lang, t in rows], SHAPE)
+    assert found(frame, least=3, filter_bits=size) == brute(rows, 3)
 
 
 def test_products_past_64_bits(spark):

@@ -4,14 +4,20 @@ A text with A-Z lowered is split at `[.,;:!?\\x0A-\\x0D]` into pieces, and these
 `[^\\x20\\x09]+`. Every phrase of up to `longest` words inside a piece counts, overlaps
 included, per lang.
 
-Counting. A task numbers its words and keeps one trie: a shallow trie over word numbers whose
-leaves are hash containers (suffix -> count). A container of more than `BURST` entries bursts into
-a node with a container for each next word. Above `LIMIT` entries whole subtrees, the
-largest first, are spilled as sorted runs until half is left, so a task's memory is bounded
-whatever its input. A run has the phrases of one prefix partition in order, one row a partition;
-the prefix is the first word and one of `SPREAD` parts of the second, so the phrases of a very
-common first word are not one partition. Runs are shuffled once, by partition, and merged there
-by a sum that needs no further shuffle.
+Counting. A task numbers its words and keeps one trie a lang: a shallow trie over word numbers
+whose leaves are hash containers (suffix -> count). A container of more than `BURST` entries
+bursts into a node with a container for each next word. Above `LIMIT` entries whole subtrees,
+the largest first, are spilled as sorted runs until half is left, so a task's memory is bounded
+whatever its input. A run has the phrases of one prefix partition in the order of their numbers,
+one row a partition; the prefix is the first word and one of `SPREAD` parts of the second, so the
+phrases of a very common first word are not one partition. Runs are shuffled once, by partition,
+and merged there by a sum that needs no further shuffle.
+
+Words and pairs are counted first, then each longer length in a pass of its own: a phrase of n
+words that reaches `least` holds two of n - 1 words that do, so it is counted only where both are
+in a Bloom filter of those. The filter has `1 << FILTER` bits whatever the corpus; what it lets
+through wrongly is counted and dropped, and it never holds back what belongs in, so a filter that a
+large corpus fills costs time, not phrases.
 
 A candidate has 2 words or more and a count a of `least` or more. Cutting it behind its first k
 words gives l and r, the counts of both parts, and floor(1000000 * a * a / (l * r)); the
@@ -32,18 +38,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import stored
-from tidemark.llm.text import LOWER, blocks, marks, words
+from tidemark.llm.text import LOWER, blocks, marks, shingles, words
 
 LONGEST, LEAST, INSIDE, TOP = 3, 10, 50, 2000
 UNDEFINED = "und"
 #: Entries of a container before it bursts, of a task's tries before they spill, parts of a hot first word.
-BURST, LIMIT, SPREAD = 1 << 12, 1 << 19, 16
-#: Words worked on at once, and words that a task numbers before it starts anew.
-STRETCH, NUMBERS = 1 << 17, 1 << 19
+BURST, LIMIT, SPREAD = 1 << 12, 1 << 18, 16
+#: Words worked on at once, and words that a task numbers before it starts anew. Bits of a filter, as a power of two.
+STRETCH, NUMBERS, FILTER = 1 << 17, 1 << 19, 26
 _CUTS = marks((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
 _WORD = marks((0x09, 0x0D), (0x20, 0x20), *((ord(c), ord(c)) for c in ".,;:!?"))
 
@@ -57,7 +64,7 @@ class HatTrie:
 
     def __init__(self, depth: int, bits: int, burst: int = BURST) -> None:
         self.depth, self.bits, self.burst = depth, bits, burst
-        self.root: dict[int, object] = {}
+        self.root: dict[int, dict] = {}
         self.sizes: dict[int, int] = {}
         self.size = 0
 
@@ -65,68 +72,85 @@ class HatTrie:
         """Packed sequences in order, without repeats, and how often each was seen."""
         shift = self.bits * (self.depth - 1)
         first = keys >> shift
-        for low, high in _runs(first):
-            at = int(first[low])
-            before = self.sizes.get(at, 0)
-            self.root[at], more = self._put(self.root.get(at), keys[low:high] & ((1 << shift) - 1), counts[low:high], self.depth - 1)
-            self.sizes[at] = before + more
+        edges = [0, *(np.flatnonzero(first[1:] != first[:-1]) + 1).tolist(), len(first)] if len(first) else [0]
+        firsts, suffixes, seen = first[edges[:-1]].tolist(), (keys & ((1 << shift) - 1)).tolist(), counts.tolist()
+        for at, low, high in zip(firsts, edges, edges[1:]):
+            child = self.root.get(at)
+            if child is None:
+                child = self.root[at] = {}
+            more = self._put(child, suffixes[low:high], seen[low:high], self.depth - 1)
+            if len(child) > self.burst and self.depth > 2 and type(child) is dict:
+                self.root[at] = self._burst(child, self.depth - 1)
+            self.sizes[at] = self.sizes.get(at, 0) + more
             self.size += more
 
-    def _put(self, child, keys: np.ndarray, counts: np.ndarray, left: int) -> tuple[object, int]:
-        """The child with the suffixes of `left` numbers added, and by how many entries it grew."""
-        if isinstance(child, _Node):
-            shift = self.bits * (left - 1)
-            first, more = keys >> shift, 0
-            for low, high in _runs(first):
-                at = int(first[low])
-                child[at], grown = self._put(child.get(at), keys[low:high] & ((1 << shift) - 1), counts[low:high], left - 1)
-                more += grown
-            return child, more
-        child = {} if child is None else child
-        before, get = len(child), child.get
-        for key, count in zip(keys.tolist(), counts.tolist()):
-            child[key] = get(key, 0) + count
-        more = len(child) - before
-        if len(child) > self.burst and left > 1:
-            suffixes = np.array(sorted(child), np.int64)
-            node, _ = self._put(_Node(), suffixes, np.array([child[k] for k in suffixes.tolist()]), left)
-            return node, more
-        return child, more
-
-    def take(self, most: int) -> Iterator[tuple[int, ...]]:
-        """(numbers and 0 for none ..., count) of whole subtrees, the largest first, which are removed until `most` entries are left."""
+    def _put(self, child: dict, suffixes: list[int], counts: list[int], left: int) -> int:
+        """Add suffixes of `left` numbers; by how many entries the child grew."""
+        if type(child) is dict:
+            before, get = len(child), child.get
+            for key, count in zip(suffixes, counts):
+                child[key] = get(key, 0) + count
+            return len(child) - before
+        shift, more = self.bits * (left - 1), 0
+        mask = (1 << shift) - 1
+        for key, count in zip(suffixes, counts):
+            below = child.get(key >> shift)
+            if below is None:
+                below = child[key >> shift] = {}
+            more += self._put(below, [key & mask], [count], left - 1)
+            if len(below) > self.burst and left > 2 and type(below) is dict:
+                child[key >> shift] = self._burst(below, left - 1)
+        return more
+
+    def _burst(self, container: dict, left: int) -> _Node:
+        node = _Node()
+        self._put(node, list(container), list(container.values()), left)
+        return node
+
+    def take(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Packed sequences and counts of whole subtrees, the largest first, which are removed until `most` entries are left."""
+        keys: list[int] = []
+        counts: list[int] = []
+        shift = self.bits * (self.depth - 1)
         for at in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
             if self.size <= most:
-                return
+                break
             self.size -= self.sizes.pop(at)
-            yield from self._entries((at,), self.root.pop(at), self.depth - 1)
+            self._gather(self.root.pop(at), at << shift, self.depth - 1, keys, counts)
+        return np.array(keys, np.int64), np.array(counts, np.int64)
 
-    def _entries(self, path: tuple[int, ...], child, left: int) -> Iterator[tuple[int, ...]]:
-        if isinstance(child, _Node):
-            for at, below in child.items():
-                yield from self._entries((*path, at), below, left - 1)
+    def _gather(self, child: dict, prefix: int, left: int, keys: list[int], counts: list[int]) -> None:
+        if type(child) is dict:
+            keys.extend([prefix | k for k in child])
+            counts.extend(child.values())
         else:
-            shifts, mask = [self.bits * i for i in reversed(range(left))], (1 << self.bits) - 1
-            for key, count in child.items():
-                yield (*path, *[key >> s & mask for s in shifts], count)
+            for at, below in child.items():
+                self._gather(below, prefix | at << (self.bits * (left - 1)), left - 1, keys, counts)
 
 
 class _Node(dict):
     """Number -> child."""
 
 
-def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(begin, end) of each run of equal values."""
-    edges = np.flatnonzero(values[1:] != values[:-1]) + 1
-    yield from zip([0, *edges.tolist()], [*edges.tolist(), len(values)]) if len(values) else ()
+def _slots(prints: np.ndarray, size: int) -> np.ndarray:
+    """The places of each print in a Bloom filter of 2 ** size bits."""
+    mask = np.uint64((1 << size) - 1)
+    return np.stack((prints & mask, prints >> np.uint64(64 - size)), axis=-1)
+
+
+def _among(prints: np.ndarray, bloom: np.ndarray) -> np.ndarray:
+    size = len(bloom).bit_length() + 5
+    at = _slots(prints, size)
+    hit = bloom[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)
+    return (hit.all(axis=-1)) & (prints != 0)
 
 
 class _Counter:
-    """A task's tries, one a lang, with the numbers of its words."""
+    """A task's tries, one a lang, with the numbers of its words, for phrases of `low` to `high` words."""
 
-    def __init__(self, longest: int, parts: int, limit: int, numbers: int) -> None:
-        self.longest, self.parts, self.limit, self.numbers = longest, parts, limit, numbers
-        self.bits = 63 // longest
+    def __init__(self, low: int, high: int, parts: int, bloom: np.ndarray | None) -> None:
+        self.low, self.high, self.parts, self.bloom = low, high, parts, bloom
+        self.bits = 63 // high
         self.clear()
 
     def clear(self) -> None:
@@ -138,81 +162,93 @@ class _Counter:
     def size(self) -> int:
         return sum(t.size for t in self.tries.values())
 
-    def add(self, lang: str, found: list[bytes], piece: np.ndarray, new: int) -> None:
+    def add(self, lang: str, data: bytes, start: np.ndarray, end: np.ndarray, hashes: np.ndarray, piece: np.ndarray, new: int) -> None:
         """Phrases that begin among the first `new` words; the others are what these look on to."""
+        begins = []
+        for n in range(self.low, self.high + 1):
+            last = max(0, min(new, len(piece) - n + 1))
+            fits = piece[:last] == piece[n - 1 : last + n - 1]
+            if self.bloom is not None and last:
+                known = _among(shingles(hashes, piece, n - 1), self.bloom)
+                fits &= known[:last] & known[1 : last + 1]
+            begins.append(np.flatnonzero(fits))
+        needed = np.zeros(len(piece), bool)
+        for n, at in zip(range(self.low, self.high + 1), begins):
+            for j in range(n):
+                needed[at + j] = True
+        needed = np.flatnonzero(needed)
         ids = self.ids
-        number = np.array([ids.setdefault(w, len(ids) + 1) for w in found], np.int64)
+        number = np.zeros(len(piece), np.int64)
+        number[needed] = [ids.setdefault(data[a:b], len(ids) + 1) for a, b in zip(start[needed].tolist(), end[needed].tolist())]
         keys = []
-        for n in range(1, self.longest + 1):
-            last = min(new, len(number) - n + 1)
-            if last < 1:
-                break
-            key = np.zeros(last, np.int64)
+        for n, at in zip(range(self.low, self.high + 1), begins):
+            key = np.zeros(len(at), np.int64)
             for j in range(n):
-                key = (key << self.bits) + number[j : last + j]
-            whole = piece[:last] == piece[n - 1 : last + n - 1]
-            keys.append(key[whole] << (self.bits * (self.longest - n)))
-        trie = self.tries.setdefault(lang, HatTrie(self.longest, self.bits))
+                key = (key << self.bits) + number[at + j]
+            keys.append(key << (self.bits * (self.high - n)))
+        trie = self.tries.setdefault(lang, HatTrie(self.high, self.bits))
         trie.add(*np.unique(np.concatenate(keys), return_counts=True))
-        self.totals[lang] = self.totals.get(lang, 0) + new
+        if self.low == 1:
+            self.totals[lang] = self.totals.get(lang, 0) + new
 
     def spill(self, most: int) -> Iterator[pa.RecordBatch]:
         """Sorted runs of whole subtrees until `most` entries are left; with 0, everything, and the numbers start anew."""
-        names = [b"", *self.ids]
-        code = [zlib.crc32(w) for w in names]
+        code = np.array([0, *map(zlib.crc32, self.ids)], np.int64)
+        first = pa.array([b"", *self.ids], pa.binary())
+        further = pa.array([b"", *[b" " + w for w in self.ids]], pa.binary())
         for lang, trie in sorted(self.tries.items(), key=lambda t: -t[1].size):
             if most and self.size <= most:
                 break
-            runs: dict[int, list[tuple[bytes, int]]] = {}
-            for entry in trie.take(max(0, most - self.size + trie.size)):
-                path = [i for i in entry[:-1] if i]
-                part = (code[path[0]] + (31 * (code[path[1]] % SPREAD + 1) if len(path) > 1 else 0)) % self.parts
-                runs.setdefault(part, []).append((b" ".join([names[i] for i in path]), entry[-1]))
-            yield from self._rows(lang, runs)
+            keys, counts = trie.take(max(0, most - self.size + trie.size))
+            path = [keys >> (self.bits * i) & ((1 << self.bits) - 1) for i in reversed(range(self.high))]
+            part = code[path[0]]
+            if self.high > 1:
+                part = part + np.where(path[1] > 0, 31 * (code[path[1]] % SPREAD + 1), 0)
+            part %= self.parts
+            order = np.lexsort((keys, part))
+            words_ = [(further if i else first).take(pa.array(p[order])) for i, p in enumerate(path)]
+            yield from self._rows(lang, part[order], pc.binary_join_element_wise(*words_, b"") if len(words_) > 1 else words_[0], counts[order])
         if not most:
             for lang, total in self.totals.items():
-                yield from self._rows(lang, {zlib.crc32(lang.encode()) % self.parts: [(b"", total)]})
+                yield from self._rows(lang, np.array([zlib.crc32(lang.encode()) % self.parts]), pa.array([b""], pa.binary()), np.array([total]))
             self.clear()
 
-    def _rows(self, lang: str, runs: dict[int, list[tuple[bytes, int]]]) -> Iterator[pa.RecordBatch]:
-        parts = sorted(runs)
-        for i in range(0, len(parts), 256):
-            some = [sorted(runs[p]) for p in parts[i : i + 256]]
-            edges = np.append(0, np.cumsum([len(r) for r in some])).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.array(parts[i : i + 256], np.int32)),
-                    pa.array([lang] * len(some)),
-                    pa.array([b"\n".join([p for p, _ in r]).decode() for r in some]),
-                    pa.ListArray.from_arrays(pa.array(edges), pa.array([c for r in some for _, c in r], pa.int64())),
-                ],
-                names=["part", "lang", "phrases", "counts"],
-            )
-
-
-def _counted(longest: int, parts: int, limit: int, numbers: int, stretch: int):
+    def _rows(self, lang: str, part: np.ndarray, phrases: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else [], len(part)).astype(np.int32)
+        runs = pa.ListArray.from_arrays(pa.array(edges), phrases.cast(pa.string()))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(part[edges[:-1]].astype(np.int32)),
+                pa.array([lang] * (len(edges) - 1), pa.string()),
+                pc.binary_join(runs, "\n"),
+                pa.ListArray.from_arrays(pa.array(edges), pa.array(counts, pa.int64())),
+            ],
+            names=["part", "lang", "phrases", "counts"],
+        )
+
+
+def _counted(low: int, high: int, parts: int, bloom: np.ndarray | None, limit: int, numbers: int, stretch: int):
     """For mapInArrow over (lang, text): sorted runs (part, lang, phrases one a line, counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(longest, parts, limit, numbers)
+        counter = _Counter(low, high, parts, bloom)
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            for low, high, raw, offsets in blocks(batch):
+            for first, last, raw, offsets in blocks(batch):
                 data = raw.translate(LOWER)
-                start, end, _, row = words(data, offsets, _WORD)
+                start, end, hashes, row = words(data, offsets, _WORD)
                 # A piece ends at a cut and at a row's end.
                 piece = np.cumsum(~_CUTS[np.frombuffer(data, np.uint8)])[start] + (row << 40)
                 of: dict[str, list[int]] = {}
-                for i in range(low, high):
-                    of.setdefault(langs[i], []).append(i - low)
+                for i in range(first, last):
+                    of.setdefault(langs[i], []).append(i - first)
                 for lang, rows in of.items():
                     mine = np.flatnonzero(np.isin(row, rows)) if len(of) > 1 else np.arange(len(row))
                     for at in range(0, len(mine), stretch):
-                        some = mine[at : at + stretch + longest - 1]
-                        found = [data[a:b] for a, b in zip(start[some].tolist(), end[some].tolist())]
-                        if len(counter.ids) + len(found) > numbers:
+                        some = mine[at : at + stretch + high - 1]
+                        if len(counter.ids) + len(some) > numbers:
                             yield from counter.spill(0)
-                        counter.add(lang, found, piece[some], min(stretch, len(mine) - at))
+                        counter.add(lang, data, start[some], end[some], hashes[some], piece[some], min(stretch, len(mine) - at))
                         if counter.size > limit:
                             yield from counter.spill(limit // 2)
         yield from counter.spill(0)
@@ -220,21 +256,53 @@ def _counted(longest: int, parts: int, limit: int, numbers: int, stretch: int):
     return run
 
 
-def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEAST, parts: int | None = None, limit: int = LIMIT, numbers: int = NUMBERS, stretch: int = STRETCH) -> DataFrame:
+def _bloom_bits(size: int):
+    """For mapInArrow over (phrase): (slot, bits) of the phrases' places in the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in blocks(batch, "phrase"):
+                _, _, hashes, row = words(data, offsets, _WORD)
+                n = np.bincount(row, minlength=len(offsets) - 1)
+                # All phrases have as many words.
+                prints = shingles(hashes, row, int(n.max(initial=0)))
+                at = np.unique(_slots(prints[prints != 0], size).reshape(-1))
+                slot, first = np.unique(at >> np.uint64(6), return_index=True)
+                bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first) if len(at) else at
+                yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(bits.view(np.int64))], names=["slot", "bits"])
+
+    return run
+
+
+def _bloom(phrases: DataFrame, size: int) -> np.ndarray:
+    """The filter of all phrases, of 2 ** size bits."""
+    found = phrases.select("phrase").mapInArrow(_bloom_bits(size), "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (size - 6), np.uint64)
+    out[found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEAST, parts: int | None = None, limit: int = LIMIT, numbers: int = NUMBERS, stretch: int = STRETCH, filter_bits: int = FILTER) -> DataFrame:
     """(lang, phrase, f) of each phrase of up to `longest` words that is found `least` times or more; the phrase "" has the number of all words.
 
     `parts` is the number of prefix partitions, by default four for each shuffle partition of the session.
     """
-    if not 1 <= longest or max(numbers, stretch + longest) >= 1 << 63 // longest:
+    if not 1 <= longest or max(numbers, stretch + longest) >= 1 << 63 // longest or filter_bits < 6:
         raise ValueError("the numbers of a phrase's words do not fit in 63 bits: choose smaller `numbers` and `stretch`, or `longest`")
     spark = documents.sparkSession
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNDEFINED)).alias("lang"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    runs = texts.mapInArrow(_counted(longest, parts, limit, numbers, stretch), "part int, lang string, phrases string, counts array<long>")
-    each = runs.repartition("part").select("part", "lang", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), "counts")).alias("phrase", "n"))
-    # Dealt out by partition already, so the sum needs no shuffle of its own.
-    merged = each.groupBy("part", "lang", "phrase").agg(F.sum("n").alias("f"))
-    return stored(merged.filter((F.col("f") >= least) | (F.col("phrase") == "")).select("lang", "phrase", "f"), "phrases")
+    out, bloom, low = None, None, 1
+    for high in range(min(2, longest), longest + 1):
+        runs = texts.mapInArrow(_counted(low, high, parts, bloom, limit, numbers, stretch), "part int, lang string, phrases string, counts array<long>")
+        each = runs.repartition("part").select("part", "lang", F.inline(F.arrays_zip(F.split("phrases", "\n").alias("phrase"), "counts")).alias("phrase", "n"))
+        # Dealt out by partition already, so the sum needs no shuffle of its own.
+        merged = each.groupBy("part", "lang", "phrase").agg(F.sum("n").alias("f"))
+        found = stored(merged.filter((F.col("f") >= least) | (F.col("phrase") == "")).select("lang", "phrase", "f"), "phrases")
+        out, low = found if out is None else out.unionAll(found), high + 1
+        if high < longest:
+            bloom = _bloom(found.filter((F.size(F.split("phrase", " ")) == high) & (F.col("phrase") != "")), filter_bits)
+    return out
 
 
 def _cut(n: Column, k: Column) -> tuple[Column, Column]:
