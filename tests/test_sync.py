@@ -4,11 +4,11 @@ import importlib
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 import tidemark.plans.store as store_module
 from tidemark import Process, TargetStore, sync
-from tidemark.plans.store import overlapping
+from tidemark.plans.ledger import COMMITTED, FAILED
+from tidemark.session import shared_dir
 
 sync_module = importlib.import_module("tidemark.plans.sync")
 
@@ -33,7 +33,7 @@ class Fixture:
         return sync(self.spark, process, df, self.root, run_ts=run_ts, **options)
 
     def files(self):
-        return set(self.store.files(self.store.manifest(self.store.state().manifest)))
+        return {r.slice for r in self.store.slices(self.store.state().version).collect()}
 
 
 @pytest.fixture(params=[64 << 20, -1], ids=["broadcast", "shuffle"])
@@ -110,13 +110,13 @@ def test_repeated_keys_in_a_first_load(fx):
 
 def test_only_files_with_a_match_are_replaced(fx):
     source = [(i, i, "a") for i in range(100)]
-    old = fx.spark.createDataFrame(source, COLUMNS).repartitionByRange(5, "k")
+    old = fx.spark.createDataFrame(source, COLUMNS)
     audited = old.selectExpr("*", "timestamp_ntz'2024-01-01' AS loaded_at", "'OLD' AS source_system")
-    fx.store.adopt(audited)
+    fx.store.adopt(audited, "k", 2240)
     before = fx.files()
     assert len(before) == 5
     fx.run([(3, 200, "z"), (4, 201, "z"), (500, 202, "new")])
-    assert len(before - fx.files()) == 1, "one of five files held keys 3 and 4"
+    assert len(before - fx.files()) == 1, "one of five slices held keys 3 and 4"
     before = fx.files()
     fx.run([(501, 300, "new")])
     assert before <= fx.files(), "an insert replaces nothing"
@@ -125,39 +125,59 @@ def test_only_files_with_a_match_are_replaced(fx):
     assert rows(fx.store.read()) == sorted(expected, key=repr)
 
 
-def near(fx, key, dtype, lo, hi):
-    manifest = fx.store.manifest(fx.store.state().manifest)
-    return len(fx.store.files(overlapping(manifest, key, dtype, lo, hi)))
+def near(fx, key, *keys):
+    stage = fx.spark.createDataFrame([(k,) for k in keys], f"{key} int")
+    return fx.store.near(fx.store.state(), stage, [key]).count()
 
 
 def ranged_target(fx, key):
-    """Five files of twenty keys each, and one whose keys are all NULL."""
+    """Five slices of twenty keys each, and one whose keys are all NULL."""
     keyed = fx.spark.range(100).selectExpr("CAST(id AS int) AS k", "CAST(id AS int) AS t", "'a' AS v")
     none = keyed.limit(3).selectExpr("CAST(NULL AS int) AS k", "t", "v").coalesce(1)
-    rows = keyed.repartitionByRange(5, "k").union(none)
-    fx.store.adopt(rows.selectExpr("*", "timestamp_ntz'2024-01-01' AS loaded_at", "'O' AS source_system"), key)
+    rows = keyed.union(none)
+    fx.store.adopt(rows.selectExpr("*", "timestamp_ntz'2024-01-01' AS loaded_at", "'O' AS source_system"), key, 2308)
 
 
-def test_files_apart_from_the_stage_are_not_opened(fx, monkeypatch):
+def test_slices_apart_from_the_stage_are_not_opened(fx, monkeypatch):
     ranged_target(fx, "k")
     assert len(fx.files()) == 6
-    assert near(fx, "k", IntegerType(), 3, 4) == 1
-    assert near(fx, "k", IntegerType(), 0, 99) == 5, "the keyless file can hold no match"
-    assert near(fx, "k", IntegerType(), 1000, 2000) == near(fx, "k", IntegerType(), None, None) == 0
-    assert near(fx, "t", IntegerType(), 3, 4) == 6, "nothing is known about another key"
-    opened, read_files = [], fx.store.read_files.__func__
-
-    def counting(self, schema, files):
-        opened.append(len(files))
-        return read_files(self, schema, files)
-
-    monkeypatch.setattr(TargetStore, "read_files", counting)
-    out = fx.run([(3, 200, "z"), (100, 201, "new")])
-    assert opened[:2] == [5, 1], "searched by key, then read whole"
+    assert near(fx, "k", 3, 4) == 1
+    assert near(fx, "k", *range(0, 100, 5)) == 5, "the keyless slice can hold no match"
+    assert near(fx, "k", 1000, 2000, -7) == near(fx, "k", None) == 0
+    assert near(fx, "t", 3, 4) == 5, "nothing is known about another key"
+    opened, read_slices = [], TargetStore.read_slices
+
+    def counting(self, schema, slices, named=False):
+        opened.append(slices.count())
+        return read_slices(self, schema, slices, named)
+
+    monkeypatch.setattr(TargetStore, "read_slices", counting)
+    before = fx.files()
+    out = fx.run([(3, 200, "z"), (45, 202, "z"), (100, 201, "new")])
+    assert opened[:2] == [2, 2], "searched by key, then read whole"
     monkeypatch.undo()
-    assert (out.rows_updated, out.rows_inserted) == (1, 1)
+    assert (out.rows_updated, out.rows_inserted, len(before - fx.files())) == (2, 1, 2)
     last = fx.store.state().last
-    assert (last["target_files"], last["target_rows"]) == (len(fx.files()), out.target.count()) == (len(fx.files()), 104)
+    assert (last["target_slices"], last["target_rows"]) == (len(fx.files()), out.target.count()) == (len(fx.files()), 104)
+
+
+def test_other_partitions_are_pruned_by_spark(fx):
+    ranged_target(fx, "k")
+    state = fx.store.state()
+    some = fx.store.read_slices(state.schema, fx.store.slices(state.version).filter("part = 2"))
+    assert some.count() == 20
+    assert "dynamicpruning" in some._jdf.queryExecution().toString()
+
+
+def test_negative_and_far_keys_have_parts_of_their_own(fx):
+    parts = store_module.KeyParts("k", "range", 10)
+    keys = [-21, -20, -11, -1, 0, 9, 10, None]
+    frame = fx.spark.createDataFrame([(k,) for k in keys], "k int")
+    assert [r[0] for r in frame.select(parts.of(frame.schema["k"].dataType)).collect()] == [k // 10 if k is not None else None for k in keys]
+    far = fx.spark.createDataFrame([(-(1 << 63),), ((1 << 63) - 1,)], "k long")
+    assert [r[0] for r in far.select(parts.of(far.schema["k"].dataType)).collect()] == [-(1 << 63) // 10, ((1 << 63) - 1) // 10]
+    floats = fx.spark.createDataFrame([(0.0,), (-0.0,)], "k double")
+    assert floats.select(store_module.KeyParts("k", "hash", 97).of(floats.schema["k"].dataType)).distinct().count() == 1
 
 
 def test_not_null_comes_from_the_source_not_from_an_adopted_plan(fx):
@@ -170,9 +190,9 @@ def test_not_null_comes_from_the_source_not_from_an_adopted_plan(fx):
         fx.run([(None, 2, "n")], declared)
 
 
-def test_files_of_unknown_range_are_always_searched(fx):
+def test_slices_of_unknown_range_are_always_searched(fx):
     ranged_target(fx, None)
-    assert near(fx, "k", IntegerType(), 3, 4) == 6
+    assert near(fx, "k", 3, 4) == 1
     assert fx.run([(3, 200, "z")]).rows_updated == 1
 
 
@@ -269,7 +289,7 @@ def test_update_that_lowers_nothing_keeps_the_mark_exact(fx):
     assert fx.store.read().agg(F.max("t")).first()[0] == 12
 
 
-@pytest.mark.parametrize("point", ["write_manifest", "commit"])
+@pytest.mark.parametrize("point", ["list_slices", "commit"])
 def test_a_crash_before_the_commit_leaves_the_old_state(fx, monkeypatch, point):
     fx.run([(1, 1, "a"), (2, 1, "b"), (None, 1, "n")])
     before, files = rows(fx.store.read()), fx.files()
@@ -354,11 +374,17 @@ def test_many_random_batches_equal_one_dictionary(fx):
 def test_incremental_stage_is_gathered_into_few_files(fx, monkeypatch):
     """Each of many scan tasks leaves a few rows past the mark."""
     fx.run([(0, 0, "a")])
-    paths, stage_table = [], sync_module.stage_table
-    monkeypatch.setattr(sync_module, "stage_table", lambda df, path: paths.append(path) or stage_table(df, path))
+    written, stage_table = [], sync_module.stage_table
+
+    def counting(df, path):
+        out = stage_table(df, path)
+        written.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(sync_module, "stage_table", counting)
     wide = fx.spark.range(1, 4000, 1, 200).selectExpr("CAST(id AS int) AS k", "CAST(id % 50 AS int) AS t", "'v' AS v")
     fx.run(wide)
-    assert len(fx.spark.read.parquet(paths[0]).inputFiles()) <= 8
+    assert written[0] <= 8
 
 
 def test_hot_key_and_keyless_third_of_a_delta(fx):
@@ -375,15 +401,14 @@ def test_hot_key_and_keyless_third_of_a_delta(fx):
     assert out.count() == 3000 + 1 + 3000
 
 
-def test_a_spread_update_leaves_files_in_key_order(fx):
-    """A third of the rows share key 0; they do not make one large file either."""
+def test_a_spread_update_leaves_slices_by_key(fx):
+    """A third of the rows share key 0."""
     key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("int").alias("k")
     held = fx.spark.range(6000).select(key, F.lit(1).alias("t"), F.col("id").cast("string").alias("v"))
-    fx.store.adopt(held.repartition(8), "k")
+    fx.store.adopt(held.repartition(8), "k", 40_000)
     fx.run([(k, 2, "s") for k in range(1, 6000, 100) if k % 3], file_bytes=40_000)
     files = fx.files()
     assert len(files) >= 8
-    assert fx.store.manifest(fx.store.state().manifest).agg(F.max("rows")).first()[0] <= 1500
     fx.run([(k, 3, "n") for k in range(3001, 3101) if k % 3], file_bytes=40_000)
     assert 1 <= len(files - fx.files()) <= 3
     assert fx.store.read().count() == 6000
@@ -403,3 +428,91 @@ def test_a_run_can_go_back(fx):
 def test_repeated_keys_leave_nothing_in_the_target(fx):
     fx.run([(1, 1, "a"), (1, 2, "b"), (2, 1, "c")], duplicates="latest")
     assert rows(fx.spark.read.parquet(f"{fx.store.path}/data/*")) == [(1, 2, "b"), (2, 1, "c")]
+
+
+def ledger_rows(fx):
+    return [(r.run_id, r.status) for r in fx.store.ledger().orderBy("started_at").collect()]
+
+
+def test_a_failure_leaves_a_ledger_row_but_no_version(fx):
+    fx.run([(1, 1, "a")])
+    with pytest.raises(ValueError, match="more than once"):
+        fx.run([(2, 2, "b"), (2, 3, "c")])
+    assert ledger_rows(fx) == [(1, COMMITTED), (2, FAILED)]
+    failed = fx.store.ledger().filter(F.col("status") == FAILED).first()
+    assert "more than once" in failed.error and failed.version is None and failed.finished_at is not None
+    assert fx.store.state().run_id == 1 and fx.run([(2, 2, "b")]).run_id == 2
+    assert rows(fx.store.read()) == [(1, 1, "a"), (2, 2, "b")]
+
+
+def test_the_ledger_holds_quality_and_drift(fx):
+    fx.run([(1, 1, "a"), (None, 1, "n")])
+    out = fx.run([("2", 2, "b", 1.5), ("2", 3, "c", 2.5), (None, 2, "n", 0.0)], columns="k string, t int, v string, extra double", duplicates="latest")
+    assert (out.null_keys, out.repeated_keys) == (1, 1)
+    last = fx.store.ledger().orderBy(F.desc("run_id")).first()
+    assert (last.null_keys, last.repeated_keys, last.rows_read) == (1, 1, 3)
+    assert sorted(tuple(d) for d in last.drift) == [("EXTRA", "new", "double", None), ("K", "type_mismatch", "string", "int")]
+
+
+def instants(fx, *texts):
+    quoted = ", ".join(f"({i}, timestamp'{t} UTC')" for i, t in enumerate(texts))
+    return fx.spark.sql(f"SELECT CAST(k AS int) AS k, t FROM VALUES {quoted} AS s(k, t)")
+
+
+def test_a_zoned_mark_is_an_instant_across_a_clock_change(fx):
+    """05:50 and 06:20 UTC are 01:50 and 01:20 in New York on 3 November 2024."""
+    append = Process("P", "src", "tgt", "SRC", incremental_column="t")
+    source = instants(fx, "2024-11-03 05:50:00", "2024-11-03 06:20:00.000001")
+    first = fx.run(source, append, zone="America/New_York")
+    assert (first.rows_read, first.mark) == (2, "2024-11-03 06:20:00.000001+00:00")
+    assert fx.run(source, append, zone="America/New_York").rows_read == 0
+    later = instants(fx, "2024-11-03 05:50:00", "2024-11-03 06:20:00.000001", "2024-11-03 06:20:00.000002")
+    assert fx.run(later, append, zone="America/New_York").rows_read == 1
+    at = sorted(r.t for r in fx.store.read().collect())
+    assert at == [dt.datetime(2024, 11, 3, 1, 20, 0, 1), dt.datetime(2024, 11, 3, 1, 20, 0, 2), dt.datetime(2024, 11, 3, 1, 50)]
+    assert fx.store.state("P", "src").own_mark["enddate"] == dt.datetime(2024, 11, 3, 1, 20, 0, 2)
+    back = fx.run(instants(fx, "2024-11-03 05:50:00"), append, zone="America/New_York", from_mark="2024-11-03 00:00:00")
+    assert (back.rows_read, back.mark) == (1, "2024-11-03 06:20:00.000002+00:00")
+
+
+def test_the_latest_of_a_repeated_hour_is_the_later_instant(fx):
+    process = Process("P", "src", "tgt", "SRC", incremental_column="t", keys=("k",))
+    source = fx.spark.sql("SELECT 1 AS k, t, v FROM VALUES (timestamp'2024-11-03 05:50:00 UTC', 'early'), (timestamp'2024-11-03 06:20:00 UTC', 'late') AS s(t, v)")
+    assert [r.v for r in fx.run(source, process, zone="America/New_York", duplicates="latest").target.collect()] == ["late"]
+
+
+def test_unchanged_rows_are_skipped_and_their_slices_not_written(fx):
+    ranged_target(fx, "k")
+    before = fx.files()
+    source = [(3, 200, "a"), (4, 200, "a")]
+    changing = Process("P", "src", "tgt", "SRC", incremental_column="x", keys=("k",))
+    wide = [(k, k, "a" if k != 45 else "b", 9) for k in range(100)]
+    fx.run(fx.spark.createDataFrame(wide, "k int, t int, v string, x int").drop("x"), dataclasses.replace(changing, incremental_column=None), skip_unchanged=True, run_ts=LATER)
+    assert len(before - fx.files()) == 1
+    got = {r.k: (r.v, r.loaded_at) for r in fx.store.read().filter("k is not null").collect()}
+    assert got[45] == ("b", LATER) and got[44][1] == dt.datetime(2024, 1, 1) and len(got) == 100
+    again = fx.run(source, skip_unchanged=True, run_ts=LATER)
+    assert (again.rows_read, again.rows_updated) == (2, 2), "t differs"
+
+
+def test_a_repeated_target_key_is_unchanged_only_if_all_copies_are(fx):
+    fx.store.adopt(fx.spark.sql("SELECT k, 1 AS t, v, timestamp_ntz'2024-01-01' AS loaded_at, 'O' AS source_system FROM VALUES (1, 'a'), (1, 'b'), (2, 'c'), (2, 'c') AS s(k, v)"))
+    out = fx.run([(1, 1, "a"), (2, 1, "c")], dataclasses.replace(P, incremental_column=None), skip_unchanged=True)
+    assert out.rows_updated == 2 and rows(out.target) == [(1, 1, "a"), (1, 1, "a"), (2, 1, "c"), (2, 1, "c")]
+
+
+def test_runs_leave_no_scratch_tables_and_vacuum_no_old_slices(fx):
+    import os
+
+    scratch = f"{shared_dir(fx.spark)}/tidemark"
+    before = set(os.listdir(scratch)) if os.path.exists(scratch) else set()
+    for i in range(1, 5):
+        fx.run([(1, i, str(i)), (i, i, str(i))] if i > 1 else [(1, 1, "1")])
+    with pytest.raises(ValueError):
+        fx.run([(8, 9, "x"), (8, 9, "y")])
+    assert set(os.listdir(scratch)) == before
+    older = fx.store.slices(next(r.version for r in fx.store.ledger().filter("run_id = 3").collect()))
+    held = rows(fx.store.read())
+    assert fx.store.vacuum(keep_runs=2) >= 1
+    assert rows(fx.store.read()) == held and fx.store.read_slices(fx.store.state().schema, older).count() == 3
+    assert fx.store.vacuum(keep_runs=2) == 0

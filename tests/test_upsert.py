@@ -88,7 +88,7 @@ def test_legs_add_up_to_the_whole(spark):
 
 
 def test_audit_prefix_columns_are_inserted_but_not_updated(spark, variant):
-    audit = AuditColumns(loaded_at="loaded_at", source_system="source_system")
+    audit = AuditColumns(loaded_at="loaded_at", source_system="source_system", by_prefix=True)
     columns = "k int, source_system_id int, loaded_at string"
     target = spark.createDataFrame([(1, 10, "old")], columns)
     stage = spark.createDataFrame([(1, 11, "new"), (2, 12, "new")], columns)

@@ -11,15 +11,16 @@ from tidemark.functions.names import by_upper_name
 
 @dataclass(frozen=True)
 class AuditColumns:
-    """Names of the audit columns; `loaded_prefix` marks load-time columns of other runs."""
+    """Names of the audit columns. `by_prefix` takes every column whose name begins like one for an audit column."""
 
     loaded_at: str = "loaded_at"
     source_system: str = "source_system"
-    loaded_prefix: str = "loaded_at"
+    by_prefix: bool = False
 
     def is_insert_only(self, column: str) -> bool:
-        """Columns with an audit prefix are written on insert and kept on update."""
-        return column.startswith((self.loaded_prefix, self.source_system))
+        """Audit columns are written on insert and kept on update."""
+        names = (self.loaded_at, self.source_system)
+        return column.startswith(names) if self.by_prefix else column in names
 
 
 AUDIT = AuditColumns()
@@ -41,4 +42,6 @@ def with_audit(df: DataFrame, run_ts: Column, source_system: str, audit: AuditCo
 def row_fingerprint(*columns: str) -> Column:
     """md5 over the columns as text, each behind its length; NULL is `-`. No value can pose as another split."""
     texts = [F.col(c).cast("string") for c in columns]
+    if not texts:
+        return F.md5(F.lit(""))
     return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))

@@ -1,5 +1,6 @@
 """DataFrame-to-DataFrame operators of a sync: compare, align, check, deduplicate, upsert."""
 
+from tidemark.operators.changes import change_feed, deleted_keys, soft_delete
 from tidemark.operators.quality import dq_profile, high_water_mark, repeated_keys, require_unique_keys
 from tidemark.operators.schema import (
     add_columns,
@@ -9,12 +10,15 @@ from tidemark.operators.schema import (
     schema_drift,
     type_drift_profile,
 )
-from tidemark.operators.upsert import dedupe_latest, inserted_rows, matched_keys, matched_rows, upsert
+from tidemark.operators.upsert import changed_rows, dedupe_latest, inserted_rows, matched_keys, matched_rows, upsert
 
 __all__ = [
     "add_columns",
+    "change_feed",
+    "changed_rows",
     "conform",
     "dedupe_latest",
+    "deleted_keys",
     "diff_schemas",
     "dq_profile",
     "evolve_schema",
@@ -25,6 +29,7 @@ __all__ = [
     "repeated_keys",
     "require_unique_keys",
     "schema_drift",
+    "soft_delete",
     "type_drift_profile",
     "upsert",
 ]

@@ -19,7 +19,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import AtomicType
 
-from tidemark.functions.audit import AUDIT, AuditColumns
+from tidemark.functions.audit import AUDIT, AuditColumns, row_fingerprint
 from tidemark.functions.names import as_key_list, by_upper_name
 from tidemark.functions.size import BROADCAST_BYTES, row_bytes
 from tidemark.operators.quality import all_present, any_null
@@ -85,6 +85,33 @@ def matched_keys(target: DataFrame, stage: DataFrame, keys: str | Sequence[str],
     return held.distinct().join(wanted, keys, "left_semi")
 
 
+def update_columns(stage: DataFrame, keys: Sequence[str], audit: AuditColumns = AUDIT) -> list[str]:
+    """The stage's columns that an update writes, but for the load time."""
+    known = {k.upper() for k in keys}
+    return [c for c in stage.columns if c.upper() not in known and not audit.is_insert_only(c)]
+
+
+def unchanged_keys(hits: DataFrame, keys: Sequence[str], same: str) -> DataFrame:
+    """Keys of `hits` of which every copy in the target equals the stage's row."""
+    return hits.groupBy(*keys).agg(F.bool_and(same).alias(same)).filter(same).select(*keys)
+
+
+def changed_rows(target: DataFrame, stage: DataFrame, keys: str | Sequence[str], audit: AuditColumns = AUDIT) -> DataFrame:
+    """The stage without the rows that would update nothing but the load time.
+
+    Rows are compared by fingerprint, taken over the columns an update writes, in the
+    target's types. A key that the target repeats is unchanged only if all copies are.
+    """
+    keys = _target_keys(target, keys)
+    stage = _conformed(stage, target)
+    print_of = row_fingerprint(*update_columns(stage, keys, audit))
+    # Distinct before the join: copies of a hot key combine in the map tasks.
+    held = target.filter(all_present(keys)).select(*keys, print_of.alias("__held")).distinct()
+    new = stage.filter(all_present(keys)).select(*keys, print_of.alias("__new"))
+    hits = held.join(new, keys).select(*keys, (F.col("__held") == F.col("__new")).alias("__same"))
+    return stage.join(unchanged_keys(hits, keys, "__same"), keys, "left_anti").select(*stage.columns)
+
+
 def _joined(target: DataFrame, stage: DataFrame, keys: Sequence[str], how: str, broadcast: bool) -> DataFrame:
     staged = stage.filter(all_present(keys))
     staged = staged.select(*[F.col(f"`{c}`").alias(_STAGE + c) for c in staged.columns])

@@ -2,39 +2,45 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from tidemark.functions.marks import mark_text
+from tidemark.session import path_exists
 
 LEDGER_SCHEMA = """
     process_name string, source_table string, target_table string, run_id bigint, batch_id string,
     mode string, incremental_column string, mark string, mark_type string, enddate timestamp_ntz,
-    rows_read bigint, rows_updated bigint, rows_inserted bigint, target_files bigint, target_rows bigint,
-    manifest string, table_schema string, started_at timestamp_ntz, finished_at timestamp_ntz,
-    control_enddate string
+    rows_read bigint, rows_updated bigint, rows_inserted bigint, target_slices bigint, target_rows bigint,
+    version string, table_schema string, started_at timestamp_ntz, finished_at timestamp_ntz,
+    control_enddate string, status string, error string, null_keys bigint, repeated_keys bigint,
+    drift array<struct<column: string, status: string, source_type: string, target_type: string>>,
+    part_key string, part_kind string, part_size bigint
 """
+#: What became of a run (fixed values).
+COMMITTED, FAILED = "committed", "failed"
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame | None:
     """Ledger rows below `path` (globs allowed), or None if no run was ever recorded."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path) if path_exists(spark, path) else None
 
 
 def append_ledger(spark: SparkSession, path: str, row: dict) -> None:
     """Record a run. This one-file append is the commit of everything the run wrote."""
-    values = [
-        F.lit(mark_text(row[f.name]) if row.get(f.name) is not None else None).cast(f.dataType).alias(f.name)
-        for f in StructType.fromDDL(LEDGER_SCHEMA).fields
-    ]
+
+    def value(field: StructField) -> Column:
+        given = row.get(field.name)
+        if given is None:
+            return F.lit(None).cast(field.dataType)
+        if isinstance(field.dataType, ArrayType):
+            return F.from_json(F.lit(json.dumps(given)), field.dataType)
+        return F.lit(mark_text(given)).cast(field.dataType)
+
+    values = [value(f).alias(f.name) for f in StructType.fromDDL(LEDGER_SCHEMA).fields]
     spark.range(0, 1, 1, 1).select(*values).write.mode("append").parquet(path)
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import contextlib
 import functools
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,41 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, or one that matches the glob, is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def remove_dirs(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Remove folders through the file system they lie in; a folder that is not there is none to remove."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
+class Scratch:
+    """The scratch tables of one run below the shared folder. The run that made them removes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def path(self, label: str) -> str:
+        self.paths.append(fresh_dir(self.spark, label))
+        return self.paths[-1]
+
+    def remove(self) -> None:
+        remove_dirs(self.spark, self.paths)
+        self.paths.clear()
+
+
+#: Held while a run has changed the session's settings: threads share them.
+SETTINGS = threading.RLock()
+
+
 def _shuffle_settings(spark: SparkSession, data_bytes: int, partition_bytes: int) -> dict[str, str]:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-data_bytes // partition_bytes))
     return {
@@ -74,13 +110,14 @@ def sized_shuffles(spark: SparkSession, data_bytes: int, partition_bytes: int =
     if data_bytes <= int(spark.conf.get("spark.sql.shuffle.partitions")) * partition_bytes:
         yield
         return
-    before = {name: spark.conf.get(name, None) for name in _shuffle_settings(spark, data_bytes, partition_bytes)}
-    size_shuffles(spark, data_bytes, partition_bytes)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+    with SETTINGS:
+        before = {name: spark.conf.get(name, None) for name in _shuffle_settings(spark, data_bytes, partition_bytes)}
+        size_shuffles(spark, data_bytes, partition_bytes)
+        try:
+            yield
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)

@@ -77,6 +77,11 @@ def _lost(table: str, column: str, value: str) -> str:
 count(*) FILTER ({value} IS NOT NULL AND try_cast({value} AS INTEGER) IS NULL) AS lost FROM {table}"""
 
 
+def _cut(column: str, source: str, target: str, value: str, lost: str) -> str:
+    return f"""SELECT 'lineitem' AS table_name, '{column.upper()}' AS "column", '{source}' AS source_type,
+'{target}' AS target_type, count({value}) AS non_null, count(*) FILTER ({lost}) AS lost FROM lineitem"""
+
+
 def _drift(column: str, status: str, source: str | None, target: str | None, value: str, rows: str) -> str:
     def text(t):
         return f"'{t}'" if t else "CAST(NULL AS VARCHAR)"
@@ -93,7 +98,7 @@ ORACLE: dict[str, str] = {
     "incremental_ts": _S,
     "incremental_inclusive": "SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-06-01 00:00:00'",
     "incremental_events": "SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'",
-    "incremental_id": "SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id > 100",
+    "incremental_id": "SELECT * FROM documents WHERE doc_id > 100",
     "control_select": """
 SELECT c_name AS "PROCESS_NAME", 'Y' AS "ACTIVE_FLAG", c_mktsegment AS "SOURCE_SYSTEM",
        'DWH' AS "TARGET_SYSTEM", 'INCREMENTAL' AS "LOAD_TYPE"
@@ -130,9 +135,16 @@ SELECT l_orderkey, l_shipdate,
        '[' || l_partkey || ',' || l_suppkey || ',' || l_linenumber || ']' AS ids,
        '{"' || l_returnflag || '":' || l_linenumber || '}' AS flag_line,
        '{"status":"' || l_linestatus || '","part":' || l_partkey || '}' AS state,
+       '["' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.000') || '",null]' AS times,
+       '{"' || l_returnflag || '":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.000') || '"}' AS flag_time,
+       '{"at":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.000') || '","all":["' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.000') || '"]}' AS sent,
        l_shipdate AS shipped_at
 FROM lineitem""",
-    "row_fingerprint": "SELECT p_partkey, md5(coalesce(length(cast(p_partkey as varchar)) || ':' || cast(p_partkey as varchar), '-') || coalesce(length(cast(p_name as varchar)) || ':' || cast(p_name as varchar), '-') || coalesce(length(cast(p_brand as varchar)) || ':' || cast(p_brand as varchar), '-') || coalesce(length(cast(p_type as varchar)) || ':' || cast(p_type as varchar), '-') || coalesce(length(cast(p_size as varchar)) || ':' || cast(p_size as varchar), '-')) AS md5 FROM part",
+    "warehouse_layout_nested": """
+SELECT event_id, ts + INTERVAL 330 MINUTE AS first_time, ts + INTERVAL 330 MINUTE AS type_time,
+       ts + INTERVAL 330 MINUTE AS who_time, user_id
+FROM events""",
+    "row_fingerprint": "SELECT p_partkey, md5(coalesce(length(cast(p_partkey as varchar)) || ':' || cast(p_partkey as varchar), '-') || coalesce(length(cast(p_name as varchar)) || ':' || cast(p_name as varchar), '-') || coalesce(length(cast(p_brand as varchar)) || ':' || cast(p_brand as varchar), '-') || coalesce(length(cast(p_type as varchar)) || ':' || cast(p_type as varchar), '-') || coalesce(length(cast(p_size as varchar)) || ':' || cast(p_size as varchar), '-') || length(cast(cast(floor(p_retailprice * 100) as bigint) as varchar)) || ':' || cast(cast(floor(p_retailprice * 100) as bigint) as varchar)) AS md5 FROM part",
     "schema_drift": " UNION ALL ".join(
         [
             _drift("O_CUSTKEY", "type_mismatch", "bigint", "string", "o_custkey", "orders"),
@@ -155,6 +167,11 @@ FROM lineitem""",
             _lost("customer", "c_digits", "regexp_replace(c_name, '[^0-9]', '', 'g')"),
             _lost("customer", "c_mktsegment", "c_mktsegment"),
             _lost("part", "p_name", "p_name"),
+            _cut("l_quantity", "double", "int", "l_quantity", "trunc(l_quantity) <> l_quantity"),
+            _cut("l_mills", "double", "int", "l_extendedprice", "trunc(l_extendedprice * 1000) <> l_extendedprice * 1000 OR l_extendedprice * 1000 >= 2147483648"),
+            _cut("l_price", "decimal(12,2)", "decimal(12,0)", "l_extendedprice", "CAST(l_extendedprice AS DECIMAL(12,2)) % 1 <> 0"),
+            _cut("l_orderkey", "bigint", "tinyint", "l_orderkey", "l_orderkey > 127"),
+            _cut("l_shipped", "timestamp_ntz", "date", "l_shipdate", "l_linenumber > 1"),
         ]
     ),
     "upsert": _ORDERS_MERGE["all"],
@@ -193,9 +210,9 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "sync_cast": _ORDERS_MERGE["all"],
     "sync_two_sources": f"""
 WITH c AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer),
-     s AS (SELECT s_suppkey * 2 AS id, s_name AS name, s_nationkey AS nation FROM supplier)
+     s AS (SELECT s_suppkey * 20 AS id, s_name AS name, s_nationkey AS nation FROM supplier)
 SELECT coalesce(c.id, s.id) AS id, coalesce(s.name, c.name) AS name, c.balance, s.nation, {_RUN} AS loaded_at,
-       CASE WHEN c.id IS NOT NULL THEN 'CRM' ELSE 'ERP' END AS source_system
+       CASE WHEN c.id IS NULL OR (s.id % 40 = 0 AND c.id > (SELECT count(*) // 2 FROM customer)) THEN 'ERP' ELSE 'CRM' END AS source_system
 FROM c FULL JOIN s ON c.id = s.id""",
     "sync_empty": _T0,
     "sync_metrics": f"""
@@ -203,8 +220,51 @@ WITH t AS ({_T0}), s AS ({_S})
 SELECT 'SYNC_ORDERS' AS process_name, 'merge' AS mode, strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') AS mark,
        'timestamp_ntz' AS mark_type, '20250101000000' AS batch_id, count(*) AS rows_read,
        count(*) FILTER (o_orderkey IN (SELECT o_orderkey FROM t)) AS rows_updated,
-       count(*) FILTER (o_orderkey NOT IN (SELECT o_orderkey FROM t)) AS rows_inserted
+       count(*) FILTER (o_orderkey NOT IN (SELECT o_orderkey FROM t)) AS rows_inserted,
+       'committed' AS status, CAST(0 AS BIGINT) AS null_keys, CAST(0 AS BIGINT) AS repeated_keys, CAST(0 AS BIGINT) AS drifted
 FROM s""",
+    "sync_quality": f"""
+WITH k AS (SELECT CASE WHEN l_returnflag <> 'A' THEN l_orderkey END AS l_orderkey, l_linenumber, l_shipdate > {_MARK} AS late FROM lineitem),
+     r AS (SELECT late, count(*) AS repeated FROM (SELECT late FROM k WHERE l_orderkey IS NOT NULL GROUP BY late, l_orderkey, l_linenumber HAVING count(*) > 1) GROUP BY late)
+SELECT CASE WHEN k.late THEN 2 ELSE 1 END::BIGINT AS run_id, 'committed' AS status, count(*) AS rows_read,
+       count(*) FILTER (l_orderkey IS NULL) AS null_keys, coalesce(any_value(repeated), 0) AS repeated_keys,
+       CASE WHEN k.late THEN 'L_SUPPKEY type_mismatch string bigint; L_TAX new double' ELSE '' END AS drift
+FROM k LEFT JOIN r ON k.late = r.late GROUP BY k.late""",
+    "sync_catalog_append": f"SELECT *, {_RUN} AS loaded_at, 'SRC' AS source_system FROM events",
+    "sync_catalog_full": f"SELECT *, {_RUN} AS loaded_at, 'SRC' AS source_system FROM customer",
+    "sync_catalog_merge": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS version, {_RUN} AS loaded_at, 'SRC' AS source_system
+FROM orders""",
+    "catalog_add_columns": f"""
+SELECT * REPLACE (CASE WHEN o_orderdate > {_MARK} THEN o_orderpriority END AS o_orderpriority),
+       {_RUN} AS loaded_at, 'SRC' AS source_system
+FROM orders""",
+    "sync_zoned": f"""
+SELECT event_id, value, CASE WHEN happened < TIMESTAMP '2024-11-03 06:00:00' THEN happened - INTERVAL 4 HOUR ELSE happened - INTERVAL 5 HOUR END AS happened,
+       {_RUN} AS loaded_at, 'SRC' AS source_system
+FROM (SELECT event_id, value, ts + INTERVAL 300 DAY AS happened FROM events)""",
+    "sync_changed_only": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
+       CASE WHEN o_orderpriority = '1-URGENT' AND o_orderdate <= {_MARK} THEN CAST(floor(o_totalprice) AS DOUBLE) ELSE o_totalprice END AS o_totalprice,
+       'OLD' AS source_system,
+       CASE WHEN o_orderpriority = '1-URGENT' AND o_orderdate > {_MARK} AND floor(o_totalprice) <> o_totalprice THEN {_RUN} ELSE {_OLD_LOAD} END AS loaded_at
+FROM orders""",
+    "upsert_changed_only": f"""
+WITH m AS ({_ORDERS_MERGE["all"]}), t AS ({_T0})
+SELECT m.* REPLACE (CASE WHEN t.o_totalprice = m.o_totalprice THEN t.loaded_at ELSE m.loaded_at END AS loaded_at)
+FROM m LEFT JOIN t ON m.o_orderkey = t.o_orderkey""",
+    "change_feed": f"""
+WITH t AS ({_T0}), s AS (SELECT * FROM orders WHERE o_orderstatus <> 'F' OR o_orderpriority <> '5-LOW')
+SELECT coalesce(s.o_orderkey, t.o_orderkey) AS o_orderkey,
+       CASE WHEN t.o_orderkey IS NULL THEN 'insert' WHEN s.o_orderkey IS NULL THEN 'delete' ELSE 'update' END AS kind,
+       t.o_totalprice AS price_before, s.o_totalprice AS price_after, s.o_orderdate AS date_after
+FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey
+WHERE t.o_orderkey IS NULL OR s.o_orderkey IS NULL OR t.o_totalprice <> s.o_totalprice""",
+    "deleted_keys": "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)",
+    "soft_delete": f"""
+SELECT *, CASE WHEN o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) THEN {_RUN} END AS deleted_at FROM ({_T0})""",
     "sync_latest": _lines_merge("SRC", _RUN),
     "sync_after_spread": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,

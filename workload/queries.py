@@ -14,7 +14,10 @@ from tidemark.functions.layout import to_layout
 from tidemark.functions.marks import batch_id
 from tidemark.operators import (
     add_columns,
+    change_feed,
+    changed_rows,
     dedupe_latest,
+    deleted_keys,
     dq_profile,
     high_water_mark,
     inserted_rows,
@@ -22,10 +25,12 @@ from tidemark.operators import (
     repeated_keys,
     require_unique_keys,
     schema_drift,
+    soft_delete,
     type_drift_profile,
     upsert,
 )
 from tidemark.operators.upsert import fits_broadcast
+from tidemark.plans.catalog import CatalogTarget
 from tidemark.plans.control import Process, select_processes
 from tidemark.plans.ledger import ledger_current, ledger_metadata, read_ledger, run_metrics
 from tidemark.plans.store import TargetStore, stage_table
@@ -119,8 +124,7 @@ def incremental_events(spark, sf_dir):
 
 @query("incremental_id")
 def incremental_id(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    return incremental_scan(documents, "doc_id", 100).select("doc_id", "lang", "source", "n_chars")
+    return incremental_scan(table(spark, sf_dir, "documents"), "doc_id", 100)
 
 
 # Control table and ledger
@@ -191,21 +195,39 @@ def append_audit(spark, sf_dir):
 
 @query("warehouse_layout")
 def warehouse_layout(spark, sf_dir):
+    shipped = F.concat(F.col("l_shipdate").cast("string"), F.lit("Z")).cast("timestamp")
     nested = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_shipdate",
+        F.array(shipped, F.lit(None).cast("timestamp")).alias("times"),
+        F.create_map("l_returnflag", shipped).alias("flag_time"),
+        F.struct(shipped.alias("at"), F.array(shipped).alias("all")).alias("sent"),
         F.array("l_partkey", "l_suppkey", F.col("l_linenumber").cast("long")).alias("ids"),
         F.create_map(F.col("l_returnflag"), F.col("l_linenumber")).alias("flag_line"),
         F.struct(F.col("l_linestatus").alias("status"), F.col("l_partkey").alias("part")).alias("state"),
-        F.concat(F.col("l_shipdate").cast("string"), F.lit("Z")).cast("timestamp").alias("shipped_at"),
+        shipped.alias("shipped_at"),
     )
     return to_layout(nested, flat=True)
 
 
+@query("warehouse_layout_nested")
+def warehouse_layout_nested(spark, sf_dir):
+    """Instants inside nested values as wall-clock times of a zone, nested values kept or as variants."""
+    at = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
+    events = table(spark, sf_dir, "events").select(
+        "event_id", F.array(at).alias("times"), F.create_map("event_type", at).alias("by_type"), F.struct("user_id", at.alias("at")).alias("who")
+    )
+    kept = to_layout(events, zone="Asia/Kolkata").selectExpr("event_id", "times[0] AS first_time", "element_at(map_values(by_type), 1) AS type_time", "who.at AS who_time")
+    variants = to_layout(events, zone="Asia/Kolkata", nested="variant").selectExpr("event_id", "variant_get(who, '$.user_id', 'bigint') AS user_id")
+    return kept.join(variants, "event_id")
+
+
 @query("row_fingerprint")
 def row_fingerprints(spark, sf_dir):
     part = table(spark, sf_dir, "part")
-    return part.select("p_partkey", row_fingerprint("p_partkey", "p_name", "p_brand", "p_type", "p_size").alias("md5"))
+    # Doubles have no one text in all engines: the price goes in as cents.
+    cents = part.withColumn("cents", F.floor(F.col("p_retailprice") * 100))
+    return cents.select("p_partkey", row_fingerprint("p_partkey", "p_name", "p_brand", "p_type", "p_size", "cents").alias("md5"))
 
 
 # Schema comparison and evolution
@@ -246,6 +268,10 @@ def type_drift(spark, sf_dir):
         "c_custkey", "c_name", F.regexp_replace("c_name", "[^0-9]", "").alias("c_digits"), "c_mktsegment"
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_quantity", (F.col("l_extendedprice") * 1000).alias("l_mills"), F.col("l_extendedprice").cast("decimal(12,2)").alias("l_price"), F.col("l_orderkey"), F.expr("l_shipdate + make_dt_interval(0, l_linenumber - 1)").alias("l_shipped")
+    )
+    narrower = "l_quantity int, l_mills int, l_price decimal(12,0), l_orderkey tinyint, l_shipped date"
 
     def ints(df: DataFrame, *keep: str) -> StructType:
         return StructType([f if f.name in keep else StructField(f.name, IntegerType()) for f in df.schema.fields])
@@ -254,6 +280,7 @@ def type_drift(spark, sf_dir):
         {
             "customer": type_drift_profile(customer, ints(customer, "c_custkey")),
             "part": type_drift_profile(part, ints(part, "p_partkey")),
+            "lineitem": type_drift_profile(lines, StructType.fromDDL(narrower), strict=True),
         }
     )
 
@@ -416,10 +443,15 @@ def sync_two_sources(spark, sf_dir):
     customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
     root = fresh_dir(spark, "two")
     people = customer.selectExpr("c_custkey AS id", "c_name AS name", "c_acctbal AS balance")
-    firms = supplier.selectExpr("s_suppkey * 2 AS id", "s_name AS name", "s_nationkey AS nation")
+    firms = supplier.selectExpr("s_suppkey * 20 AS id", "s_name AS name", "s_nationkey AS nation")
     shared = {"target_table": "party", "incremental_column": "id", "keys": ("id",)}
-    sync(spark, Process("CUSTOMERS", "customer", source_system="CRM", **shared), people, root, run_ts=RUN)
-    return sync(spark, Process("SUPPLIERS", "supplier", source_system="ERP", **shared), firms, root, run_ts=RUN).target
+    crm, erp = Process("CUSTOMERS", "customer", source_system="CRM", **shared), Process("SUPPLIERS", "supplier", source_system="ERP", **shared)
+    half = customer.count() // 2
+    # The first run of the one reads past what the first run of the other leaves unread.
+    sync(spark, crm, people.filter(F.col("id") <= half), root, run_ts=RUN)
+    sync(spark, erp, firms.filter("id % 40 = 0"), root, run_ts=RUN)
+    sync(spark, crm, people, root, run_ts=RUN)
+    return sync(spark, erp, firms, root, run_ts=RUN, from_mark=0).target
 
 
 @query("sync_idempotent")
@@ -440,10 +472,26 @@ def sync_metrics(spark, sf_dir):
     root, _ = _synced(spark, sf_dir)
     newest = ledger_current(read_ledger(spark, f"{root}/*/ledger"), "target_table")
     return newest.select(
-        "process_name", "mode", "mark", "mark_type", "batch_id", "rows_read", "rows_updated", "rows_inserted"
+        "process_name", "mode", "mark", "mark_type", "batch_id", "rows_read", "rows_updated", "rows_inserted",
+        "status", "null_keys", "repeated_keys", F.size("drift").cast("bigint").alias("drifted"),
     )
 
 
+@query("sync_quality")
+def sync_quality(spark, sf_dir):
+    """The run record of a load with repeated and missing keys, a new column and one of another type."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    keyed = lineitem.withColumn("l_orderkey", F.when(F.col("l_returnflag") != "A", F.col("l_orderkey")))
+    process = Process("SYNC_LINEITEM", "lineitem", "lineitem", SOURCE, incremental_column="l_shipdate", keys=("l_orderkey", "l_linenumber"))
+    root = fresh_dir(spark, "quality")
+    old = keyed.filter(F.col("l_shipdate") <= ntz(MARK)).drop("l_tax")
+    sync(spark, process, old, root, run_ts=RUN, duplicates="latest")
+    sync(spark, process, keyed.withColumn("l_suppkey", F.col("l_suppkey").cast("string")), root, run_ts=RUN, duplicates="latest")
+    runs = read_ledger(spark, f"{root}/*/ledger")
+    drift = F.array_join(F.array_sort(F.transform("drift", lambda d: F.concat_ws(" ", d["column"], d["status"], d["source_type"], d["target_type"]))), "; ")
+    return runs.select("run_id", "status", "rows_read", "null_keys", "repeated_keys", drift.alias("drift"))
+
+
 @query("sync_latest")
 def sync_latest(spark, sf_dir):
     """Repeated stage keys, newest kept, merged into a target made the same way."""
@@ -469,6 +517,104 @@ def sync_after_spread(spark, sf_dir):
     return results[-1].target
 
 
+def _catalog(spark: SparkSession, process: Process) -> CatalogTarget:
+    """A new table of the session's catalog, its files in the shared folder."""
+    path = fresh_dir(spark, "catalog")
+    return CatalogTarget(spark, f"{process.target_table}_{path[-32:]}", fresh_dir(spark, "ledgers"), location=path)
+
+
+def _catalog_synced(spark: SparkSession, process: Process, *sources: DataFrame, **options) -> CatalogTarget:
+    target = _catalog(spark, process)
+    for source in sources:
+        sync(spark, process, source, "", run_ts=RUN, target=target, **options)
+    return target
+
+
+@query("sync_catalog_append")
+def sync_catalog_append(spark, sf_dir):
+    """Two runs of a process without a key append to a catalog table, each past the mark of the one before."""
+    events = table(spark, sf_dir, "events")
+    process = Process("EVENTS", "events", "events", SOURCE, incremental_column="ts")
+    return _catalog_synced(spark, process, events.filter("ts <= '2024-01-15'"), events).read()
+
+
+@query("sync_catalog_full")
+def sync_catalog_full(spark, sf_dir):
+    """A full load replaces what a catalog table held."""
+    customer = table(spark, sf_dir, "customer")
+    process = Process("FULL_CUSTOMER", "customer", "customer", SOURCE, load_type="FULL")
+    return _catalog_synced(spark, process, customer.withColumn("c_acctbal", F.lit(0.0)), customer).read()
+
+
+@query("sync_catalog_merge")
+def sync_catalog_merge(spark, sf_dir):
+    """A merge into a catalog table writes back the partitions of the key that it touches."""
+    orders = table(spark, sf_dir, "orders").withColumn("version", F.lit(1))
+    urgent = orders.filter("o_orderpriority = '1-URGENT'").selectExpr("* EXCEPT (version, o_totalprice)", "2 AS version", "o_totalprice + 1 AS o_totalprice")
+    process = replace(ORDERS, incremental_column="version", enddate=None)
+    return _catalog_synced(spark, process, orders.filter("o_orderkey % 3 <> 0 OR o_orderpriority <> '1-URGENT'"), urgent, file_bytes=1 << 18).read()
+
+
+@query("catalog_add_columns")
+def catalog_add_columns(spark, sf_dir):
+    """A column that the source gains is added to the catalog table; rows of before have NULL."""
+    orders = table(spark, sf_dir, "orders")
+    early = orders.filter(F.col("o_orderdate") <= ntz(MARK)).drop("o_orderpriority")
+    return _catalog_synced(spark, replace(ORDERS, enddate=None), early, orders).read()
+
+
+@query("sync_zoned")
+def sync_zoned(spark, sf_dir):
+    """Instants around the end of daylight saving time, appended in two runs and a third that finds nothing."""
+    shifted = table(spark, sf_dir, "events").selectExpr("event_id", "CAST(concat(CAST(ts + INTERVAL '300' DAY AS string), 'Z') AS timestamp) AS happened", "value")
+    process = Process("ZONED", "events", "zoned", SOURCE, incremental_column="happened")
+    root = fresh_dir(spark, "zoned")
+    for cut in ("2024-11-03 05:30:00Z", "2025-01-01 00:00:00Z", "2025-01-01 00:00:00Z"):
+        done = sync(spark, process, shifted.filter(F.col("happened") <= F.lit(cut).cast("timestamp")), root, run_ts=RUN, zone="America/New_York")
+    return done.target
+
+
+@query("sync_changed_only")
+def sync_changed_only(spark, sf_dir):
+    """All orders again over a version in which only the late and urgent ones differ: the others keep their load time."""
+    orders = table(spark, sf_dir, "orders")
+    old = orders.withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT", F.floor("o_totalprice").cast("double")).otherwise(F.col("o_totalprice")))
+    root = fresh_dir(spark, "changed")
+    TargetStore(spark, root, "orders").adopt(old.select("*", F.lit("OLD").alias("source_system"), ntz("2024-01-01 00:00:00").alias("loaded_at")), "o_orderkey", 1 << 18)
+    return sync(spark, ORDERS, orders, root, run_ts=RUN, skip_unchanged=True, file_bytes=1 << 18).target
+
+
+# Changes
+
+
+@query("upsert_changed_only")
+def upsert_changed_only(spark, sf_dir):
+    """The upsert without rows that would only get a new load time."""
+    target, stage = _merge_inputs(spark, sf_dir)
+    return upsert(target, changed_rows(target, stage, "o_orderkey"), "o_orderkey")
+
+
+@query("change_feed")
+def change_feed_of_orders(spark, sf_dir):
+    """Both values of every order that is new, changed or gone since the older target."""
+    orders = table(spark, sf_dir, "orders")
+    source = orders.filter("o_orderstatus <> 'F' OR o_orderpriority <> '5-LOW'")
+    feed = change_feed(old_target(orders), source, "o_orderkey")
+    return feed.selectExpr("o_orderkey", "kind", "before.o_totalprice AS price_before", "after.o_totalprice AS price_after", "after.o_orderdate AS date_after")
+
+
+@query("deleted_keys")
+def deleted_order_keys(spark, sf_dir):
+    """Orders of customers that the lines do not name any more."""
+    return deleted_keys(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS o_orderkey"), "o_orderkey")
+
+
+@query("soft_delete")
+def soft_delete_orders(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    return soft_delete(old_target(orders), table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS o_orderkey"), "o_orderkey", ntz(str(RUN)))
+
+
 @query("sync_rewind")
 def sync_rewind(spark, sf_dir):
     """A control row set back to an earlier day reads again from there."""
