@@ -7,7 +7,7 @@ included, per lang.
 Counting. A task numbers its words and keeps one trie a lang: a shallow trie over word numbers
 whose leaves are hash containers (suffix -> count). A container of more than `BURST` entries
 bursts into a node with a container for each next word. Above `LIMIT` entries whole subtrees,
-the largest first, are spilled as sorted runs until half is left, so a task's memory is bounded
+the largest first, are spilled as sorted runs until an eighth is left, so a task's memory is bounded
 whatever its input. A run has the phrases of one prefix partition in the order of their numbers,
 one row a partition; the prefix is the first word and one of `SPREAD` parts of the second, so the
 phrases of a very common first word are not one partition. Runs are shuffled once, by partition,
@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ from tidemark.llm.text import LOWER, blocks, marks, shingles, words
 LONGEST, LEAST, INSIDE, TOP = 3, 10, 50, 2000
 UNDEFINED = "und"
 #: Entries of a container before it bursts, of a task's tries before they spill, parts of a hot first word.
-BURST, LIMIT, SPREAD = 1 << 12, 1 << 18, 16
+BURST, LIMIT, SPREAD = 1 << 12, 1 << 19, 16
 #: Words worked on at once, and words that a task numbers before it starts anew. Bits of a filter, as a power of two.
 STRETCH, NUMBERS, FILTER = 1 << 17, 1 << 19, 26
 _CUTS = marks((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
@@ -112,7 +113,8 @@ class HatTrie:
         keys: list[int] = []
         counts: list[int] = []
         shift = self.bits * (self.depth - 1)
-        for at in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
+        firsts, sizes = (np.fromiter(x, np.int64, len(self.sizes)) for x in (self.sizes.keys(), self.sizes.values()))
+        for at in firsts[np.argsort(-sizes, kind="stable")].tolist():
             if self.size <= most:
                 break
             self.size -= self.sizes.pop(at)
@@ -157,6 +159,7 @@ class _Counter:
         self.ids: dict[bytes, int] = {}
         self.tries: dict[str, HatTrie] = {}
         self.totals: dict[str, int] = {}
+        self.names: list[bytes] = [b""]
 
     @property
     def size(self) -> int:
@@ -193,14 +196,18 @@ class _Counter:
 
     def spill(self, most: int) -> Iterator[pa.RecordBatch]:
         """Sorted runs of whole subtrees until `most` entries are left; with 0, everything, and the numbers start anew."""
-        code = np.array([0, *map(zlib.crc32, self.ids)], np.int64)
-        first = pa.array([b"", *self.ids], pa.binary())
-        further = pa.array([b"", *[b" " + w for w in self.ids]], pa.binary())
+        self.names.extend(islice(self.ids, len(self.names) - 1, None))
         for lang, trie in sorted(self.tries.items(), key=lambda t: -t[1].size):
             if most and self.size <= most:
                 break
             keys, counts = trie.take(max(0, most - self.size + trie.size))
             path = [keys >> (self.bits * i) & ((1 << self.bits) - 1) for i in reversed(range(self.high))]
+            # Only the words of these phrases, 0 for none.
+            used = np.unique(np.concatenate([[0], *path]))
+            named = [self.names[i] for i in used.tolist()]
+            path = [np.searchsorted(used, p) for p in path]
+            code = np.fromiter(map(zlib.crc32, named), np.int64, len(named))
+            first, further = pa.array(named, pa.binary()), pa.array([b" " + w if w else w for w in named], pa.binary())
             part = code[path[0]]
             if self.high > 1:
                 part = part + np.where(path[1] > 0, 31 * (code[path[1]] % SPREAD + 1), 0)
@@ -250,7 +257,7 @@ def _counted(low: int, high: int, parts: int, bloom: np.ndarray | None, limit: i
                             yield from counter.spill(0)
                         counter.add(lang, data, start[some], end[some], hashes[some], piece[some], min(stretch, len(mine) - at))
                         if counter.size > limit:
-                            yield from counter.spill(limit // 2)
+                            yield from counter.spill(limit // 8)
         yield from counter.spill(0)
 
     return run
