@@ -211,6 +211,47 @@ def test_short_passages_are_found_whole(spark):
         assert start - 2 <= r["start"] <= start and stop <= r["start"] + r["n_words"] <= stop + 2
 
 
+def test_segments_are_cut_by_content_alone():
+    draw = np.random.default_rng(8)
+    texts = [draw.integers(1, 1 << 62, n).astype(np.uint64) for n in draw.integers(1, 200, 100)] + [np.full(90, 7, np.uint64)] * 2
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    begin = np.searchsorted(row, np.arange(len(texts)))
+    alone = [(i, int(a), int(n)) for i, t in enumerate(texts) for a, n in zip(*substrings.segments(t, np.zeros(len(t), np.int64)))]
+    at, size = substrings.segments(np.concatenate(texts), row)
+    assert [(int(row[a]), int(a - begin[row[a]]), int(n)) for a, n in zip(at, size)] == alone
+    # Brute force: a cut is a text's start or the first smallest pair of its neighbourhood, a smaller one in long stretches.
+    reach = substrings.SEGMENT
+    for i, t in enumerate(texts):
+        pairs = substrings.shingles(t, np.zeros(len(t), np.int64), 2)[:-1].tolist()
+
+        def cuts(r):
+            return [0] + [p for p in range(1, len(pairs)) if pairs[p] < min(pairs[max(0, p - r) : p]) and pairs[p] <= min(pairs[p : p + r + 1])] + [len(t)]
+
+        long = [(a, b) for a, b in zip(cuts(reach), cuts(reach)[1:]) if b - a > substrings.LENGTH]
+        every = sorted(set(cuts(reach)) | {p for p in cuts(reach // 2) if any(a < p < b for a, b in long)})
+        assert [(i, a, b - a) for a, b in zip(every, every[1:]) if b - a >= substrings.SHORTEST] == [x for x in alone if x[0] == i]
+
+
+def test_edited_passages_are_found(spark):
+    draw = random.Random(21)
+    word = lambda: "".join(draw.choices("abcdefghij", k=6))
+    rows, total = [], 60
+    for n in range(total):
+        passage = [word() for _ in range(60)]
+        for i in (2 * n, 2 * n + 1):
+            rows.append((i, " ".join([*(word() for _ in range(draw.randrange(20, 90))), *passage, *(word() for _ in range(50))])))
+            for _ in range(2):
+                passage[draw.randrange(60)] = word()
+    got = {r["doc_id"] for r in substrings.spans(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r["removed"]}
+    assert len(got) >= 0.9 * total and all(i % 2 for i in got)
+
+
+def test_rows_without_an_id_are_not_those_of_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    got = substrings.spans(spark.createDataFrame([(None, text), (-1, text), (5, text)], "doc_id long, text string")).collect()
+    assert sorted((repr(r["doc_id"]), r["removed"], r["n_words"]) for r in got) == [("-1", False, 60), ("5", True, 60), ("None", True, 60)]
+
+
 def test_katz_probabilities_add_up(spark):
     rows = [(i, " ".join(random.Random(i).choices("abcde", k=30))) for i in range(30)]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.col("doc_id")).withColumn("train", F.lit(True))
