@@ -309,6 +309,43 @@ def test_all_articles_stay():
     assert html.extract(page) == ("one " * 70).strip() + "\n" + ("two " * 30).strip()
 
 
+PROSE = "A long paragraph of many words that a reader came for, with commas and all. " * 6
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(40)) + "</ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "lines"),
+    [
+        (f"<body><div class=a1>{LINKS}</div><div class=b2><h1>T</h1><p>{PROSE}</p><p>x</p></div><div class=c3>Copyright</div>", ["T", PROSE, "x"]),
+        (f"<body>{LINKS}<p>{PROSE}</p><p>x</p>{LINKS}", [PROSE, "x"]),
+        (f"<body><h1>T</h1><div class=b2><p>{PROSE}</p></div>", ["T", PROSE]),
+        (f"<article><p>{PROSE}</p><section id=discussion><p>{PROSE}</p></section></article>", [PROSE, PROSE]),
+        (f"<article><h1 id=menu-planning>T</h1><p>{PROSE}</p></article>", ["T", PROSE]),
+        (f"<main><p>{PROSE}</p><div class=related-work><p>{PROSE}</p></div><div id=search-section><p>{PROSE}</p></div></main>", [PROSE] * 3),
+        (f"<body><div class=text><p>{PROSE}</p></div><div class=comments><p>{PROSE * 5}</p><p>{PROSE * 5}</p></div>", [PROSE]),
+        (f"<body><div class=subscribe-layout><p>{PROSE}</p><p>x</p></div><div class=c3>Copyright</div>", [PROSE, "x"]),
+        (f"<main><p>{PROSE}</p><div class=comments-section><p>{PROSE * 5}</p></div><div class=site-footer>{PROSE}</div></main>", [PROSE]),
+        (f"<body><div class=text><p>{PROSE}</p><ul><li>one</li><li>two</li></ul><p>{PROSE}</p></div>", [PROSE, "one", "two", PROSE]),
+        (f"<body><header>h</header><article><header><h1>T</h1></header><p>{PROSE}</p></article>", ["T", PROSE]),
+    ],
+)
+def test_lines_are_chosen_by_ratio_and_names_only_support(page, lines):
+    assert html.extract(page).split("\n") == [x.strip() for x in lines]
+
+
+def test_smoothing_equals_brute_force():
+    draw = np.random.default_rng(2)
+    for n in (1, 2, 5, 40):
+        x = draw.uniform(0, 100, n)
+        for sigma in (0.5, 1.0, 2.0):
+            reach = max(1, math.ceil(2 * sigma))
+            want = []
+            for i in range(n):
+                near = {j: math.exp(-0.5 * ((i - j) / sigma) ** 2) for j in range(max(0, i - reach), min(n, i + reach + 1))}
+                want.append(sum(w * x[j] for j, w in near.items()) / sum(near.values()))
+            assert html.smooth(x, sigma) == pytest.approx(want)
+
+
 def test_secrets_are_redacted_and_others_stay(spark):
     rows = [
         (1, "set password=9855ae4fa49702326c now", "k"),

@@ -1,16 +1,23 @@
 """Main text of web pages: text-to-tag ratio by line, smoothed, thresholded, as regions.
 
 The standard library's parser sends its events as the page is fed to it. Block elements
-cut the page into lines; a line's ratio is its characters by the tags that it holds.
-Lines in menus, headers, footers, sidebars, adverts, notices, forms, comments and in
-what is not shown have ratio 0, by element, role or the words of class and id. The
+cut the page into lines; a line's ratio is its characters outside links by the tags that it
+holds, 0 in forms, menus and what else the elements and roles of HTML put aside or do not show. The
 ratios are smoothed by a Gaussian over neighbouring lines, and lines above the
-deviation of all lines are content. The region is a main element that holds more than
-`most` of the content, or else all article elements if they do, or else the innermost
-container of all content; all of its shown lines are returned, short ones too. A word
-of class or id counts as what the element is (`sidebar`), not as what it has
-(`has-sidebar`), and never hides a box with most of the page's text, but for boxes
-beside an article or main element.
+deviation of all lines are content; the core is those whose own ratio is above it too.
+
+The region is a main element that holds more than
+`most` of the content, or else all article elements if they do; all of its shown lines are
+returned. Without such elements it is the innermost container of the core with the headings right
+before it, and its parts are judged as runs: a box (div, section, ...) before the first or behind
+the last core line that has no core line of its own goes, and so does a list, table or box without one,
+wherever it is, that is mostly links. All other lines stay, short ones too.
+
+Words of class and id support this. Those in `ALWAYS` (adverts, comments, sidebars, notices) put a
+box aside unless the core lines outside have less than `LEAST_REST` of its text. Those in `NAMES` do so if they are the whole name
+(`footer`, `site-footer`); in a name with other words (`menu-planning`, `related-work`) or for `UNSURE` ones
+only if the box's mean ratio is not above the deviation. They never put aside a heading, what a box
+has (`has-sidebar`) or a box with most of the page's text, but for boxes beside an article or main element.
 
 Null and empty pages give an empty text. Unclosed and stray tags are closed by the
 elements around them, a head by the page's content; what the parser can't read as a
@@ -39,13 +46,21 @@ IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript
 SILENT = frozenset("script style noscript template head title iframe object svg canvas select button textarea datalist audio video option".split())
 ASIDE = frozenset("nav header footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+ALWAYS = frozenset(
+    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promoted cookie cookies consent gdpr "
+    "popup modal newsletter subscribe subscription signup paywall sidebar sidebars breadcrumb breadcrumbs pagination pager "
+    "comment comments commentlist replies respond disqus".split()
+)
 NAMES = frozenset(
-    "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promoted promotion banner "
-    "cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup paywall "
-    "sidebar sidebars aside menu menus nav navbar navigation topnav breadcrumb breadcrumbs pagination pager header masthead topbar "
-    "footer bottombar copyright comment comments commentlist reply replies respond disqus discussion share sharing social related "
-    "recommended recommendations widget widgets toolbar login search form hidden".split()
+    "promo promos promotion banner notice notices alert alerts overlay aside asides menu menus nav navbar navigation topnav header "
+    "masthead topbar footer bottombar copyright reply share sharing social related recommended recommendations widget widgets "
+    "toolbar login search form hidden discussion".split()
 )
+#: Names of content as well, and words that add nothing to a name.
+UNSURE = frozenset(("discussion",))
+PLAIN_WORDS = frozenset("site page main top bottom left right primary secondary global box bar list links posts articles wrapper container inner outer area".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+GROUPS = frozenset("ul ol dl table".split())
 #: A name after one of these tells what a box has, not what it is.
 HAVING = frozenset("has have with without no not".split())
 WHOLE = frozenset(("article", "main"))
@@ -54,16 +69,23 @@ CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "t
 SCOPE = CONTAINERS | {"ul", "ol", "dl", "table", "blockquote", "html"}
 ENDS_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot"}
 PIECE = 1 << 16
+LEAST_REST = 0.05
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, containers, shown) of each line."""
+    """Collects (text, tags, containers, shown) of each line, its characters in links and whether it is a heading."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.linked: list[int] = []
+        self.heading: list[bool] = []
         self.whole: dict[int, str] = {}
-        # Element, shown, containers, boxes around that are put aside by their names.
+        self.groups: set[int] = set()  # lists and tables
+        self._always: set[int] = set()  # of the named boxes
+        self._unsure: set[int] = set()
+        self._links = 0
+        # Element, shown, containers, boxes around that may be put aside by their names.
         self._stack: list[tuple[str, bool, tuple[int, ...], tuple[int, ...]]] = []
         self._named: list[tuple[int, ...]] = []  # of each line
         self._names = 0
@@ -83,7 +105,9 @@ class Lines(HTMLParser):
             shown, where, named = self._state()
             self.lines.append((text, max(1, self._tags), where, shown))
             self._named.append(named)
-        self._text, self._tags = [], 0
+            self.linked.append(min(self._links, len(text)))
+            self.heading.append(any(x[0] in HEADINGS for x in self._stack))
+        self._text, self._tags, self._links = [], 0, 0
 
     def _close(self, names: tuple[str, ...]) -> None:
         for i in range(len(self._stack) - 1, -1, -1):
@@ -109,14 +133,23 @@ class Lines(HTMLParser):
                 return True
         return False
 
-    def _is_named(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-        """Whether a word of class or id puts the element aside; `has-sidebar` does not."""
-        if tag in ("html", "body") or tag in WHOLE or tag not in BLOCKS and tag not in ("span", "ins"):
-            return False
+    def _named_by(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
+        """How words of class or id put the element aside: always, by name, unsure or (empty) not."""
+        if tag in ("html", "body") or tag in WHOLE or tag in HEADINGS or tag not in BLOCKS and tag not in ("span", "ins"):
+            return ""
         if tag == "header" and any(x[0] in WHOLE for x in self._stack):
-            return False
-        each = [re.split(r"[^a-z]+", name) for key, value in attrs if key in ("class", "id") for name in (value or "").lower().split()]
-        return any(not NAMES.isdisjoint(parts) and HAVING.isdisjoint(parts) for parts in each)
+            return ""
+        found = set()
+        for key, value in attrs:
+            for name in (value or "").lower().split() if key in ("class", "id") else ():
+                parts = {x for x in re.split(r"[^a-z]+", name) if x}
+                if not HAVING.isdisjoint(parts):
+                    continue
+                if not ALWAYS.isdisjoint(parts):
+                    found.add("always")
+                elif not NAMES.isdisjoint(parts):
+                    found.add("name" if parts <= NAMES | PLAIN_WORDS and UNSURE.isdisjoint(parts) else "unsure")
+        return next((x for x in ("always", "name", "unsure") if x in found), "")
 
     def _end_head(self) -> None:
         """A head without an end tag ends where the page's content begins."""
@@ -140,16 +173,22 @@ class Lines(HTMLParser):
             return
         shown, where, named = self._state()
         hides = shown and self._hides(tag, attrs)
-        puts = shown and not hides and self._is_named(tag, attrs)
+        puts = self._named_by(tag, attrs) if shown and not hides else ""
         if (hides or puts) and tag not in BLOCKS and tag not in SILENT:
             self._cut()
         shown = shown and not hides
         if puts:
             self._names += 1
             named = (*named, self._names)
-        if tag in CONTAINERS:
+            if puts == "always":
+                self._always.add(self._names)
+            elif puts == "unsure":
+                self._unsure.add(self._names)
+        if tag in CONTAINERS or tag in GROUPS:
             self._made += 1
             where = (*where, self._made)
+            if tag in GROUPS:
+                self.groups.add(self._made)
             if tag in WHOLE:
                 self.whole[self._made] = tag
         self._stack.append((tag, shown, where, named))
@@ -174,23 +213,50 @@ class Lines(HTMLParser):
             self._end_head()
         if not any(x[0] in SILENT for x in self._stack):
             self._text.append(data)
+            if any(x[0] == "a" for x in self._stack):
+                self._links += len(" ".join(data.split()))
 
     def done(self) -> list[tuple[str, int, tuple[int, ...], bool]]:
         self.close()
         self._cut()
-        # A box holding most of the text is not put aside by its name, unless an article or main element is outside it.
-        size = [len(text) * shown for text, _, _, shown in self.lines]
-        mass: dict[int, int] = {}
-        for n, named in zip(size, self._named):
+        n = np.array([len(text) * shown for text, _, _, shown in self.lines], float)
+        ratios = self.ratios()
+        high = _threshold(ratios)
+        boxes: dict[int, list[int]] = {}
+        for i, named in enumerate(self._named):
             for box in named:
-                mass[box] = mass.get(box, 0) + n
-        lifted = {box for box, n in mass.items() if 2 * n > sum(size)}
-        for box in sorted(lifted):
-            if any(n and box not in named and not self.whole.keys().isdisjoint(line[2]) for n, line, named in zip(size, self.lines, self._named)):
-                lifted.discard(box)
+                boxes.setdefault(box, []).append(i)
+        whole = {i for i, line in enumerate(self.lines) if n[i] and not self.whole.keys().isdisjoint(line[2])}
+        always = {i for box in self._always for i in boxes.get(box, ())}
+        # What would be left without those boxes: core lines with `LEAST_REST` of the text inside.
+        rest = [i for i in range(len(n)) if n[i] and i not in always]
+        above = _threshold(ratios[rest])
+        core = [i for i in rest if ratios[i] > above]
+        hidden, kept, lifted = n[sorted(always)].sum(), n[core].sum(), set()
+        for box, held in boxes.items():
+            beside = len(whole) > sum(i in whole for i in held)  # an article or main element outside
+            if box in self._always:
+                lifts = kept < LEAST_REST * n[held].sum() and not beside
+            elif box in self._unsure:
+                lifts = ratios[held].mean() > high
+            else:
+                # Most of the text that is not put aside anyway.
+                free = n.sum() - hidden + sum(n[i] for i in held if i in always)
+                lifts = 2 * n[held].sum() > free and not beside
+            if lifts:
+                lifted.add(box)
         self.lines = [(*line[:3], line[3] and lifted.issuperset(named)) for line, named in zip(self.lines, self._named)]
         return self.lines
 
+    def ratios(self) -> np.ndarray:
+        """Characters outside links by tags of each line, 0 where it is not shown."""
+        return np.array([(len(text) - links) / tags * shown for (text, tags, _, shown), links in zip(self.lines, self.linked)], float)
+
+
+def _threshold(values: np.ndarray) -> float:
+    """The deviation of all lines; 0 where they do not differ."""
+    return float(np.std(values)) if len(values) and np.ptp(values) else 0.0
+
 
 def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
     """Gaussian over neighbouring lines; beyond the page's ends there are no lines."""
@@ -209,9 +275,10 @@ def extract(html: str, sigma: float = 1.0, most: float = 0.6) -> str:
     if not lines:
         return ""
     shown = np.array([line[3] for line in lines])
-    ratios = np.array([len(text) / tags for text, tags, _, _ in lines]) * shown
+    ratios = parser.ratios()
     smoothed = smooth(ratios, sigma)
-    content = shown & (smoothed > np.std(smoothed) * bool(np.ptp(smoothed)))
+    high = _threshold(smoothed)
+    content = shown & (smoothed > high)
     if not content.any():
         content = shown
     # A main element with most of the content, else all articles if they hold most of it, else all.
@@ -228,12 +295,35 @@ def extract(html: str, sigma: float = 1.0, most: float = 0.6) -> str:
             boxes = set()
     if boxes:
         return "\n".join(text for text, _, where, seen in lines if seen and not boxes.isdisjoint(where))
-    # The innermost container that holds all content.
-    region = lines[found[0]][2] if len(found) else ()
-    for i in found:
+    core = np.flatnonzero(content & (ratios > high))
+    if not len(core):
+        core = found
+    # The innermost container of the core.
+    region = lines[core[0]][2] if len(core) else ()
+    for i in core:
         while lines[i][2][: len(region)] != region:
             region = region[:-1]
-    return "\n".join(text for text, _, where, seen in lines if seen and where[: len(region)] == region)
+    # Headings right before it belong to it.
+    first = next((i for i, line in enumerate(lines) if line[2][: len(region)] == region), 0)
+    while first and parser.heading[first - 1] and content[first - 1]:
+        first -= 1
+        while lines[first][2][: len(region)] != region:
+            region = region[:-1]
+    depth, kept = len(region), []
+    parts: dict[int, list[int]] = {}  # the lines of each box in the region, those outside a box are one part
+    for i, (_, _, where, seen) in enumerate(lines):
+        if seen and where[:depth] == region:
+            parts.setdefault(where[depth] if len(where) > depth else 0, []).append(i)
+    held = set(core.tolist())
+    for box, each in parts.items():
+        if held.isdisjoint(each) and box:
+            links = sum(parser.linked[i] for i in each)
+            outside = len(core) and (each[-1] < core[0] or each[0] > core[-1])
+            title = all(parser.heading[i] for i in each) and each[-1] < core[-1]
+            if 2 * links > sum(len(lines[i][0]) for i in each) or outside and box not in parser.groups and not title:
+                continue
+        kept += each
+    return "\n".join(lines[i][0] for i in sorted(kept))
 
 
 def _extracted(sigma: float, most: float):
