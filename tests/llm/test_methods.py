@@ -374,6 +374,20 @@ def test_long_and_encrypted_keys_are_whole_and_letters_are_judged(spark):
     assert out[4] == "use <SECRET> now, not kqxwvtzrybnmplsdfghj"
 
 
+def test_columns_of_working_names_are_kept(spark):
+    extra = ["left", "last", "_source", "_hash", "_row_key", "_text_node", "_text_node_"]
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(40)), "en", "s", *range(7)) for i in range(6)] + [(7, None, None, None, *[None] * 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} int" for c in extra))
+    items = spark.createDataFrame([(1, rows[0][1])], "item_id long, text string")
+    for out, ids in ((neardup.without_copies(docs), [0, 1, 2, 3, 4, 5, 7]), (decontaminate.clean(docs, items), [1, 2, 3, 4, 5, 7])):
+        assert out.columns == docs.columns
+        assert sorted(tuple(r) for r in out.collect()) == [r for r in rows if r[0] in ids]
+    out = mixing.mix(docs, evenness=None)
+    assert out.columns[: len(docs.columns)] == docs.columns
+    assert sorted(tuple(r) for r in out.select(docs.columns).collect()) == rows[:6]
+    assert mixing.mix(docs.filter("doc_id = 7")).columns == out.columns
+
+
 def test_mix_meets_budget_and_limits(spark, documents):
     out = mixing.mix(documents, evenness=1.0, most_repeats=3.0)
     total = documents.select(F.sum(F.size(rules.word_list(F.col("text"))))).first()[0]

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.tables import set_aside
 from tidemark.llm.text import LETTERS, LOWER, blocks, shingles, words
 
 #: Beyond so many fingerprints of the benchmark (8 bytes each) they are joined by a shuffle.
@@ -188,8 +189,9 @@ def clean(documents: DataFrame, items: DataFrame, **options) -> DataFrame:
     """
     marked = contaminated_words(documents, items, **options).filter("size(positions) > 0 and 20 * size(positions) >= n_words")
     bad = marked.select(F.col("row_key").alias("_row_key")).distinct()
-    keyed = documents.mapInArrow(_keyed, documents.withColumn("_row_key", F.lit("")).schema)
-    return keyed.join(bad, "_row_key", "left_anti").drop("_row_key")
+    held, own = set_aside(documents, "_row_key")
+    keyed = held.mapInArrow(_keyed, held.withColumn("_row_key", F.lit("")).schema)
+    return keyed.join(bad, "_row_key", "left_anti").drop("_row_key").withColumnsRenamed(own)
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

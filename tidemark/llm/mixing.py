@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.rules import word_list
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import set_aside, stored
 
 #: Blocks of a source, whatever its size.
 BLOCKS = 4096
@@ -84,20 +84,21 @@ def choose_exponent(measures, budget_share: float, entropy: float | None, most_r
 
 
 def mix(documents: DataFrame, budget_share: float = 1.0, evenness: float | None = 0.97, most_repeats: float | None = 4.0, blocks: int = BLOCKS, few_sources: int = FEW_SOURCES) -> DataFrame:
-    """The documents' columns, n_tokens, and epoch, block and place of each reading.
+    """The documents' columns, n_tokens, and epoch, block and place of each reading; those four replace columns of their name.
 
     The budget is `budget_share` of all tokens; the entropy's target is `evenness`
     times that of equal weights. `place` orders a source's blocks within an epoch.
     """
+    documents, own = set_aside(documents, "_source", "_hash", "left", "last")
     source, cell = F.coalesce(F.col("source").cast("string"), F.lit("")), F.pmod(digest(F.col("doc_id"), F.lit("block")), F.lit(blocks))
-    held = documents.drop("epoch", "block", "place", "n_tokens", "_source", "_hash")
+    held = documents.drop("epoch", "block", "place", "n_tokens")
     held = held.select("*", F.size(word_list(F.col("text"))).cast("long").alias("n_tokens"), source.alias("_source"), cell.alias("block"), digest(F.col("doc_id"), F.lit("order")).alias("_hash"))
     cells = stored(held.groupBy("_source", "block").agg(F.sum("n_tokens").alias("cell_tokens")), "cells")
     sources = cells.groupBy("_source").agg(F.sum("cell_tokens").alias("tokens"))
     total, known = sources.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.count_if(F.col("tokens") > 0)).first()
     few = sorted(r["tokens"] for r in sources.select("tokens").collect()) if known <= few_sources else None
     if not total:
-        return held.select("*", F.lit(0).alias("epoch"), F.lit(0).alias("place")).drop("_source", "_hash").filter("false")
+        return held.select("*", F.lit(0).alias("epoch"), F.lit(0).alias("place")).drop("_source", "_hash").filter("false").withColumnsRenamed(own)
     measures = _measures(sources, total, few)
     exponent = choose_exponent(measures, budget_share, None if evenness is None else evenness * math.log(known), most_repeats)
     scale = sum((t / total) ** exponent for t in few if t > 0) if few is not None else sources.filter("tokens > 0").agg(F.sum(F.pow(F.col("tokens") / total, F.lit(exponent)))).first()[0]
@@ -119,4 +120,4 @@ def mix(documents: DataFrame, budget_share: float = 1.0, evenness: float | None
     plan = stored(plan.join(last, "_source", "left"), "places")
     taken = held.join(F.broadcast(plan) if plan.count() <= 1_000_000 else plan, ["_source", "block"])
     taken = taken.filter("left is null or _hash <= last")
-    return taken.select(*[c for c in held.columns if not c.startswith("_")], "epoch", "place")
+    return taken.select(*[c for c in held.columns if c not in ("_source", "_hash")], "epoch", "place").withColumnsRenamed(own)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.links import linked
-from tidemark.llm.tables import BROADCAST_IDS, of_ids, stored
+from tidemark.llm.tables import BROADCAST_IDS, of_ids, set_aside, stored
 from tidemark.llm.text import PLAIN, blocks, mix, shingles, words
 
 SHINGLE = 5
@@ -257,7 +257,8 @@ def without_copies(documents: DataFrame, **options) -> DataFrame:
     found = near_duplicates(documents, **options).filter("label is not null")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
     kept = stored(found.groupBy("label").agg(first.alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.node").alias("_node")), "kept")
-    marked = documents.withColumn("_text_node", F.unhex(F.md5("text")))
+    held, own = set_aside(documents, "_text_node")
+    marked = held.withColumn("_text_node", F.unhex(F.md5("text")))
     # A class's first may be there in several equal rows; these are told apart only where there are any.
     again = found.join(kept, found["doc_id"].eqNullSafe(kept["_id"]) & (found["node"] == kept["_node"])).groupBy("_id", "_node").count().filter("count > 1")
     same = marked["doc_id"].eqNullSafe(kept["_id"]) & (marked["_text_node"] == kept["_node"])
@@ -265,4 +266,4 @@ def without_copies(documents: DataFrame, **options) -> DataFrame:
     if not again.isEmpty():
         out = out.dropDuplicates(["doc_id", "_text_node"])
     nulls = marked.filter(marked["_text_node"].isNull())
-    return out.unionAll(nulls).drop("_text_node")
+    return out.unionAll(nulls).drop("_text_node").withColumnsRenamed(own)

@@ -18,6 +18,19 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def set_aside(rows: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns of a working name under another one, and the renaming that gives them their own back."""
+    taken, away = {c.lower() for c in rows.columns} | set(names), {}
+    for column in rows.columns:
+        if column.lower() in names:
+            other = column + "_"
+            while other.lower() in taken:
+                other += "_"
+            taken.add(other.lower())
+            away[column] = other
+    return rows.withColumnsRenamed(away) if away else rows, {other: column for column, other in away.items()}
+
+
 def of_ids(rows: DataFrame, ids: DataFrame, key: str, most: int = BROADCAST_IDS) -> DataFrame:
     """The rows whose key is among the distinct ids (a written table, counted here): broadcast up to `most`, else by a shuffle."""
     few = ids.count() <= most
