@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html, katz, links, mixing, neardup, quality, rules, secrets, substrings
+from tidemark.llm import decontaminate, html, links, mixing, neardup, quality, rules, secrets, substrings
 from tidemark.llm.text import LETTERS, LOWER, PLAIN, words
 
 SF = "/root/testdata/sf0.001"
@@ -252,31 +252,6 @@ def test_rows_without_an_id_are_not_those_of_an_id(spark):
     assert sorted((repr(r["doc_id"]), r["removed"], r["n_words"]) for r in got) == [("-1", False, 60), ("5", True, 60), ("None", True, 60)]
 
 
-def test_katz_probabilities_add_up(spark):
-    rows = [(i, " ".join(random.Random(i).choices("abcde", k=30))) for i in range(30)]
-    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.col("doc_id")).withColumn("train", F.lit(True))
-    pairs = table.select("row_key", "train", "text").mapInArrow(katz._pairs, "row_key long, train boolean, h long, w long, n int")
-    tokens, histories, counts, numbers = katz.fit(pairs.select("h", "w", "n"))
-    p = {r["w"]: r["p"] for r in tokens.collect()}
-    seen = {(r["h"], r["w"]): r["c"] for r in counts.collect()}
-    for h in histories.collect():
-        mass = 0.0
-        for w in p:
-            c = seen.get((h["h"], w))
-            if c is None:
-                mass += h["alpha"] * p[w]
-            else:
-                kept = c if h["plain"] or c > katz.MOST else c * numbers["by_pair"][c - 1]
-                mass += kept / h["total"]
-        assert mass + h["alpha"] * numbers["unseen"] == pytest.approx(1, abs=1e-9)
-
-
-def test_katz_beats_the_base_on_held_out_text(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    out = katz.scores(docs, ~quality.held_out(5, 1)).join(docs.select("doc_id").filter(quality.held_out(5, 1)), "doc_id").agg(F.sum("score"), F.sum("base_score")).first()
-    assert out[0] > out[1]
-
-
 def test_classifier_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     out = quality.quality_scores(docs, labels).join(labels, "doc_id").filter("held_out")

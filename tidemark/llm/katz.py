@@ -1,69 +1,134 @@
-"""Katz backoff language model over pairs of words, counted and evaluated by joins.
+"""Katz backoff language model of any order, counted, stored and evaluated by joins.
 
-Tokens are words with A-Z lowered, then one end. Counts r of up to `most` get the
-Good-Turing discount of Katz, d(r) = (r* / r - x) / (1 - x) with r* = (r + 1) n(r + 1) / n(r)
-and x = (most + 1) n(most + 1) / n(1), where n(r) is the number of events seen r times; where
-the numbers of a small corpus give no discount between 0 and 1, (r - 1/2) / r.
+Tokens are words with A-Z lowered, then one end. Every token is one n-gram of each order k up
+to `order`: itself (w) after the k - 1 tokens before it (h), starts standing before the text.
+Counts r of up to `most` get the Good-Turing discount of Katz, d(r) = (r* / r - x) / (1 - x)
+with r* = (r + 1) n(r + 1) / n(r) and x = (most + 1) n(most + 1) / n(1), where n(r) is the
+number of n-grams of that order seen r times; where the numbers of a small corpus give no
+discount between 0 and 1, (r - 1/2) / r. With h' for h without its first token,
 
     P(w)     = d(c(w)) c(w) / N                    for a token seen, what is left for one never seen
-    P(w | h) = d(c(h, w)) c(h, w) / c(h)           for a pair seen
-             = alpha(h) P(w)                       else, and P(w) where h was never seen
-    alpha(h) = (1 - sum of P(w | h)) / (1 - sum of P(w)), both over the w seen after h
-
-so the probabilities after any h add up to 1, all unseen tokens counting as one. After
-an h whose pairs are all too frequent for a discount, c(h) counts one more, so that
-something is left for other tokens. The
-three tables (tokens, histories, pairs) are written partitioned by hash, and a score is
-one join with each. Words go by 64-bit hashes. A history with no probability left for
-other tokens keeps its plain shares.
-
-Nulls: a null text is empty, of one token, the end. A null doc_id hashes as empty text.
-Rows are told apart by doc_id and text; repeated rows count each in training and get
-the same score. Without training rows nothing is known and every score is -inf or, if
-there are no tokens, 0. Other columns are not read.
+    P(w | h) = d(c(h, w)) c(h, w) / c(h)           for an n-gram seen
+             = alpha(h) P(w | h')                  else, and P(w | h') where h was never seen
+    alpha(h) = (1 - sum of P(w | h)) / (1 - sum of P(w | h')), both over the w seen after h
+
+so the probabilities after any h add up to 1, all unseen tokens counting as one. After an h
+whose n-grams are all too frequent for a discount, c(h) counts one more, so that something
+is left for other tokens. A history with no probability left for other tokens keeps its
+plain shares.
+
+The tables (tokens; n-grams and histories of each order) are written partitioned by hash. A
+text is scored from the highest order down: an n-gram of a text that was learned from is
+always found there, so such a text takes one join; the others go on to the order below with
+their alpha. Words go by 64-bit hashes, histories too, n-grams by both; texts by 128 bits.
+
+Nulls: a null text is empty, of one token, the end; a null doc_id is not the empty one. Rows
+are told apart by doc_id and text; repeated rows count each in training and get the same
+score, whether `train` (null: no) is the same or not. Without training rows all tokens are the
+one that is unseen: every score is 0. A text of any length is counted whole, in one block if it is longer
+than a block. Ties cannot matter: nothing is ordered. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from tidemark.llm.tables import stored
-from tidemark.llm.text import LOWER, PLAIN, blocks, words
+from tidemark.llm.text import LOWER, PLAIN, blocks, mix, words
 from tidemark.session import fresh_dir
 
 START, END = 1, 2
+ORDER = 2
 MOST = 5
 PARTS = 16
+#: Rows of up to five numbers that go to every task; a larger table is joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+TEXT = ["text_a", "text_b"]
+
+
+@dataclass
+class Level:
+    """The n-grams (h<k>, .., h2, w, c) of one order, their histories (h<k>, total, alpha, plain) and discounts."""
+
+    grams: DataFrame
+    histories: DataFrame
+    by: list[float]
+
+
+@dataclass
+class Model:
+    tokens: DataFrame
+    n: int
+    v: int
+    unseen: float
+    levels: dict[int, Level] = field(default_factory=dict)
+
+
+def contexts(order: int) -> list[str]:
+    """The history columns of an n-gram of that order, the longest first."""
+    return [f"h{k}" for k in range(order, 1, -1)]
+
+
+def _shape(order: int) -> StructType:
+    # Without nulls: no filter then sets two readers of the same shuffle apart.
+    longs = [StructField(c, LongType(), False) for c in [*TEXT, *contexts(order), "w"]]
+    return StructType([*longs, StructField("n", IntegerType(), False)])
+
+
+def _grams(order: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of (text_a, text_b, text) each n-gram of each text once, with its histories and its count."""
+    pad = order - 1
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, raw, offsets in blocks(batch):
+                _, _, hashes, row = words(raw.translate(LOWER), offsets, PLAIN)
+                rows = np.arange(high - low)
+                starts, ends = np.searchsorted(row, rows), np.searchsorted(row, rows, "right")
+                at = np.stack([starts] * pad + [ends], axis=1).ravel()
+                tokens = np.insert(hashes, at, np.tile(np.array([START] * pad + [END], np.uint64), len(rows)))
+                place = np.flatnonzero(np.insert(np.ones(len(row), bool), at, np.tile([False] * pad + [True], len(rows))))
+                owner = np.insert(row, at, np.repeat(rows, pad + 1))[place]
+                w = tokens[place]
+                before = [tokens[place - 1]] if pad else []
+                for k in range(3, order + 1):
+                    total = tokens[place - (k - 1)]
+                    for j in range(k - 2, 0, -1):
+                        total = total * _ODD + tokens[place - j]
+                    before.insert(0, mix(total + np.uint64(k)))
+                keys = [owner, *before[:1], w]
+                by = np.lexsort(keys[::-1])
+                new = np.zeros(len(by), bool)
+                new[:1] = True
+                for key in keys:
+                    new[1:] |= key[by][1:] != key[by][:-1]
+                first = np.flatnonzero(new)
+                chosen = by[first]
+                named = pa.array(owner[chosen] + low)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).take(named) for c in TEXT),
+                        *(pa.array(c[chosen].view(np.int64)) for c in [*before, w]),
+                        pa.array(np.diff(np.append(first, len(by))).astype(np.int32)),
+                    ],
+                    names=_shape(order).names,
+                )
 
+    return rows_of
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row_key, train, h, w, n): each pair of neighbouring tokens of each text, once, with its count."""
-    for batch in batches:
-        keys, train = batch.column("row_key"), batch.column("train")
-        for low, high, raw, offsets in blocks(batch):
-            _, _, hashes, row = words(raw.translate(LOWER), offsets, PLAIN)
-            rows = np.arange(high - low)
-            ends = np.searchsorted(row, rows, "right")
-            # Each text's words with a start before and an end behind.
-            left = np.insert(hashes, np.searchsorted(row, rows), np.uint64(START))
-            right = np.insert(hashes, ends, np.uint64(END))
-            owner = np.insert(row, ends, rows)
-            order = np.lexsort((right, left, owner))
-            left, right, owner = left[order], right[order], owner[order]
-            new = np.ones(len(owner), bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (left[1:] != left[:-1]) | (right[1:] != right[:-1])
-            first = np.flatnonzero(new)
-            at = pa.array(owner[first] + low)
-            yield pa.RecordBatch.from_arrays(
-                [keys.take(at), train.take(at), pa.array(left[first].view(np.int64)), pa.array(right[first].view(np.int64)), pa.array(np.diff(np.append(first, len(owner))).astype(np.int32))],
-                names=["row_key", "train", "h", "w", "n"],
-            )
+
+def grams(docs: DataFrame, order: int) -> DataFrame:
+    """The n-grams of texts (text_a, text_b, text), each once for each text."""
+    return docs.select(*TEXT, "text").mapInArrow(_grams(order), _shape(order))
 
 
 def discounts(seen: dict[int, int], most: int = MOST) -> list[float]:
@@ -96,47 +161,102 @@ def _table(rows: DataFrame, key: Column, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def fit(pairs: DataFrame, most: int = MOST) -> tuple[DataFrame, DataFrame, DataFrame, dict]:
-    """(tokens, histories, pairs, numbers) from training pairs (h, w, n)."""
-    pair_counts = pairs.groupBy("h", "w").agg(F.sum("n").cast("long").alias("c"))
-    pair_counts = _table(pair_counts, F.struct("h", "w"), "pairs")
-    token_counts = stored(pair_counts.groupBy("w").agg(F.sum("c").alias("c")), "tokens")
-    n, v = token_counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    by_token, by_pair = discounts(_numbers(token_counts, most), most), discounts(_numbers(pair_counts, most), most)
-    tokens = _table(token_counts.select("w", "c", (_discounted(F.col("c"), by_token) / F.lit(max(n, 1))).alias("p")), F.col("w"), "tokens")
-    known = tokens.agg(F.coalesce(F.sum("p"), F.lit(0.0))).first()[0]
-    after = pair_counts.join(tokens.select("w", "p"), "w").groupBy("h").agg(F.sum("c").alias("total"), F.sum(_discounted(F.col("c"), by_pair)).alias("kept"), F.sum("p").alias("low"))
+def _sized(table: DataFrame, size: DataFrame, most: int) -> DataFrame:
+    """The table, to be broadcast where `size`, a written table of as many rows, is small."""
+    return F.broadcast(table) if size.count() <= most else table.hint("merge")
+
+
+def _chances(model: Model, k: int, broadcast: int) -> DataFrame:
+    """(h<k>, w, p) of the n-grams seen, or (w, p) of the tokens."""
+    if k == 1:
+        return model.tokens.select("w", "p")
+    level, h = model.levels[k], f"h{k}"
+    joined = level.grams.join(_sized(level.histories, level.histories, broadcast), h)
+    share = F.when(F.col("plain"), F.col("c")).otherwise(_discounted(F.col("c"), level.by)) / F.col("total")
+    return joined.select(h, "w", share.alias("p"))
+
+
+def _level(model: Model, counts: DataFrame, k: int, most: int, broadcast: int) -> Level:
+    """Discounts and histories of one order, given the orders below."""
+    by, h = discounts(_numbers(counts, most), most), f"h{k}"
+    lower = _chances(model, k - 1, broadcast)
+    on = ["w"] if k == 2 else [f"h{k - 1}", "w"]
+    below = _sized(lower, model.tokens if k == 2 else model.levels[k - 1].grams, broadcast)
+    after = counts.join(below, on).groupBy(h).agg(F.sum("c").alias("total"), F.sum(_discounted(F.col("c"), by)).alias("kept"), F.sum("p").alias("low"))
     free = 1 - F.col("low")
     total = F.col("total") + F.when((F.col("kept") >= F.col("total") * (1 - 1e-12)) & (free > 1e-9), 1.0).otherwise(0.0)
-    histories = after.withColumn("total", total).select("h", "total", F.when(free > 1e-9, (1 - F.col("kept") / F.col("total")) / free).otherwise(0.0).alias("alpha"), (free <= 1e-9).alias("plain"))
-    histories = _table(histories, F.col("h"), "histories")
-    return tokens, histories, pair_counts, {"n": n, "v": v, "unseen": max(0.0, 1 - known), "by_pair": by_pair}
+    histories = after.withColumn("total", total).select(h, "total", F.when(free > 1e-9, (1 - F.col("kept") / F.col("total")) / free).otherwise(0.0).alias("alpha"), (free <= 1e-9).alias("plain"))
+    return Level(counts, _table(histories, F.col(h), f"histories-{k}"), by)
+
+
+def fit(learned: DataFrame, order: int = ORDER, most: int = MOST, broadcast: int = BROADCAST_ROWS) -> Model:
+    """The model of training n-grams (h<order>, .., h2, w, n): the counts from the highest order down, the shares up again."""
+    if order < 1:
+        raise ValueError("order must be 1 or more")
+    rows, amount, counts = learned, F.sum("n").cast("long"), {}
+    for k in range(order, 0, -1):
+        key = [*contexts(k), "w"]
+        rows = rows.groupBy(*key).agg(amount.alias("c"))
+        rows = counts[k] = _table(rows, F.struct(*key), f"grams-{k}") if k > 1 else stored(rows, "tokens")
+        amount = F.sum("c")
+    n, v = counts[1].agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    by = discounts(_numbers(counts[1], most), most)
+    tokens = _table(counts[1].select("w", "c", (_discounted(F.col("c"), by) / F.lit(max(n, 1))).alias("p")), F.col("w"), "tokens")
+    known = tokens.agg(F.coalesce(F.sum("p"), F.lit(0.0))).first()[0]
+    model = Model(tokens, n, v, max(0.0, 1 - known))
+    for k in range(2, order + 1):
+        model.levels[k] = _level(model, counts[k], k, most, broadcast)
+    return model
+
+
+def _log10(chance: Column) -> Column:
+    return F.when(chance > 0, F.log10(chance)).otherwise(F.lit(-math.inf))
+
+
+def _backed_off(rows: DataFrame, model: Model, k: int, broadcast: int) -> DataFrame:
+    """(text, n, log): each n-gram's log10 probability; `log` holds the alphas so far, `open` whether it still looks for a count."""
+    if k == 1:
+        tokens = _sized(_chances(model, 1, broadcast), model.tokens, broadcast)
+        least = _log10(F.coalesce("p", F.lit(model.unseen)))
+        return rows.join(tokens, "w", "left").select(*TEXT, "n", F.when(F.col("open"), F.col("log") + least).otherwise(F.col("log")).alias("log"))
+    level, h = model.levels[k], f"h{k}"
+    alphas = _sized(level.histories.select(h, "alpha"), level.histories, broadcast)
+    joined = rows.join(_sized(_chances(model, k, broadcast), level.grams, broadcast), [h, "w"], "left").join(alphas, h, "left")
+    step = F.when(F.col("p").isNotNull(), _log10(F.col("p"))).otherwise(_log10(F.coalesce("alpha", F.lit(1.0))))
+    on = joined.withColumns({"log": F.when(F.col("open"), F.col("log") + step).otherwise(F.col("log")), "open": F.col("open") & F.col("p").isNull()})
+    return _backed_off(on.drop(h, "p", "alpha"), model, k - 1, broadcast)
+
+
+def log_chances(docs: DataFrame, model: Model, order: int = ORDER, broadcast: int = BROADCAST_ROWS) -> DataFrame:
+    """(text, score) of texts (text_a, text_b, train, text), each once."""
+    other = grams(docs.filter("not train"), order).withColumns({"log": F.lit(0.0), "open": F.lit(True)})
+    each = _backed_off(other, model, order, broadcast)
+    # What was learned from is seen at the highest order, where the recursion ends.
+    top = _chances(model, order, broadcast)
+    on = ["w"] if order == 1 else [f"h{order}", "w"]
+    table = _sized(top, model.tokens if order == 1 else model.levels[order].grams, broadcast)
+    learned = grams(docs.filter("train"), order).join(table, on).select(*TEXT, "n", _log10(F.col("p")).alias("log"))
+    return learned.unionByName(each).groupBy(*TEXT).agg(F.sum(F.col("n") * F.col("log")).alias("score"))
 
 
-def scores(documents: DataFrame, train: Column, most: int = MOST) -> DataFrame:
+def scores(documents: DataFrame, train: Column, order: int = ORDER, most: int = MOST, broadcast: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row; `train` marks what is learned from."""
-    docs = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), train.alias("train"))
-    docs = docs.withColumn("row_key", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"))
-    shape = "row_key long, train boolean, h long, w long, n int"
-    learned = docs.filter("train").select("row_key", "train", "text").mapInArrow(_pairs, shape)
-    tokens, histories, pairs, numbers = fit(learned.select("h", "w", "n"), most)
-    n, v = numbers["n"], numbers["v"]
-    rows = docs.select("row_key", "train", "text").dropDuplicates(["row_key"]) if _repeats(docs) else docs.select("row_key", "train", "text")
-    each = rows.mapInArrow(_pairs, shape)
-    held = each.join(pairs, ["h", "w"], "left").join(tokens.select("w", F.col("c").alias("cw"), "p"), "w", "left").join(histories, "h", "left")
-    seen = F.when(F.col("plain"), F.col("c")).otherwise(_discounted(F.col("c"), numbers["by_pair"])) / F.col("total")
-    backed = F.coalesce("alpha", F.lit(1.0)) * F.coalesce("p", F.lit(numbers["unseen"]))
-    chance = F.when(F.col("c").isNotNull(), seen).otherwise(backed)
-    log10 = F.when(chance > 0, F.log10(chance)).otherwise(F.lit(-math.inf))
-    base = F.log10((F.coalesce("cw", F.lit(0)) + 0.5) / (n + 0.5 * (v + 1)))
-    summed = held.groupBy("row_key").agg(
+    docs = documents.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+    named = (F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    docs = docs.withColumns({"text_a": F.xxhash64(*named, "text"), "text_b": F.xxhash64(F.lit("text"), "text", *named)})
+    model = fit(grams(docs.filter("train"), order), order, most, broadcast)
+    rows = docs.select(*TEXT, "train", "text")
+    rows = rows.dropDuplicates(TEXT) if _repeats(docs) else rows
+    base = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / (model.n + 0.5 * (model.v + 1)))
+    single = grams(rows, 1).join(_sized(model.tokens.select("w", "c"), model.tokens, broadcast), "w", "left")
+    counted = single.groupBy(*TEXT).agg(
         F.sum("n").cast("long").alias("n_tokens"),
-        F.coalesce(F.sum(F.when(F.col("cw").isNotNull(), F.col("n"))), F.lit(0)).cast("long").alias("n_known"),
+        F.coalesce(F.sum(F.when(F.col("c").isNotNull(), F.col("n"))), F.lit(0)).cast("long").alias("n_known"),
         F.sum(F.col("n") * base).alias("base_score"),
-        F.sum(F.col("n") * log10).alias("score"),
     )
-    return docs.select("doc_id", "row_key").join(summed, "row_key").select("doc_id", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
+    summed = counted.join(log_chances(rows, model, order, broadcast), TEXT)
+    return docs.select("doc_id", *TEXT).join(summed, TEXT).select("doc_id", "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def _repeats(docs: DataFrame) -> bool:
-    return not docs.groupBy("row_key").count().filter("count > 1").isEmpty()
+    return not docs.groupBy(*TEXT).count().filter("count > 1").isEmpty()
