@@ -46,7 +46,7 @@ from tidemark.llm.text import LOWER, PLAIN, blocks, mix, words
 from tidemark.session import fresh_dir
 
 START, END = 1, 2
-ORDER = 2
+ORDER = 3
 MOST = 5
 PARTS = 16
 #: Rows of up to five numbers that go to every task; a larger table is joined by a shuffle.
