@@ -53,7 +53,8 @@ def test_rules_equal_brute_force(spark, documents):
     good = spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").select("doc_id")
     trusted = {r[0] for r in good.collect()}
     size = 1 << 10
-    texts = {r["doc_id"]: [w for w in re.split("[ \t-\r]+", r["text"] or "") if w] for r in documents.collect()}
+    whole = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    texts = {i: [w for w in re.split("[ \t-\r]+", t) if w] for i, t in whole.items()}
 
     def hash_long(value, seed=42):
         return xxhash.xxh64_intdigest(value.to_bytes(8, "little"), seed=seed)
@@ -76,6 +77,10 @@ def test_rules_equal_brute_force(spark, documents):
         ratio = [math.log((target[b] + 1) / n_target) - math.log((raw[b] + 1) / n_raw) for b in grams(ws)]
         assert (row["n_words"], row["word_chars"], row["n_repeat_words"]) == (len(ws), sum(map(len, ws)), len(hit))
         assert row["ratio"] == pytest.approx(sum(ratio) / max(1, len(ratio)), abs=1e-9)
+        lines = [x for x in whole[row["doc_id"]].split("\n") if x.strip(" \t\n\v\f\r")]
+        failed = len(ws) < 10 or 100 * len(hit) > 20 * len(ws)
+        assert (row["n_symbols"], row["n_dup_lines"]) == (len(re.findall("[#*$%&|<>]", whole[row["doc_id"]])), len(lines) - len(set(lines)))
+        assert (row["base_failed"], row["kept"]) == (failed, not failed and row["ratio"] >= rules.LEAST_RATIO)
 
 
 def jaccard_classes(features, least):
