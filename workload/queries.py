@@ -346,9 +346,11 @@ def upsert_composite(spark, sf_dir):
     keys = ["l_orderkey", "l_linenumber"]
     lineitem = table(spark, sf_dir, "lineitem")
     past = F.col("l_shipdate") > ntz(MARK)
-    target = dedupe_latest(lineitem.filter(~past), keys, "l_shipdate").select(
+    # The upsert reads its target twice, so the rows of the earlier load are found once and written.
+    older = dedupe_latest(lineitem.filter(~past), keys, "l_shipdate").select(
         "*", F.lit("OLD").alias("source_system"), ntz("2024-01-01 00:00:00").alias("loaded_at")
     )
+    target = stage_table(older, fresh_dir(spark, "target"))
     newest = dedupe_latest(lineitem.filter(past), keys, "l_shipdate")
     stage = stage_table(audited(newest), fresh_dir(spark, "stage"))
     return upsert(target, stage, keys, broadcast=fits_broadcast(stage))
