@@ -120,8 +120,10 @@ def test_ngrams_of_the_classifier_equal_brute_force():
 def test_scores_are_the_mean_of_the_ngrams_weights(spark):
     texts = ["", "one two three", "x " * 50, "é漢 x"]
     model = quality.Model(np.random.default_rng(3).normal(size=64).astype(np.float32), 0.25)
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for r in quality.score(rows, model).collect():
+    rows = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)], "doc_id long, text string, Score string")
+    scored = quality.score(rows, model)
+    assert scored.columns == ["doc_id", "text", "score"]
+    for r in scored.collect():
         data = r["text"].encode()
         _, found = quality.ngrams(data, np.array([0, len(data)]), 64)
         mean = sum(float(model.weights[b]) for b in found) / max(1, len(found))

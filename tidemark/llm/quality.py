@@ -160,7 +160,8 @@ def _scores(model: Model):
 
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
-    """The rows with `score`, the probability of class 1, beside `text`; a column of that name must not be there."""
+    """The rows with `score`, the probability of class 1, beside `text`; it replaces a column of that name."""
+    rows = rows.drop("score")
     schema = rows.withColumn("score", F.lit(0.0)).schema
     return rows.mapInArrow(_scores(model), schema)
 
