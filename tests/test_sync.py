@@ -415,6 +415,27 @@ def test_a_spread_update_leaves_slices_by_key(fx):
     assert fx.store.read().filter("v = 'n'").count() == len([k for k in range(3001, 3101) if k % 3])
 
 
+def test_a_large_target_has_wider_parts_not_more(fx, monkeypatch):
+    """Every reading lists all slices: their number does not grow with the first load."""
+    monkeypatch.setattr(store_module, "MAX_PARTS", 8)
+    held = fx.spark.range(2000).selectExpr("nullif(CAST(id AS int), -1) AS k", "1 AS t", "'a' AS v")
+    fx.run(held, file_bytes=1)
+    assert 2 <= len(fx.files()) <= 9
+    fx.run([(k, 2, "b") for k in range(0, 2000, 7)] + [(2000, 2, "b"), (None, 2, "n")], file_bytes=1)
+    want = [(k, 1, "a") if k % 7 else (k, 2, "b") for k in range(2000)] + [(2000, 2, "b"), (None, 2, "n")]
+    assert rows(fx.store.read()) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("lo, hi", [(0, 10**9), (-5, 1500), (7, 7), (-(1 << 63), (1 << 63) - 1), (None, None)])
+def test_parts_are_bounded(lo, hi):
+    parts = store_module.plan_parts("k", lo, hi, 1 << 50, 1 << 18)
+    if parts.kind == "hash":
+        assert parts.size == store_module.MAX_PARTS
+    else:
+        assert 1 <= hi // parts.size - lo // parts.size + 1 <= store_module.MAX_PARTS + 1
+    assert store_module.plan_parts("k", 0, 999, 1000, 100).size == 100, "a small table keeps the size asked for"
+
+
 def test_a_run_can_go_back(fx):
     fx.run([(1, 1, "a"), (2, 5, "b")])
     again = fx.run([(1, 1, "A"), (2, 5, "b")], from_mark=0)

@@ -50,6 +50,8 @@ from tidemark.session import Scratch, remove_dirs, sized_shuffles
 SLICE = "__slice"
 SLICES_SCHEMA = "slice string, part bigint, known boolean, rows bigint"
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
+#: Every reading lists a target's slices, a task and a few KB for the driver each: large targets get wider parts, not more.
+MAX_PARTS = 1024
 
 
 @dataclass(frozen=True)
@@ -83,12 +85,13 @@ def key_number(key: str, dtype: DataType) -> Column:
 
 
 def plan_parts(key: str, lo: int | None, hi: int | None, data_bytes: int, part_bytes: int) -> KeyParts | None:
-    """Parts of about `part_bytes` each for keys spread as evenly as these; None for no rows."""
+    """At most `MAX_PARTS` parts of about `part_bytes` or more each for keys spread as evenly as these; None for no rows."""
     if not data_bytes:
         return None
     if lo is None or hi is None:
-        return KeyParts(key, "hash", max(1, -(-data_bytes // part_bytes)))
-    return KeyParts(key, "range", min(1 << 62, max(1, (hi - lo + 1) * part_bytes // data_bytes)))
+        return KeyParts(key, "hash", min(MAX_PARTS, max(1, -(-data_bytes // part_bytes))))
+    keys = hi - lo + 1
+    return KeyParts(key, "range", min(1 << 62, max(1, keys * part_bytes // data_bytes, -(-keys // MAX_PARTS))))
 
 
 @dataclass(frozen=True)
