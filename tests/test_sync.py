@@ -522,6 +522,27 @@ def test_a_repeated_target_key_is_unchanged_only_if_all_copies_are(fx):
     assert out.rows_updated == 2 and rows(out.target) == [(1, 1, "a"), (1, 1, "a"), (2, 1, "c"), (2, 1, "c")]
 
 
+def test_fingerprints_count_for_the_broadcast(fx, monkeypatch):
+    """Keys alone would fit, keys with fingerprints do not: they are shuffled, whatever Spark makes of the small files."""
+    plans = []
+
+    def staged(df, path):
+        if "/hits-" in path:
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage_table(df, path)
+
+    stage_table = store_module.stage_table
+    monkeypatch.setattr(store_module, "stage_table", staged)
+    fx.run([(k, 1, "a") for k in range(100)])
+    key_bytes = 100 * 8 * 3
+    again = [(k, 1, "b" if k == 7 else "a") for k in range(100)]
+    for limit, strategy in ((key_bytes, "merge"), (key_bytes + 100 * 40, "broadcast")):
+        done = fx.run(again, dataclasses.replace(P, incremental_column=None), skip_unchanged=True, broadcast_bytes=limit)
+        assert f"rightHint=(strategy={strategy})" in plans[-1]
+        assert done.rows_updated == (1 if strategy == "merge" else 0)
+    assert rows(fx.store.read()) == sorted(again, key=repr)
+
+
 def test_runs_leave_no_scratch_tables_and_vacuum_no_old_slices(fx):
     import os
 

@@ -43,7 +43,7 @@ from pyspark.sql.types import (
 from tidemark.functions.audit import AuditColumns, row_fingerprint
 from tidemark.operators.quality import all_present
 from tidemark.operators.schema import conform
-from tidemark.operators.upsert import bounded_broadcast, unchanged_keys, update_columns, upsert
+from tidemark.operators.upsert import unchanged_keys, update_columns, upsert
 from tidemark.plans.ledger import COMMITTED, append_ledger, read_ledger
 from tidemark.session import Scratch, remove_dirs, sized_shuffles
 
@@ -52,6 +52,8 @@ SLICES_SCHEMA = "slice string, part bigint, known boolean, rows bigint"
 _WHOLE = (ByteType, ShortType, IntegerType, LongType)
 #: Every reading lists a target's slices, a task and a few KB for the driver each: large targets get wider parts, not more.
 MAX_PARTS = 1024
+#: In-memory bytes that a fingerprint adds to a row: a word and 32 hex digits.
+PRINT_BYTES = 40
 
 
 @dataclass(frozen=True)
@@ -300,7 +302,8 @@ class TargetStore:
         takes the compared columns too, and slices of equal rows count as untouched.
         """
         counts, keys, schema = stage.counts, want.keys, want.schema
-        small, few = counts["bytes"] <= want.broadcast_bytes, counts["key_bytes"] <= want.broadcast_bytes
+        sought = counts["key_bytes"] + (PRINT_BYTES * counts["rows"] if want.skip_unchanged else 0)
+        small, few = counts["bytes"] <= want.broadcast_bytes, sought <= want.broadcast_bytes
         width = counts["bytes"] / max(counts["rows"], 1)
         near = stage_table(self.near(want.state, stage.rows, keys), want.scratch.path("near"))
         about = near.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
@@ -308,16 +311,20 @@ class TargetStore:
         def size(rows: int) -> int:
             return counts["bytes"] + int(width * rows)
 
+        def sought_side(df: DataFrame) -> DataFrame:
+            # Left to itself, Spark goes by the compressed files and may broadcast what measured as too large.
+            return F.broadcast(df) if few else df.hint("merge")
+
         held = self.read_slices(schema, near, named=True).filter(all_present(keys))
         wanted = stage.rows.filter(all_present(keys))
         if want.skip_unchanged:
             compared = update_columns(stage.rows, keys, want.audit)
             held = held.select(*keys, SLICE, row_fingerprint(*compared).alias("__held"))
             wanted = wanted.select(*keys, row_fingerprint(*compared).alias("__new"))
-            found = held.join(bounded_broadcast(wanted, few), keys).select(*keys, SLICE, (F.col("__held") == F.col("__new")).alias("__same"))
+            found = held.join(sought_side(wanted), keys).select(*keys, SLICE, (F.col("__held") == F.col("__new")).alias("__same"))
         else:
             # Written as it comes from the join: an aggregate here would keep AQE from splitting a hot key.
-            found = held.select(*keys, SLICE).join(bounded_broadcast(wanted.select(*keys), few), keys, "left_semi")
+            found = held.select(*keys, SLICE).join(sought_side(wanted.select(*keys)), keys, "left_semi")
         with sized_shuffles(self.spark, size(about)):
             hits = stage_table(found, want.scratch.path("hits"))
         rows = stage.rows
