@@ -5,11 +5,14 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.llm import katz
 from tidemark.llm.quality import held_out
+from tidemark.llm.text import pack, unpack
 
 SF = "/root/testdata/sf0.001"
 
@@ -149,3 +152,34 @@ def test_a_text_longer_than_a_block(spark):
 def test_without_training_rows(spark):
     got = katz.scores(small(spark, [(1, "a b", False), (2, None, None)]), F.col("learned")).collect()
     assert {(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["score"]) for r in got} == {(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)}
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_frequent_tokens_dealt_among_parts(spark, order):
+    # Blocks of a few texts and parts of 60 tokens: most tokens of the toy are then frequent.
+    rows = toy()
+    model = Brute([t for _, t, learned in rows if learned], order)
+    got = katz.scores(small(spark, rows), F.col("learned"), order, block=300, part=60).collect()
+    want = sorted((repr(i), model.score(t)) for i, t, _ in rows)
+    got = sorted((repr(r["doc_id"]), r["score"]) for r in got)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], rel=1e-9)
+
+
+def test_takes_little_disk(spark, tmp_path, monkeypatch):
+    # Texts whose n-grams hardly repeat: rows of numbers took several times their bytes, and stayed.
+    draw = random.Random(5)
+    rows = [(i, " ".join(str(draw.randrange(5000)) for _ in range(500)), i % 5 > 0) for i in range(200)]
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    assert katz.scores(small(spark, rows), F.col("learned")).count() == len(rows)
+    left = sum(p.stat().st_size for p in tmp_path.rglob("*") if p.is_file())
+    assert left < 0.1 * sum(len(t) for _, t, _ in rows)
+
+
+def test_packed_columns_come_back():
+    draw = np.random.default_rng(3)
+    columns = [draw.integers(0, 1 << bits, 1000, dtype=np.uint64) for bits in (1, 8, 21, 63)]
+    assert all((a == b).all() for a, b in zip(unpack(pack(*columns)), columns))
+    assert [len(c) for c in unpack(pack(np.zeros(0, np.int64), np.zeros(0, np.int64)))] == [0, 0]
+    # Less than three bytes for a number of 21 bits.
+    assert len(pack(columns[2])) < 3.1 * 1000
