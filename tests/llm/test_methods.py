@@ -1,8 +1,10 @@
 """Operators that SQL can't express, against brute force on small tables."""
 
 import math
+import pathlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -251,6 +253,27 @@ def test_edited_passages_are_found(spark):
     assert len(got) >= 0.9 * total and all(i % 2 for i in got)
 
 
+def test_repeats_leave_no_shuffle_files(spark):
+    # Every step's shuffle files stayed until the end, several times the text in all.
+    dirs = [pathlib.Path(str(d)) for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    draw = random.Random(8)
+    passage = " ".join(str(draw.randrange(10**6)) for _ in range(60))
+    rows = [(i, " ".join([str(draw.randrange(10**6)) for _ in range(600)] + [passage] * (i % 10 == 0))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def held():
+        return {p for d in dirs for p in d.rglob("shuffle_*.data")}
+
+    before = held()
+    got = substrings.spans(docs)
+    left, until = held() - before, time.time() + 20
+    while left and time.time() < until:
+        time.sleep(0.5)
+        left = held() - before
+    assert not left
+    assert got.filter("removed").count() == 19
+
+
 def test_rows_without_an_id_are_not_those_of_an_id(spark):
     text = " ".join(f"w{i}" for i in range(60))
     got = substrings.spans(spark.createDataFrame([(None, text), (-1, text), (5, text)], "doc_id long, text string")).collect()

@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import tidied, written
-from tidemark.llm.text import LOWER, PLAIN, blocks, mix, pack, unpack, words
+from tidemark.llm.text import LOWER, PLAIN, blocks, by_part, mix, pack, unpack, words
 from tidemark.session import Scratch
 
 #: The hash of the end as a word; the numbers of a word not learned, of the start and of the most frequent word.
@@ -200,14 +200,6 @@ def _dealt(v: np.ndarray, other: np.ndarray, splits: np.ndarray, parts: int) ->
     return ((mix(v + np.uint64(1)) % np.uint64(parts) + mix(other + np.uint64(7)) % many) % np.uint64(parts)).astype(np.int64)
 
 
-def _segments(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(part, its rows in order)"""
-    by = np.argsort(part.astype(np.uint16) if len(part) and part.max() < 1 << 16 else part, kind="stable")
-    at = np.flatnonzero(np.append(True, np.diff(part[by]) != 0)) if len(by) else np.zeros(0, np.int64)
-    for a, b in zip(at, np.append(at[1:], len(by))):
-        yield int(part[by[a]]), by[a:b]
-
-
 def _spread(order: int, splits: np.ndarray, parts: int, learned: bool) -> Callable[[Batches], Batches]:
     """Of coded blocks (part, block, data): the n-grams, w first, and the text and whether it was learned from; `learned`: only of such texts."""
     pad = order - 1
@@ -227,7 +219,7 @@ def _spread(order: int, splits: np.ndarray, parts: int, learned: bool) -> Callab
                 grams = [padded[place - k] for k in range(order)]
                 part = _dealt(grams[1], grams[2 if order > 2 else 0], splits, parts) if order > 1 else np.arange(len(place)) * parts // max(len(place), 1)
                 named = own * 2 + train[own]
-                found = [(p, pack(*(g[at] for g in grams), np.diff(named[at], prepend=0))) for p, at in _segments(part)]
+                found = [(p, pack(*(g[at] for g in grams), np.diff(named[at], prepend=0))) for p, at in by_part(part)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p for p, _ in found], pa.int32()), pa.array([batch.column("block")[i].as_py()] * len(found), pa.int64()), pa.array([d for _, d in found], pa.binary())],
                     names=["part", "block", "data"],
@@ -246,7 +238,7 @@ def _frequent(splits: np.ndarray, parts: int) -> Callable[[Batches], Batches]:
             row = np.repeat(np.arange(len(v)), many)
             turn = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
             part = ((mix(v + np.uint64(1)) % np.uint64(parts)).astype(np.int64)[row] + turn) % parts
-            found = [(p, pack(v[row[at]], w[row[at]], c[row[at]])) for p, at in _segments(part)]
+            found = [(p, pack(v[row[at]], w[row[at]], c[row[at]])) for p, at in by_part(part)]
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([-1] * len(found), pa.int64()), pa.array([d for _, d in found], pa.binary())], names=["part", "block", "data"])
 
     return run
