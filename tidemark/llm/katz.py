@@ -25,8 +25,8 @@ counted and evaluated, first for n(r), then for the shares; v that are more freq
 are dealt among several by the token before v, and their pairs (v, w) are counted over all parts
 and sent to each. A part's n-grams come as packed columns, one row for each block. Words go by
 64-bit hashes until they have a number; texts by 128 bits. Shuffle files and tables go as soon as
-the step behind them is written. An h of two tokens or more meets in one part with its distinct
-followers of each block.
+the step behind them is written. All that follows one h of two tokens
+or more meets in one part, every occurrence, in memory.
 
 Nulls: a null text is empty, of one token, the end; a null doc_id is not the empty one. Rows
 are told apart by doc_id and text; repeated rows count each in training and get the same
